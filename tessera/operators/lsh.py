@@ -177,7 +177,7 @@ def near_dup_pairs(docs: DataFrame, k: int = 3, r: int = DEFAULT_R, b: int = DEF
 
 # --------------------------------------------------------------------- exact join
 def exact_similar_pairs_from_sets(sets: DataFrame, threshold: float = DEFAULT_THRESHOLD,
-                                  block: int = DEFAULT_BLOCK) -> DataFrame:
+                                  block: int = DEFAULT_BLOCK, collapse: bool = True) -> DataFrame:
     """Exact Jaccard similarity self-join by prefix filtering.
 
     Tokens are ordered globally by (document frequency, id).  Two sets with
@@ -185,9 +185,14 @@ def exact_similar_pairs_from_sets(sets: DataFrame, threshold: float = DEFAULT_TH
     of each, so joining on prefix tokens finds every qualifying pair; a
     length filter and exact verification remove the rest.  Rare tokens come
     first, which keeps prefix buckets small; hot buckets are tiled.
+    ``collapse=False`` reports plain pairs between all documents (identical
+    groups then give all their pairs: use only where groups are small).
     """
     sets = sets.where(F.size("shingles") > 0)
-    reps, star = collapse_identical(sets)
+    if collapse:
+        reps, star = collapse_identical(sets)
+    else:
+        reps, star = sets, None
     tok = reps.select("doc_id", F.explode("shingles").alias("tok"))
     df = tok.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
     n = F.size("shingles")
@@ -203,7 +208,7 @@ def exact_similar_pairs_from_sets(sets: DataFrame, threshold: float = DEFAULT_TH
     cands = (pairs.where(lo >= F.lit(threshold) * hi - F.lit(1e-9))
              .select(F.col("a").alias("doc_a"), F.col("b").alias("doc_b")).distinct())
     verified = threshold_filter(verify_pairs(cands, reps), threshold)
-    return verified.unionByName(star)
+    return verified.unionByName(star) if star is not None else verified
 
 
 def exact_similar_pairs(docs: DataFrame, k: int = 3, threshold: float = DEFAULT_THRESHOLD,
