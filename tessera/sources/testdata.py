@@ -29,10 +29,11 @@ def _arm(events: DataFrame):
     return F.get_json_object(F.col("props"), "$.k").cast("bigint")
 
 
-def bandit_log(events: DataFrame, seed: int = BANDIT_SEED) -> DataFrame:
+def bandit_log(events: DataFrame, seed: int = BANDIT_SEED, keep: list[str] | None = None) -> DataFrame:
+    """``keep`` carries extra input columns (e.g. event time for streaming)."""
     k = _arm(events)
     lo = F.floor(k / N_CHOICES) * N_CHOICES
-    return events.select(
+    return events.select(*(keep or []),
         F.col("event_id").alias("t"),
         F.array(*[uniform(seed, "user", F.col("user_id"), i) for i in range(D_USER)]).alias("z"),
         k.alias("chosen"),
