@@ -14,6 +14,9 @@ Jaccard is undefined for two empty sets.
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
@@ -24,6 +27,7 @@ from pyspark.sql import types as T
 from tessera.functions.hashing import PRIME31, hash_coefficients
 from tessera.functions.text import set_key, shingle_ids, words
 from tessera.operators.joins import DEFAULT_BLOCK, bucket_cross_pairs, bucket_self_pairs
+from tessera.sources.parallel import spread
 
 # Default banding: r=5 rows per band, b=20 bands (100 hashes): a pair at
 # Jaccard 0.85 is missed with probability (1-0.85^5)^20 ~ 8e-6.
@@ -31,42 +35,115 @@ DEFAULT_R = 5
 DEFAULT_B = 20
 DEFAULT_THRESHOLD = 0.85
 DEFAULT_SEED = 42
+BROADCAST_TOKENS = 2_000_000  # shared-token table broadcast only below this row count
 
 
 # --------------------------------------------------------------------- G2
-def shingle(docs: DataFrame, k: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """text -> ``doc_id, shingles`` (distinct 28-bit k-word shingle ids).
+# Fixed tokenisation rule (shared with the SQL oracles): lower-case, split on
+# runs of the whitespace class [ \t\n\x0b\f\r], drop empty tokens; a shingle
+# is k tokens joined by one space; its id is the first 28 bits of md5.
+_SPLIT = re.compile(r"[ \t\n\x0b\f\r]+")
+
+SHINGLE_TYPE = T.StructType([T.StructField("shingles", T.ArrayType(T.LongType())),
+                             T.StructField("skey", T.StringType())])
+
+
+def _shingle_text(text: str, k: int) -> np.ndarray:
+    w = [t for t in _SPLIT.split(text.lower()) if t]
+    if len(w) < k:
+        return np.zeros(0, dtype=np.int64)
+    ids = {int.from_bytes(hashlib.md5(" ".join(w[i:i + k]).encode("utf-8")).digest()[:4], "big") >> 4
+           for i in range(len(w) - k + 1)}
+    return np.fromiter(sorted(ids), dtype=np.int64, count=len(ids))
+
+
+def shingle_udf(k: int):
+    """Arrow-batched shingling: sorted distinct ids + content key (md5 of the sorted ids).
+
+    Whole texts are processed.  The JVM-expression twin is
+    :func:`tessera.functions.text.shingle_ids` (same ids, slower: its
+    per-element lambdas are interpreted).
+    """
 
-    Null texts and texts under k words give no row.
+    @F.pandas_udf(SHINGLE_TYPE)
+    def _sh(texts: pd.Series) -> pd.DataFrame:
+        arrs, keys = [], []
+        for t in texts:
+            a = _shingle_text(t, k) if t is not None else np.zeros(0, dtype=np.int64)
+            arrs.append(a)
+            keys.append(hashlib.md5(a.tobytes()).hexdigest() if len(a) else None)
+        return pd.DataFrame({"shingles": arrs, "skey": keys})
+
+    return _sh
+
+
+def shingle(docs: DataFrame, k: int = 3, id_col: str = "doc_id", text_col: str = "text",
+            with_key: bool = False) -> DataFrame:
+    """text -> ``doc_id, shingles`` (sorted distinct 28-bit k-word shingle ids).
+
+    Null texts and texts under k words give no row.  ``with_key`` adds
+    ``skey``, a content key equal for equal sets (md5 of the sorted ids).
+    Runs as ``mapInPandas`` over Arrow batches: the operator is opaque to
+    filter pushdown, so later filters never re-run the tokeniser.
     """
+    d = spread(docs.where(F.col(text_col).isNotNull())
+               .select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+
+    def _batches(it):
+        for pdf in it:
+            ids, arrs, keys = [], [], []
+            for i, t in zip(pdf["doc_id"].to_numpy(), pdf["text"]):
+                a = _shingle_text(t, k)
+                if len(a):
+                    ids.append(i)
+                    arrs.append(a)
+                    keys.append(hashlib.md5(a.tobytes()).hexdigest())
+            yield pd.DataFrame({"doc_id": pd.Series(ids, dtype="int64"), "shingles": arrs,
+                                "skey": keys})
+
+    s = d.mapInPandas(_batches, "doc_id bigint, shingles array<bigint>, skey string")
+    return s if with_key else s.drop("skey")
+
+
+def shingle_jvm(docs: DataFrame, k: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Same sets with built-in expressions only (kept for plans that must stay in the JVM)."""
     w = docs.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("_w"))
     return (w.where(F.size("_w") >= k)
-            .select("doc_id", shingle_ids(F.col("_w"), k).alias("shingles")))
+            .select("doc_id", F.array_sort(shingle_ids(F.col("_w"), k)).alias("shingles")))
 
 
 # --------------------------------------------------------------------- H1 / D3
 def minhash_udf(n_hashes: int, seed: int = DEFAULT_SEED):
     """Arrow-batched MinHash: sig_i = min_x (a_i x + b_i) mod p, p = 2^31-1.
 
-    Vectorised per document in chunks so a 20,000-shingle document uses a
-    bounded (chunk x n_hashes) matrix.  Empty sets give an all-p signature.
+    The ids of a whole batch are concatenated and hashed in blocks of
+    ``chunk`` ids (bounded memory: chunk x n_hashes int64), and the minimum
+    per document is a ``minimum.reduceat`` over document offsets.  Empty
+    sets give an all-p signature.
     """
     a, b = hash_coefficients(n_hashes, seed)
-    chunk = 4096
+    chunk = 32768
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def _mh(sets: pd.Series) -> pd.Series:
-        out = []
-        for arr in sets:
-            best = np.full(n_hashes, PRIME31, dtype=np.int64)
-            if arr is not None and len(arr):
-                x = np.asarray(arr, dtype=np.int64)
-                for s in range(0, len(x), chunk):
-                    h = (x[s:s + chunk, None] * a[None, :] + b[None, :]) % PRIME31
-                    np.minimum(best, h.min(axis=0), out=best)
-            out.append(best)
-        return pd.Series(out)
+        n = len(sets)
+        out = np.full((n, n_hashes), PRIME31, dtype=np.int64)
+        lens = np.fromiter((0 if s is None else len(s) for s in sets), dtype=np.int64, count=n)
+        if lens.sum() == 0:
+            return pd.Series(list(out))
+        flat = np.concatenate([np.asarray(s, dtype=np.int64) for s in sets if s is not None and len(s)])
+        owner = np.repeat(np.arange(n), lens)
+        for s0 in range(0, len(flat), chunk):
+            x = flat[s0:s0 + chunk]
+            own = owner[s0:s0 + chunk]
+            h = (x[:, None] * a[None, :] + b[None, :]) % PRIME31
+            starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            mins = np.minimum.reduceat(h, starts, axis=0)
+            docs = own[starts]
+            np.minimum(out[docs], mins, out=mins)
+            out[docs] = mins
+        return pd.Series(list(out))
 
     return _mh
 
@@ -111,8 +188,13 @@ def jaccard(a: Column, b: Column) -> Column:
 
 # --------------------------------------------------------------------- collapse
 def content_groups(sets: DataFrame) -> DataFrame:
-    """``doc_id, shingles`` -> ``doc_id, rep`` (rep = lowest id with the same set)."""
-    keyed = sets.select("doc_id", set_key(F.col("shingles")).alias("_k"))
+    """``doc_id, shingles[, skey]`` -> ``doc_id, rep`` (rep = lowest id with the same set).
+
+    Uses ``skey`` when the shingle stage produced it (md5 of the sorted
+    ids), else computes a key from the array.
+    """
+    key = F.col("skey") if "skey" in sets.columns else set_key(F.col("shingles"))
+    keyed = sets.select("doc_id", key.alias("_k"))
     reps = keyed.groupBy("_k").agg(F.min("doc_id").alias("rep"))
     return keyed.join(reps, "_k").select("doc_id", "rep")
 
@@ -129,7 +211,13 @@ def collapse_identical(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 # --------------------------------------------------------------------- C1 / D13
 def candidate_pairs(band_rows: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
-    """Distinct ``doc_a < doc_b`` sharing any (band, key) bucket (skew-tiled)."""
+    """Distinct ``doc_a < doc_b`` sharing any (band, key) bucket (skew-tiled).
+
+    The band rows feed the bucket-size count and both join sides, so they
+    are persisted (memory+disk, recomputable) instead of re-running the
+    signature stage three times.
+    """
+    band_rows = band_rows.persist(StorageLevel.MEMORY_AND_DISK)
     p = bucket_self_pairs(band_rows, ["band", "key"], "doc_id", block=block)
     return p.select(F.col("a").alias("doc_a"), F.col("b").alias("doc_b")).distinct()
 
@@ -155,6 +243,7 @@ def near_dup_pairs_from_sets(sets: DataFrame, r: int = DEFAULT_R, b: int = DEFAU
     """MinHash + banded LSH + exact verification on ``doc_id, shingles``."""
     sets = sets.where(F.size("shingles") > 0)
     reps, star = collapse_identical(sets)
+    reps = reps.persist(StorageLevel.MEMORY_AND_DISK)
     sig = minhash(reps, r * b, seed)
     cands = candidate_pairs(bands(sig, r, b, seed), block)
     verified = threshold_filter(verify_pairs(cands, reps), threshold)
@@ -171,7 +260,7 @@ def near_dup_pairs(docs: DataFrame, k: int = 3, r: int = DEFAULT_R, b: int = DEF
     persisted (memory+disk; recomputable from lineage if an executor dies)
     because it feeds the grouping, the signatures and the verification.
     """
-    sets = shingle(docs, k).persist(StorageLevel.MEMORY_AND_DISK)
+    sets = shingle(docs, k, with_key=True).persist(StorageLevel.MEMORY_AND_DISK)
     return near_dup_pairs_from_sets(sets, r, b, threshold, seed, block)
 
 
@@ -193,14 +282,23 @@ def exact_similar_pairs_from_sets(sets: DataFrame, threshold: float = DEFAULT_TH
         reps, star = collapse_identical(sets)
     else:
         reps, star = sets, None
+    reps = reps.persist(StorageLevel.MEMORY_AND_DISK)
     tok = reps.select("doc_id", F.explode("shingles").alias("tok"))
     df = tok.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
+    # Only tokens shared by >= 2 sets can produce a pair.  Tokens with df = 1
+    # sort first in the (df, tok) order, so a document's prefix holds its
+    # n1 singleton tokens and then the first p - n1 shared tokens.
+    shared = df.where(F.col("df") >= 2)
+    n_shared = shared.count()
+    sh = F.broadcast(shared) if n_shared <= BROADCAST_TOKENS else shared
+    st = tok.join(sh, "tok")
+    ordered = st.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("_o"))
     n = F.size("shingles")
     plen = n - F.ceil(n * F.lit(threshold) - F.lit(1e-9)) + 1
-    ordered = (tok.join(df, "tok").groupBy("doc_id")
-               .agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("_o")))
-    prefix = (ordered.join(reps.select("doc_id", n.alias("n"), plen.alias("p")), "doc_id")
-              .select("doc_id", "n", F.explode(F.slice(F.col("_o"), 1, F.col("p"))).alias("_e"))
+    info = reps.select("doc_id", n.alias("n"), plen.alias("p"))
+    take = F.col("p") - (F.col("n") - F.size("_o"))
+    prefix = (ordered.join(info, "doc_id").where(take > 0)
+              .select("doc_id", "n", F.explode(F.slice(F.col("_o"), 1, take)).alias("_e"))
               .select("doc_id", "n", F.col("_e.tok").alias("tok")))
     pairs = bucket_self_pairs(prefix, ["tok"], "doc_id", block=block, extra=["n"])
     lo = F.least("a_n", "b_n")
@@ -213,7 +311,7 @@ def exact_similar_pairs_from_sets(sets: DataFrame, threshold: float = DEFAULT_TH
 
 def exact_similar_pairs(docs: DataFrame, k: int = 3, threshold: float = DEFAULT_THRESHOLD,
                         block: int = DEFAULT_BLOCK) -> DataFrame:
-    sets = shingle(docs, k).persist(StorageLevel.MEMORY_AND_DISK)
+    sets = shingle(docs, k, with_key=True).persist(StorageLevel.MEMORY_AND_DISK)
     return exact_similar_pairs_from_sets(sets, threshold, block)
 
 

@@ -22,7 +22,7 @@ def _r6(c):
 
 
 def _sets(spark, sf):
-    return lsh.shingle(table(spark, sf, "documents")).persist(StorageLevel.MEMORY_AND_DISK)
+    return lsh.shingle(table(spark, sf, "documents"), with_key=True).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 # ---------------------------------------------------------------- D2 word count
@@ -172,7 +172,7 @@ SELECT tp, fp, fn, {r6('p')} AS precision, {r6('rc')} AS recall,
 def near_dup_f1(spark, sf):
     """LSH near-duplicate edges scored against exact prefix-filter edges."""
     docs = table(spark, sf, "documents")
-    sets = lsh.shingle(docs).persist(StorageLevel.MEMORY_AND_DISK)
+    sets = lsh.shingle(docs, with_key=True).persist(StorageLevel.MEMORY_AND_DISK)
     rep = lsh.near_dup_pairs_from_sets(sets, R, B, T85, SEED)
     tru = lsh.exact_similar_pairs_from_sets(sets, T85)
     f = lsh.pair_f1(rep, tru)
@@ -185,7 +185,7 @@ SELECT doc_a, doc_b, 'tp' AS kind FROM p""")
 def dup_pair_confusion(spark, sf):
     """LSH edges vs exact edges labelled tp/fp/fn by semi/anti joins."""
     docs = table(spark, sf, "documents")
-    sets = lsh.shingle(docs).persist(StorageLevel.MEMORY_AND_DISK)
+    sets = lsh.shingle(docs, with_key=True).persist(StorageLevel.MEMORY_AND_DISK)
     rep = lsh.near_dup_pairs_from_sets(sets, R, B, T85, SEED)
     tru = lsh.exact_similar_pairs_from_sets(sets, T85)
     return lsh.pair_confusion(rep, tru)
