@@ -44,10 +44,6 @@ BROADCAST_TOKENS = 2_000_000  # shared-token table broadcast only below this row
 # is k tokens joined by one space; its id is the first 28 bits of md5.
 _SPLIT = re.compile(r"[ \t\n\x0b\f\r]+")
 
-SHINGLE_TYPE = T.StructType([T.StructField("shingles", T.ArrayType(T.LongType())),
-                             T.StructField("skey", T.StringType())])
-
-
 def _shingle_text(text: str, k: int) -> np.ndarray:
     w = [t for t in _SPLIT.split(text.lower()) if t]
     if len(w) < k:
@@ -57,26 +53,6 @@ def _shingle_text(text: str, k: int) -> np.ndarray:
     return np.fromiter(sorted(ids), dtype=np.int64, count=len(ids))
 
 
-def shingle_udf(k: int):
-    """Arrow-batched shingling: sorted distinct ids + content key (md5 of the sorted ids).
-
-    Whole texts are processed.  The JVM-expression twin is
-    :func:`tessera.functions.text.shingle_ids` (same ids, slower: its
-    per-element lambdas are interpreted).
-    """
-
-    @F.pandas_udf(SHINGLE_TYPE)
-    def _sh(texts: pd.Series) -> pd.DataFrame:
-        arrs, keys = [], []
-        for t in texts:
-            a = _shingle_text(t, k) if t is not None else np.zeros(0, dtype=np.int64)
-            arrs.append(a)
-            keys.append(hashlib.md5(a.tobytes()).hexdigest() if len(a) else None)
-        return pd.DataFrame({"shingles": arrs, "skey": keys})
-
-    return _sh
-
-
 def shingle(docs: DataFrame, k: int = 3, id_col: str = "doc_id", text_col: str = "text",
             with_key: bool = False) -> DataFrame:
     """text -> ``doc_id, shingles`` (sorted distinct 28-bit k-word shingle ids).
@@ -98,8 +74,9 @@ def shingle(docs: DataFrame, k: int = 3, id_col: str = "doc_id", text_col: str =
                     ids.append(i)
                     arrs.append(a)
                     keys.append(hashlib.md5(a.tobytes()).hexdigest())
-            yield pd.DataFrame({"doc_id": pd.Series(ids, dtype="int64"), "shingles": arrs,
-                                "skey": keys})
+            yield pd.DataFrame({"doc_id": pd.Series(ids, dtype="int64"),
+                                "shingles": pd.Series(arrs, dtype=object),
+                                "skey": pd.Series(keys, dtype=object)})
 
     s = d.mapInPandas(_batches, "doc_id bigint, shingles array<bigint>, skey string")
     return s if with_key else s.drop("skey")

@@ -40,6 +40,8 @@ def map_reduce(df: DataFrame, mapper: Callable, reducer: Callable, key_type: T.D
                 for k, v in mapper(None, value):
                     ks.append(k)
                     vs.append(v)
+            if not ks:
+                continue
             out = pd.DataFrame({"k": ks, "v": vs})
             if combiner is not None and len(out):
                 cks, cvs = [], []
