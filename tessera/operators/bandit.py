@@ -65,6 +65,11 @@ def check_arms(arms: DataFrame) -> int:
     return n
 
 
+def arms_side(arms: DataFrame) -> DataFrame:
+    """The arm table as a join side: broadcast only when its row count is checked small."""
+    return F.broadcast(arms) if check_arms(arms) <= 10_000 else arms
+
+
 def arms_dict(arms: DataFrame) -> dict[int, np.ndarray]:
     check_arms(arms)
     return {int(r["arm"]): np.asarray(r["x"], dtype=np.float64) for r in arms.collect()}
@@ -111,8 +116,7 @@ def choices_arms_join(log: DataFrame, arms: DataFrame) -> DataFrame:
 
     The arm table is broadcast only after its size is checked.
     """
-    n = check_arms(arms)
-    a = F.broadcast(arms) if n <= 10_000 else arms
+    a = arms_side(arms)
     e = log.select("t", "z", "chosen", "reward", F.posexplode("choices").alias("pos", "arm"))
     return e.join(a.select("arm", F.col("x").alias("ax")), "arm")
 
@@ -132,8 +136,7 @@ def linucb_sums(accepted: DataFrame, arms: DataFrame, policy: LinUcbPolicy) -> D
     aggregation is partial per task, so a hot arm costs one row per task and
     cell.
     """
-    n = check_arms(arms)
-    a = F.broadcast(arms) if n <= 10_000 else arms
+    a = arms_side(arms)
     r = accepted.join(a.select(F.col("arm").alias("chosen"), F.col("x").alias("ax")), "chosen")
     rew = reward_recode(F.col("reward")) if policy.recodes else F.col("reward")
     x = x_col(policy.kind, F.col("z"), F.col("ax"))

@@ -122,9 +122,11 @@ def vector_sum(df: DataFrame, features: str = "raw", coef: str | None = None,
         for pdf in batches:
             if not len(pdf):
                 continue
-            X = _feat(np.stack(pdf[x_col].to_numpy()).astype(np.float64), features)
+            Xr = np.stack(pdf[x_col].to_numpy()).astype(np.float64)
             c = pdf[coef].to_numpy(dtype=np.float64) if coef else np.ones(len(pdf))
-            acc += c @ X
+            step = max(1, 2_000_000 // max(D, 1))  # rows per block: block holds <= 2M doubles
+            for s0 in range(0, len(Xr), step):
+                acc += c[s0:s0 + step] @ _feat(Xr[s0:s0 + step], features)
             n += len(pdf)
         yield pd.DataFrame({"j": np.arange(-1, D, dtype=np.int64),
                             "v": np.concatenate([[float(n)], acc])})
@@ -155,14 +157,33 @@ def model_vector(model: DataFrame, D: int) -> np.ndarray:
 
 
 # ------------------------------------------------------------------ per-batch training
-def _adam(X: np.ndarray, y: np.ndarray, lam: float, b1: float, b2: float, eps: float = 1e-6) -> np.ndarray:
+def _row_feat(features: str):
+    if features == "raw":
+        return lambda x: x
+    d_cache = {}
+
+    def f(x):
+        d = x.shape[0]
+        N = d_cache.get(d)
+        if N is None:
+            N = np.full((d, d), math.sqrt(2.0))
+            np.fill_diagonal(N, 1.0)
+            d_cache[d] = N
+        return (np.outer(x, x) * N).ravel()
+    return f
+
+
+def _adam(X: np.ndarray, y: np.ndarray, lam: float, b1: float, b2: float, eps: float = 1e-6,
+          features: str = "raw") -> np.ndarray:
     """Reference Adam semantics: moments on every row, step only on a margin violation,
-    bias correction in both lr and the moments."""
-    w = np.zeros(X.shape[1])
+    bias correction in both lr and the moments.  Features are expanded one row
+    at a time (a batch never holds its n x d^2 matrix)."""
+    feat = _row_feat(features)
+    w = np.zeros(feature_width(X.shape[1], features))
     m = np.zeros_like(w)
     v = np.zeros_like(w)
     for t in range(1, len(y) + 1):
-        row = X[t - 1]
+        row = feat(X[t - 1])
         g = -y[t - 1] * row
         m = b1 * m + (1 - b1) * g
         v = b2 * v + (1 - b2) * g * g
@@ -172,13 +193,14 @@ def _adam(X: np.ndarray, y: np.ndarray, lam: float, b1: float, b2: float, eps: f
     return w
 
 
-def _sgd(X: np.ndarray, y: np.ndarray, lam: float) -> np.ndarray:
+def _sgd(X: np.ndarray, y: np.ndarray, lam: float, features: str = "raw") -> np.ndarray:
     """Projected SGD: eta = 5/sqrt(t); on a violation w += eta y x, then project
     to the ball of radius 1/lambda (float lambda)."""
-    w = np.zeros(X.shape[1])
+    feat = _row_feat(features)
+    w = np.zeros(feature_width(X.shape[1], features))
     r = 1.0 / lam
     for t in range(1, len(y) + 1):
-        row = X[t - 1]
+        row = feat(X[t - 1])
         if y[t - 1] * row.dot(w) < 1:
             w += (5.0 / math.sqrt(t)) * y[t - 1] * row
             nrm = np.linalg.norm(w)
@@ -203,9 +225,10 @@ def parallel_svm(train: DataFrame, batch_size: int, seed: int, features: str = "
 
     def _train(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["_o", "id"])
-        X = _feat(np.stack(pdf["x"].to_numpy()).astype(np.float64), features)
+        X = np.stack(pdf["x"].to_numpy()).astype(np.float64)
         y = pdf["y"].to_numpy(dtype=np.float64)
-        w = _adam(X, y, lam, beta1, beta2) if method == "adam" else _sgd(X, y, lam)
+        w = (_adam(X, y, lam, beta1, beta2, features=features) if method == "adam"
+             else _sgd(X, y, lam, features=features))
         return pd.DataFrame({"batch": pdf["batch"].iloc[0], "j": np.arange(len(w), dtype=np.int32), "w": w})
 
     per_batch = b.groupBy("batch").applyInPandas(_train, "batch bigint, j int, w double")

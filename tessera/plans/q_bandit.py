@@ -73,7 +73,7 @@ def concat_features(spark, sf):
     from tessera.functions.features import concat_features as cf
     lg = _log(spark, sf)
     a = _arms(spark, sf)
-    j = lg.join(F.broadcast(a.select(F.col("arm").alias("chosen"), F.col("x").alias("ax"))), "chosen")
+    j = lg.join(BD.arms_side(a.select(F.col("arm").alias("chosen"), F.col("x").alias("ax"))), "chosen")
     f = j.select("t", cf("z", "ax").alias("f"))
     return f.select("t", _r6(_csum(F.col("f"))).alias("checksum"), F.size("f").alias("width"))
 
@@ -86,7 +86,7 @@ def interaction_features(spark, sf):
     from tessera.functions.features import interaction_features as inf
     lg = _log(spark, sf)
     a = _arms(spark, sf)
-    j = lg.join(F.broadcast(a.select(F.col("arm").alias("chosen"), F.col("x").alias("ax"))), "chosen")
+    j = lg.join(BD.arms_side(a.select(F.col("arm").alias("chosen"), F.col("x").alias("ax"))), "chosen")
     f = j.select("t", inf("z", "ax").alias("f"))
     return f.select("t", _r6(_csum(F.col("f"))).alias("checksum"), F.size("f").alias("width"))
 
