@@ -38,6 +38,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.features import concat_features, interaction_features
 from tessera.functions.vectors import outer_flat
+from tessera.sources.parallel import by_key, spread
 
 MAX_ARMS = 100_000
 
@@ -137,6 +138,7 @@ def linucb_sums(accepted: DataFrame, arms: DataFrame, policy: LinUcbPolicy) -> D
     cell.
     """
     a = arms_side(arms)
+    accepted = spread(accepted)
     r = accepted.join(a.select(F.col("arm").alias("chosen"), F.col("x").alias("ax")), "chosen")
     rew = reward_recode(F.col("reward")) if policy.recodes else F.col("reward")
     x = x_col(policy.kind, F.col("z"), F.col("ax"))
@@ -247,21 +249,27 @@ def state_from_sums(sums: DataFrame, arm_x: dict, policy: LinUcbPolicy) -> LinUc
 
 def state_long(spark, st: LinUcbState) -> DataFrame:
     """State as ``arm, stat, i, j, v`` (arm null for the shared A0, b0)."""
-    rows = []
+    parts = []
+
+    def add(arm, stat, M):
+        M = np.atleast_2d(M) if M.ndim == 2 else M[:, None]
+        ii, jj = np.indices(M.shape)
+        parts.append(pd.DataFrame({"arm": pd.array(np.full(M.size, arm if arm is not None else 0), dtype="Int64"),
+                                   "stat": stat, "i": ii.ravel().astype("int32"), "j": jj.ravel().astype("int32"),
+                                   "v": M.ravel()}))
+        if arm is None:
+            parts[-1]["arm"] = pd.array([None] * M.size, dtype="Int64")
+
     for a in sorted(st.A):
-        for (i, j), v in np.ndenumerate(st.A[a]):
-            rows.append((a, "A", i, j, float(v)))
-        for i, v in enumerate(st.b[a]):
-            rows.append((a, "b", i, 0, float(v)))
+        add(a, "A", st.A[a])
+        add(a, "b", st.b[a])
         if a in st.B:
-            for (i, j), v in np.ndenumerate(st.B[a]):
-                rows.append((a, "B", i, j, float(v)))
+            add(a, "B", st.B[a])
     if st.A0 is not None:
-        for (i, j), v in np.ndenumerate(st.A0):
-            rows.append((None, "A0", i, j, float(v)))
-        for i, v in enumerate(st.b0):
-            rows.append((None, "b0", i, 0, float(v)))
-    return spark.createDataFrame(rows, "arm bigint, stat string, i int, j int, v double")
+        add(None, "A0", st.A0)
+        add(None, "b0", st.b0)
+    pdf = pd.concat(parts, ignore_index=True)
+    return spark.createDataFrame(pdf, "arm bigint, stat string, i int, j int, v double")
 
 
 def train_state(accepted: DataFrame, arms: DataFrame, policy: LinUcbPolicy) -> LinUcbState:
@@ -270,17 +278,29 @@ def train_state(accepted: DataFrame, arms: DataFrame, policy: LinUcbPolicy) -> L
 
 # ------------------------------------------------------------------ scoring
 class _Scorer:
-    """UCB scoring over a live LinUCB state; inverses are cached and refreshed
-    only for the arm that changed (and the shared block on hybrid updates)."""
+    """UCB scoring over a live LinUCB state.
+
+    Per-arm quantities are kept as stacked arrays (arms x d x d), so the ~20
+    candidates of an event are scored by a few batched ``einsum`` calls;
+    inverses are refreshed only for the arm that changed (and the shared
+    block on hybrid updates).
+    """
 
     def __init__(self, st: LinUcbState):
         self.st = st
         self.kind = st.policy.kind
         self.alpha = st.policy.alpha
-        self.arm_x = st.arm_x
         self.hybrid = st.policy.hybrid
         self.dx, self.dz = st.dims()
-        self.Ainv = {a: np.linalg.inv(A) for a, A in st.A.items()}
+        arms = sorted(st.arm_x)
+        self.index = {a: i for i, a in enumerate(arms)}
+        self.art = np.array([st.arm_x[a] for a in arms], dtype=np.float64).reshape(len(arms), -1)
+        n = len(arms)
+        self.Ainv = np.repeat(np.eye(self.dx)[None], n, axis=0)
+        self.b = np.zeros((n, self.dx))
+        self.B = np.zeros((n, self.dx, self.dz)) if self.hybrid else None
+        for a in st.A:
+            self.refresh_arm(a)
         if self.hybrid:
             self.refresh_shared()
 
@@ -291,37 +311,51 @@ class _Scorer:
         self.beta = self.A0inv @ b0
 
     def refresh_arm(self, a):
-        self.Ainv[a] = np.linalg.inv(self.st.A[a])
+        i = self.index.get(a)
+        if i is None:
+            return
+        self.Ainv[i] = np.linalg.inv(self.st.A[a])
+        self.b[i] = self.st.b[a]
+        if self.hybrid:
+            self.B[i] = self.st.B[a]
+
+    def scores(self, user: np.ndarray, choices) -> np.ndarray:
+        """UCB of every candidate (-inf for an arm without features)."""
+        out = np.full(len(choices), -np.inf)
+        pos = [p for p, a in enumerate(choices) if int(a) in self.index]
+        if not pos:
+            return out
+        idx = np.array([self.index[int(choices[p])] for p in pos])
+        art = self.art[idx]
+        u = np.broadcast_to(user, (len(idx), user.shape[0]))
+        x = x_of(self.kind, u, art)
+        Ai = self.Ainv[idx]
+        Aix = np.einsum("kij,kj->ki", Ai, x)
+        if not self.hybrid:
+            w = np.einsum("kij,kj->ki", Ai, self.b[idx])
+            q = np.maximum((x * Aix).sum(1), 0.0)
+            out[pos] = (w * x).sum(1) + self.alpha * np.sqrt(q)
+            return out
+        z = z_of(self.kind, u, art)
+        B = self.B[idx]
+        th = np.einsum("kij,kj->ki", Ai, self.b[idx] - B @ self.beta)
+        m = np.einsum("ij,kj->ki", self.A0inv, np.einsum("kji,kj->ki", B, Aix))
+        s = (np.einsum("ki,ij,kj->k", z, self.A0inv, z) - 2 * (z * m).sum(1) + (x * Aix).sum(1)
+             + (Aix * np.einsum("kij,kj->ki", B, m)).sum(1))
+        out[pos] = z @ self.beta + (x * th).sum(1) + self.alpha * np.sqrt(np.maximum(s, 0.0))
+        return out
 
     def ucb(self, user: np.ndarray, arm: int) -> float:
-        art = self.arm_x.get(arm)
-        if art is None:
-            return -np.inf
-        x = x_of(self.kind, user, art)
-        Ai = self.Ainv.get(arm)
-        if Ai is None:  # untouched arm: A = I, b = 0, B = 0
-            Ai = np.eye(self.dx)
-        b = self.st.b.get(arm)
-        if b is None:
-            b = np.zeros(self.dx)
-        if not self.hybrid:
-            return float((Ai @ b) @ x + self.alpha * math.sqrt(max(x @ Ai @ x, 0.0)))
-        z = z_of(self.kind, user, art)
-        B = self.st.B.get(arm)
-        if B is None:
-            B = np.zeros((self.dx, self.dz))
-        th = Ai @ (b - B @ self.beta)
-        m = self.A0inv @ (B.T @ (Ai @ x))
-        s = z @ self.A0inv @ z - 2 * z @ m + x @ Ai @ x + x @ Ai @ B @ m
-        return float(z @ self.beta + x @ th + self.alpha * math.sqrt(max(s, 0.0)))
+        return float(self.scores(user, [arm])[0])
 
     def pick(self, user: np.ndarray, choices) -> tuple[int, float, int]:
-        best, bu, bp = -1, -np.inf, -1
-        for p, a in enumerate(choices):
-            u = self.ucb(user, int(a))
-            if u > bu:  # strict: the first candidate wins ties
-                best, bu, bp = int(a), u, p
-        return best, bu, bp
+        if not len(choices):
+            return -1, -np.inf, -1
+        sc = self.scores(user, choices)
+        p = int(np.argmax(sc))  # first maximum: the first candidate wins ties
+        if not np.isfinite(sc[p]):
+            return -1, -np.inf, -1
+        return int(choices[p]), float(sc[p]), p
 
 
 PICK_TYPE = T.StructType([T.StructField("arm", T.LongType()), T.StructField("ucb", T.DoubleType()),
@@ -529,7 +563,7 @@ def replay_adaptive(log: DataFrame, arms: DataFrame, policies: list[LinUcbPolicy
                              "segment": [int(pdf["segment"].iloc[0])], "accepted": [acc],
                              "reward_sum": [rsum], "ctr": [rsum / acc if acc else 0.0]})
 
-    return g.groupBy("pid", "segment").applyInPandas(
+    return by_key(g, "pid", "segment").groupBy("pid", "segment").applyInPandas(
         _run, "pid int, kind string, alpha double, segment bigint, accepted bigint, reward_sum bigint, ctr double")
 
 

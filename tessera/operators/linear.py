@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.features import poly2_np, poly2_weights_matrix
 from tessera.operators.sampling import hash_batches
+from tessera.sources.parallel import by_key
 
 MAX_MODEL = 50_000_000  # doubles
 
@@ -231,7 +232,7 @@ def parallel_svm(train: DataFrame, batch_size: int, seed: int, features: str = "
              else _sgd(X, y, lam, features=features))
         return pd.DataFrame({"batch": pdf["batch"].iloc[0], "j": np.arange(len(w), dtype=np.int32), "w": w})
 
-    per_batch = b.groupBy("batch").applyInPandas(_train, "batch bigint, j int, w double")
+    per_batch = by_key(b, "batch").groupBy("batch").applyInPandas(_train, "batch bigint, j int, w double")
     return weight_average(per_batch)
 
 
@@ -373,5 +374,5 @@ def margin_selection(candidates: DataFrame, labeled: DataFrame, lam: float, step
         return pd.DataFrame({"id": [pdf["id"].iloc[0]], "lab": [yc], "margin": [margin]})
 
     grid = candidates.select("id", "x", F.explode(F.array(F.lit(1.0), F.lit(-1.0))).alias("lab"))
-    res = grid.groupBy("id", "lab").applyInPandas(_train, "id bigint, lab double, margin double")
+    res = by_key(grid, "id", "lab").groupBy("id", "lab").applyInPandas(_train, "id bigint, lab double, margin double")
     return res.groupBy("id").agg(F.min("margin").alias("score"))

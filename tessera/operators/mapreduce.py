@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tessera.sources.parallel import spread
+
 _KEY_TYPES = (T.StringType, T.LongType, T.DoubleType)
 
 
@@ -77,7 +79,7 @@ def map_reduce(df: DataFrame, mapper: Callable, reducer: Callable, key_type: T.D
             rows.extend(reducer(k, list(grp)))
         return pd.DataFrame(rows, columns=names)
 
-    mapped = df.select(value_col).mapInPandas(_map, map_schema)
+    mapped = spread(df.select(value_col)).mapInPandas(_map, map_schema)
     # One shuffle by key; the sort puts each key's values next to each other
     # (external sort, spills), so no group is ever built as one object
     # beyond the values the reducer asks for.

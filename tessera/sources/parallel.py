@@ -18,3 +18,15 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+def by_key(df: DataFrame, *keys: str, factor: int = 2) -> DataFrame:
+    """Hash-partition on the grouping keys before a Python-heavy grouped map.
+
+    AQE would coalesce a small shuffle into a few partitions and serialize
+    the (CPU-bound) groups; an explicit repartition keeps one task slot per
+    core busy, and the following ``groupBy(keys)`` reuses this partitioning
+    (no second shuffle).
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism * factor
+    return df.repartition(n, *keys)
