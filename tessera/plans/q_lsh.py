@@ -191,6 +191,41 @@ def dup_pair_confusion(spark, sf):
     return lsh.pair_confusion(rep, tru)
 
 
+# ---------------------------------------------------------------- D4 with misses
+F1_R, F1_B = 10, 5  # short on bands on purpose: (1 - 0.85^10)^5 = 0.33 miss rate at t
+
+
+def _lsh_edges_sql(r, b, t):
+    return f"""{minhash_ctes(r * b, SEED, sets='grp_reps')}, {band_ctes(r, b, SEED)},
+cand AS (SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM bnd a JOIN bnd b
+         ON a.band = b.band AND a.key = b.key AND a.doc_id < b.doc_id),
+rep AS (SELECT c.doc_a, c.doc_b FROM cand c JOIN grp_reps x ON x.doc_id = c.doc_a JOIN grp_reps y ON y.doc_id = c.doc_b
+        WHERE len(list_intersect(x.s, y.s)) / (len(x.s) + len(y.s) - len(list_intersect(x.s, y.s))) >= {t}
+        UNION ALL SELECT rep, doc_id FROM grp WHERE doc_id <> rep)"""
+
+
+@query("dedup_f1", f"""WITH {near_dup_edges_ctes(T85)}, {_lsh_edges_sql(F1_R, F1_B, T85)},
+tru AS (SELECT DISTINCT doc_a, doc_b FROM nd), lshp AS (SELECT DISTINCT doc_a, doc_b FROM rep),
+fo AS (SELECT l.doc_a IS NOT NULL AS r, t.doc_a IS NOT NULL AS t
+       FROM lshp l FULL OUTER JOIN tru t ON l.doc_a = t.doc_a AND l.doc_b = t.doc_b),
+c AS (SELECT coalesce(sum(CASE WHEN r AND t THEN 1 ELSE 0 END), 0)::BIGINT AS tp,
+             coalesce(sum(CASE WHEN r AND NOT t THEN 1 ELSE 0 END), 0)::BIGINT AS fp,
+             coalesce(sum(CASE WHEN t AND NOT r THEN 1 ELSE 0 END), 0)::BIGINT AS fn FROM fo),
+pr AS (SELECT tp, fp, fn,
+              CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS p,
+              CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS rc FROM c)
+SELECT tp, fp, fn, {r6('p')} AS precision, {r6('rc')} AS recall,
+       {r6('CASE WHEN p + rc > 0 THEN 2 * p * rc / (p + rc) ELSE 0.0 END')} AS f1 FROM pr""")
+def dedup_f1(spark, sf):
+    """precision/recall/F1 of a deliberately short-banded LSH (r=10, b=5) against exact edges."""
+    docs = table(spark, sf, "documents")
+    sets = lsh.shingle(docs, with_key=True).persist(StorageLevel.MEMORY_AND_DISK)
+    rep = lsh.near_dup_pairs_from_sets(sets, F1_R, F1_B, T85, SEED)
+    tru = lsh.exact_similar_pairs_from_sets(sets, T85)
+    f = lsh.pair_f1(rep, tru)
+    return f.select("tp", "fp", "fn", *[_r6(F.col(c)).alias(c) for c in ("precision", "recall", "f1")])
+
+
 # ---------------------------------------------------------------- L3
 @query("dedup_keep_first", f"""WITH RECURSIVE {near_dup_edges_ctes(T85)},
 e AS (SELECT doc_a AS u, doc_b AS v FROM nd UNION SELECT doc_b, doc_a FROM nd),

@@ -9,7 +9,7 @@ from tessera.operators import lsh
 from tessera.operators import vector_lsh as VL
 from tessera.plans.q_cluster import PTS, label_centers, points
 from tessera.plans.registry import query, table
-from tessera.plans.sqlparts import exact_pairs_ctes, r6, shingles_cte
+from tessera.plans.sqlparts import band_ctes, exact_pairs_ctes, minhash_ctes, r6, shingles_cte
 from tessera.plans.sqlparts import gaussian as sql_gaussian
 from tessera.plans.sqlparts import uniform as sql_uniform
 
@@ -164,8 +164,8 @@ R, B, LSEED = lsh.DEFAULT_R, lsh.DEFAULT_B, lsh.DEFAULT_SEED
 
 
 @query("lsh_collision_curve", f"""WITH {shingles_cte()}, {exact_pairs_ctes(CURVE_T, sets='sh')},
-{__import__('tessera.plans.sqlparts', fromlist=['x']).minhash_ctes(R * B, LSEED)},
-{__import__('tessera.plans.sqlparts', fromlist=['x']).band_ctes(R, B, LSEED)},
+{minhash_ctes(R * B, LSEED)},
+{band_ctes(R, B, LSEED)},
 cand AS (SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM bnd a JOIN bnd b
          ON a.band = b.band AND a.key = b.key AND a.doc_id < b.doc_id),
 o AS (SELECT ex.j, (c.doc_a IS NOT NULL)::INTEGER AS hit FROM ex LEFT JOIN cand c USING (doc_a, doc_b))
