@@ -38,6 +38,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.features import concat_features, interaction_features
 from tessera.functions.vectors import outer_flat
+from tessera.session import swap
 from tessera.sources.parallel import by_key, spread
 
 MAX_ARMS = 100_000
@@ -563,7 +564,8 @@ def replay_adaptive(log: DataFrame, arms: DataFrame, policies: list[LinUcbPolicy
                              "segment": [int(pdf["segment"].iloc[0])], "accepted": [acc],
                              "reward_sum": [rsum], "ctr": [rsum / acc if acc else 0.0]})
 
-    return by_key(g, "pid", "segment").groupBy("pid", "segment").applyInPandas(
+    # groups differ a lot in cost (hybrid vs UCB1): many small partitions balance them
+    return by_key(g, "pid", "segment", factor=8).groupBy("pid", "segment").applyInPandas(
         _run, "pid int, kind string, alpha double, segment bigint, accepted bigint, reward_sum bigint, ctr double")
 
 
@@ -578,7 +580,6 @@ def replay_minibatch(log: DataFrame, arms: DataFrame, policy: LinUcbPolicy, slic
     spark = log.sparkSession
     st = LinUcbState(policy, arm_x)
     dx, dz = st.dims()
-    acc_parts = []
     sums_total = None
     out = []
     t0 = lo
@@ -592,10 +593,11 @@ def replay_minibatch(log: DataFrame, arms: DataFrame, policy: LinUcbPolicy, slic
         c = acc.agg(F.count(F.lit(1)).alias("n"), F.sum("reward").alias("r")).first()
         out.append((k, int(t0), int(c["n"]), int(c["r"] or 0)))
         s = linucb_sums(acc, arms, policy)
-        sums_total = s if sums_total is None else (
+        merged = s if sums_total is None else (
             sums_total.unionByName(s).groupBy("arm", "stat", "i", "j").agg(F.sum("v").alias("v")))
-        sums_total = sums_total.persist(StorageLevel.MEMORY_AND_DISK)
-        acc_parts.append(acc)
+        # the running sums are model-sized; checkpoint them so lineage stays one slice deep
+        sums_total = swap(sums_total, merged, checkpoint=True)
+        acc.unpersist()
         t0 += slice_len
         k += 1
     df = spark.createDataFrame(out, "slice int, t_start bigint, accepted bigint, reward_sum bigint")

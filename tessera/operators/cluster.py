@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from tessera.functions import vectors as V
 from tessera.operators.sampling import race_key, uniform_sample, weighted_sample
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, swap
 
 MAX_CENTER_CELLS = 20_000_000  # k * d doubles (160 MB) allowed on the driver / in a task
 
@@ -170,8 +170,7 @@ def kmeans_pp(points: DataFrame, k: int, seed: int, weight: str | None = None,
         d = V.sqdist(F.col("x"), x)
         md = d if r == 0 else F.least(F.col("_md"), d)
         nxt = cur.withColumn("_md", md).select("id", "x", "_w", "_md")
-        nxt = cut_lineage(nxt) if (r + 1) % checkpoint_every == 0 else nxt.persist(StorageLevel.MEMORY_AND_DISK)
-        cur = nxt
+        cur = swap(cur if r > 0 else None, nxt, checkpoint=(r + 1) % checkpoint_every == 0)
     spark = points.sparkSession
     return spark.createDataFrame(chosen, "cid int, id bigint, x array<double>")
 
@@ -205,6 +204,7 @@ def kmeans_lloyd(points: DataFrame, centers, max_iter: int = 50, tol: float = 0.
         C = newC
         if shift < tol:
             break
+    pts.unpersist()
     return (cids, C), it
 
 
@@ -252,6 +252,8 @@ def halving_coreset(points: DataFrame, k: int, eps: float, seed: int,
         near = a.where(F.col("d2") <= cut)
         layers.append(near.select("id", "x", F.lit(b).alias("b"), "d2"))
         rest = cut_lineage(a.where(F.col("d2") > cut).select("id", "x"))
+        layers[-1] = cut_lineage(layers[-1])
+        a.unpersist()
         b += 1
     out = layers[0]
     for l in layers[1:]:

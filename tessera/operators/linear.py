@@ -305,6 +305,7 @@ def pegasos(train: DataFrame, lam: float, steps: int, features: str = "raw", bat
             nrm = np.linalg.norm(w)
             if nrm > 0:
                 w = w * min(1.0, (1.0 / math.sqrt(lam)) / nrm)
+    data.unpersist()
     return w
 
 

@@ -341,12 +341,13 @@ def connected_groups(edges: DataFrame, max_rounds: int = 64, checkpoint_every: i
     a reliable checkpoint every few rounds.  Output ``doc_id, group_id``
     (group_id = smallest id in the component).
     """
-    from tessera.session import cut_lineage
+    from tessera.session import cut_lineage, swap
 
     e = edges.select(F.col("doc_a").alias("u"), F.col("doc_b").alias("v"))
     und = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
     und = cut_lineage(und)
     labels = und.select(F.col("u").alias("node")).distinct().withColumn("label", F.col("node"))
+    prev = None
     for i in range(max_rounds):
         prop = (und.join(labels.withColumnRenamed("node", "v").withColumnRenamed("label", "lv"), "v")
                 .groupBy("u").agg(F.min("lv").alias("cand")))
@@ -356,8 +357,11 @@ def connected_groups(edges: DataFrame, max_rounds: int = 64, checkpoint_every: i
         new = (hooked.join(jump, "l1", "left")
                .select("node", F.least("l1", F.coalesce("l2", "l1")).alias("label"),
                        (F.least("l1", F.coalesce("l2", "l1")) < F.col("label")).alias("_chg")))
-        new = cut_lineage(new) if (i + 1) % checkpoint_every == 0 else new.persist(StorageLevel.MEMORY_AND_DISK)
+        new = swap(None, new, checkpoint=(i + 1) % checkpoint_every == 0)
         changed = new.where("_chg").limit(1).count()
+        if prev is not None:
+            prev.unpersist()
+        prev = new
         labels = new.select("node", "label")
         if changed == 0:
             break

@@ -13,7 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, swap
 
 MAX_BROADCAST_ELEMS = 2_000_000
 
@@ -43,9 +43,7 @@ def greedy_cover(elements: DataFrame, k: int, checkpoint_every: int = 4) -> Data
         sid, gain = best[0]["set_id"], int(best[0]["gain"])
         out.append((r, sid, gain))
         chosen = rem.where(F.col("set_id") == sid).select("elem").distinct()
-        nxt = _residual_after(rem, chosen)
-        nxt = cut_lineage(nxt) if r % checkpoint_every == 0 else nxt.persist(StorageLevel.MEMORY_AND_DISK)
-        rem = nxt
+        rem = swap(rem, _residual_after(rem, chosen), checkpoint=r % checkpoint_every == 0)
     return elements.sparkSession.createDataFrame(out, "round int, set_id bigint, gain bigint")
 
 
@@ -77,9 +75,8 @@ def lazy_greedy_cover(elements: DataFrame, k: int, m0: int = 8, checkpoint_every
             best_id = min(cand, key=lambda c: (-g.get(c, 0), c))
             best_gain = g.get(best_id, 0)
             upd = spark.createDataFrame([(c, float(g.get(c, 0))) for c in cand], "set_id bigint, newb double")
-            bounds = (bounds.join(F.broadcast(upd), "set_id", "left")
-                      .select("set_id", F.coalesce("newb", "bound").alias("bound")))
-            bounds = bounds.persist(StorageLevel.MEMORY_AND_DISK)
+            bounds = swap(bounds, bounds.join(F.broadcast(upd), "set_id", "left")
+                          .select("set_id", F.coalesce("newb", "bound").alias("bound")))
             if best_gain > nxt_bound or len(top) <= m:
                 break
             m *= 2
@@ -87,9 +84,9 @@ def lazy_greedy_cover(elements: DataFrame, k: int, m0: int = 8, checkpoint_every
             break
         out.append((r, best_id, best_gain))
         chosen = rem.where(F.col("set_id") == best_id).select("elem").distinct()
-        nxt = _residual_after(rem, chosen)
-        rem = cut_lineage(nxt) if r % checkpoint_every == 0 else nxt.persist(StorageLevel.MEMORY_AND_DISK)
-        bounds = cut_lineage(bounds) if r % checkpoint_every == 0 else bounds
+        rem = swap(rem, _residual_after(rem, chosen), checkpoint=r % checkpoint_every == 0)
+        if r % checkpoint_every == 0:
+            bounds = swap(bounds, bounds, checkpoint=True)
     return spark.createDataFrame(out, "round int, set_id bigint, gain bigint")
 
 
@@ -127,5 +124,5 @@ def facility_location(points: DataFrame, facilities: np.ndarray, fac_ids: list[i
         f = [float(v) for v in Fm[best]]
         from tessera.functions.vectors import dot
         nxt = cur.select("id", "x", F.greatest("cur", F.lit(1.0) + dot("x", f)).alias("cur"))
-        cur = cut_lineage(nxt) if r % checkpoint_every == 0 else nxt.persist(StorageLevel.MEMORY_AND_DISK)
+        cur = swap(cur, nxt, checkpoint=r % checkpoint_every == 0)
     return points.sparkSession.createDataFrame(out, "round int, facility bigint, gain double")

@@ -24,7 +24,8 @@ def _log(spark, sf):
 
 
 def _arms(spark, sf):
-    return arms(table(spark, sf, "events"))
+    # model-sized (one row per arm); cached because several small actions read it
+    return arms(table(spark, sf, "events")).cache()
 
 
 def _csum(arr):

@@ -52,3 +52,17 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def swap(old: DataFrame | None, new: DataFrame, checkpoint: bool = False) -> DataFrame:
+    """Advance a loop's state: persist (or reliably checkpoint) ``new``,
+    materialise it, then release ``old`` so cached rounds never pile up."""
+    from pyspark import StorageLevel
+    if checkpoint:
+        nxt = cut_lineage(new)
+    else:
+        nxt = new.persist(StorageLevel.MEMORY_AND_DISK)
+        nxt.count()
+    if old is not None:
+        old.unpersist()
+    return nxt
