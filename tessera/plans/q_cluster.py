@@ -298,7 +298,8 @@ def kmeans_baseline(spark, sf):
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
     pts = points(spark, sf).withColumn("features", array_to_vector("x"))
-    test = F.abs(F.xxhash64("id")) % 5 == 0
+    from tessera.functions.hashing import uniform
+    test = uniform(SEED, "split", F.col("id")) < 0.2  # same held-out rule as the linear queries
     model = KMeans(k=10, seed=SEED, maxIter=20).fit(pts.where(~test))
     C = model.clusterCenters()
     import numpy as np
