@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import materialize
+
 DEFAULT_BLOCK = 4096
 
 
@@ -38,7 +40,8 @@ def bucket_self_pairs(rows: DataFrame, keys: list[str], id_col: str,
     deduplicate after their own pair filters.
     """
     extra = extra or []
-    r = _with_blocks(rows.select(*keys, id_col, *extra), keys, id_col, block)
+    # the narrow input feeds the size count and both join sides: fill it once
+    r = _with_blocks(materialize(rows.select(*keys, id_col, *extra)), keys, id_col, block)
     left = (r.withColumn("_tj", F.explode(F.sequence(F.col("_b"), F.col("_s") - 1)))
             .withColumn("_ti", F.col("_b")))
     right = (r.withColumn("_ti", F.explode(F.sequence(F.lit(0), F.col("_b"))))
@@ -59,8 +62,8 @@ def bucket_self_pairs(rows: DataFrame, keys: list[str], id_col: str,
 def bucket_cross_pairs(left: DataFrame, right: DataFrame, keys: list[str],
                        left_id: str, right_id: str, block: int = DEFAULT_BLOCK) -> DataFrame:
     """All (left_id, right_id) pairs sharing a bucket, tiled for skew."""
-    l = _with_blocks(left.select(*keys, left_id), keys, left_id, block, "_nl")
-    r = _with_blocks(right.select(*keys, right_id), keys, right_id, block, "_nr")
+    l = _with_blocks(materialize(left.select(*keys, left_id)), keys, left_id, block, "_nl")
+    r = _with_blocks(materialize(right.select(*keys, right_id)), keys, right_id, block, "_nr")
     # each side needs the other side's block count for its bucket
     l = l.join(r.select(*keys, F.col("_s").alias("_so")).dropDuplicates(keys), keys)
     r = r.join(l.select(*keys, F.col("_s").alias("_so")).dropDuplicates(keys), keys)

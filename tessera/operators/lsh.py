@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from tessera.functions.hashing import PRIME31, hash_coefficients
 from tessera.functions.text import set_key, shingle_ids, words
 from tessera.operators.joins import DEFAULT_BLOCK, bucket_cross_pairs, bucket_self_pairs
+from tessera.session import materialize
 from tessera.sources.parallel import spread
 
 # Default banding: r=5 rows per band, b=20 bands (100 hashes): a pair at
@@ -194,7 +195,7 @@ def candidate_pairs(band_rows: DataFrame, block: int = DEFAULT_BLOCK) -> DataFra
     are persisted (memory+disk, recomputable) instead of re-running the
     signature stage three times.
     """
-    band_rows = band_rows.persist(StorageLevel.MEMORY_AND_DISK)
+    band_rows = materialize(band_rows)
     p = bucket_self_pairs(band_rows, ["band", "key"], "doc_id", block=block)
     return p.select(F.col("a").alias("doc_a"), F.col("b").alias("doc_b")).distinct()
 
@@ -220,7 +221,7 @@ def near_dup_pairs_from_sets(sets: DataFrame, r: int = DEFAULT_R, b: int = DEFAU
     """MinHash + banded LSH + exact verification on ``doc_id, shingles``."""
     sets = sets.where(F.size("shingles") > 0)
     reps, star = collapse_identical(sets)
-    reps = reps.persist(StorageLevel.MEMORY_AND_DISK)
+    reps = materialize(reps)
     sig = minhash(reps, r * b, seed)
     cands = candidate_pairs(bands(sig, r, b, seed), block)
     verified = threshold_filter(verify_pairs(cands, reps), threshold)
@@ -237,7 +238,7 @@ def near_dup_pairs(docs: DataFrame, k: int = 3, r: int = DEFAULT_R, b: int = DEF
     persisted (memory+disk; recomputable from lineage if an executor dies)
     because it feeds the grouping, the signatures and the verification.
     """
-    sets = shingle(docs, k, with_key=True).persist(StorageLevel.MEMORY_AND_DISK)
+    sets = materialize(shingle(docs, k, with_key=True))
     return near_dup_pairs_from_sets(sets, r, b, threshold, seed, block)
 
 
@@ -259,13 +260,13 @@ def exact_similar_pairs_from_sets(sets: DataFrame, threshold: float = DEFAULT_TH
         reps, star = collapse_identical(sets)
     else:
         reps, star = sets, None
-    reps = reps.persist(StorageLevel.MEMORY_AND_DISK)
+    reps = materialize(reps)
     tok = reps.select("doc_id", F.explode("shingles").alias("tok"))
     df = tok.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
     # Only tokens shared by >= 2 sets can produce a pair.  Tokens with df = 1
     # sort first in the (df, tok) order, so a document's prefix holds its
     # n1 singleton tokens and then the first p - n1 shared tokens.
-    shared = df.where(F.col("df") >= 2)
+    shared = materialize(df.where(F.col("df") >= 2))
     n_shared = shared.count()
     sh = F.broadcast(shared) if n_shared <= BROADCAST_TOKENS else shared
     st = tok.join(sh, "tok")
@@ -288,7 +289,7 @@ def exact_similar_pairs_from_sets(sets: DataFrame, threshold: float = DEFAULT_TH
 
 def exact_similar_pairs(docs: DataFrame, k: int = 3, threshold: float = DEFAULT_THRESHOLD,
                         block: int = DEFAULT_BLOCK) -> DataFrame:
-    sets = shingle(docs, k, with_key=True).persist(StorageLevel.MEMORY_AND_DISK)
+    sets = materialize(shingle(docs, k, with_key=True))
     return exact_similar_pairs_from_sets(sets, threshold, block)
 
 
@@ -387,8 +388,8 @@ def cross_near_dup_pairs(left_sets: DataFrame, right_sets: DataFrame, r: int = D
     """
     ls = left_sets.where(F.size("shingles") > 0)
     rs = right_sets.where(F.size("shingles") > 0)
-    lb = bands(minhash(ls, r * b, seed), r, b, seed).withColumnRenamed("doc_id", "left_id")
-    rb = bands(minhash(rs, r * b, seed), r, b, seed).withColumnRenamed("doc_id", "right_id")
+    lb = materialize(bands(minhash(ls, r * b, seed), r, b, seed).withColumnRenamed("doc_id", "left_id"))
+    rb = materialize(bands(minhash(rs, r * b, seed), r, b, seed).withColumnRenamed("doc_id", "right_id"))
     cands = bucket_cross_pairs(lb, rb, ["band", "key"], "left_id", "right_id", block).distinct()
     la = ls.select(F.col("doc_id").alias("left_id"), F.col("shingles").alias("_sa"))
     ra = rs.select(F.col("doc_id").alias("right_id"), F.col("shingles").alias("_sb"))

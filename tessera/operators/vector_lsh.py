@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from tessera.functions import vectors as V
 from tessera.functions.hashing import gaussian_matrix, uniform_vector
 from tessera.operators.joins import DEFAULT_BLOCK, bucket_cross_pairs, bucket_self_pairs
+from tessera.session import materialize
 
 
 def project_udf(W: np.ndarray):
@@ -62,7 +63,7 @@ def cosine_lsh_pairs(points: DataFrame, r: int, b: int, threshold: float, seed:
     d = len(points.select("x").first()["x"])
     W = gaussian_matrix(r * b, d, seed, "cos")
     bits = cosine_bits(F.col("x"), W)
-    rows = with_projections(points, W).select("id", F.posexplode(band_keys(bits, r, b)).alias("band", "key"))
+    rows = materialize(with_projections(points, W).select("id", F.posexplode(band_keys(bits, r, b)).alias("band", "key")))
     cands = bucket_self_pairs(rows, ["band", "key"], "id", block).select(
         F.col("a").alias("id_a"), F.col("b").alias("id_b")).distinct()
     return verify_vectors(cands, points, "cosine").where(F.col("cosine") >= threshold)
@@ -114,7 +115,7 @@ def euclidean_lsh_pairs(points: DataFrame, r: int, b: int, a: float, radius: flo
     d = len(points.select("x").first()["x"])
     W, bvec = _e2lsh_params(d, r, b, a, seed)
     hs = euclidean_hashes(F.col("x"), W, bvec, a)
-    rows = with_projections(points, W).select("id", F.posexplode(band_keys(hs, r, b)).alias("band", "key"))
+    rows = materialize(with_projections(points, W).select("id", F.posexplode(band_keys(hs, r, b)).alias("band", "key")))
     cands = bucket_self_pairs(rows, ["band", "key"], "id", block).select(
         F.col("a").alias("id_a"), F.col("b").alias("id_b")).distinct()
     return verify_vectors(cands, points, "l2").where(F.col("l2") <= radius)
@@ -127,9 +128,9 @@ def near_neighbors(queries: DataFrame, base: DataFrame, r: int, b: int, a: float
     d = len(base.select("x").first()["x"])
     W, bvec = _e2lsh_params(d, r, b, a, seed)
     hq = euclidean_hashes(F.col("x"), W, bvec, a)
-    qrows = with_projections(queries, W).select(F.col("id").alias("qid"),
-                                                F.posexplode(band_keys(hq, r, b)).alias("band", "key"))
-    brows = with_projections(base, W).select("id", F.posexplode(band_keys(hq, r, b)).alias("band", "key"))
+    qrows = materialize(with_projections(queries, W).select(F.col("id").alias("qid"),
+                                                            F.posexplode(band_keys(hq, r, b)).alias("band", "key")))
+    brows = materialize(with_projections(base, W).select("id", F.posexplode(band_keys(hq, r, b)).alias("band", "key")))
     cands = bucket_cross_pairs(qrows, brows, ["band", "key"], "qid", "id", block).distinct()
     q = queries.select(F.col("id").alias("qid"), F.col("x").alias("qx"))
     j = cands.join(q, "qid").join(base.select("id", "x"), "id")
@@ -178,7 +179,7 @@ def distance_join(points: DataFrame, eps: float, n_proj: int = 2, seed: int = 0,
     W = gaussian_matrix(n_proj, d, seed, "grid")
     W = W / np.linalg.norm(W, axis=1, keepdims=True)
     cells = [F.floor(p / F.lit(eps)).cast("bigint") for p in _proj(F.col("x"), W)]
-    home = with_projections(points, W).select("id", "x", *[c.alias(f"c{i}") for i, c in enumerate(cells)])
+    home = materialize(with_projections(points, W).select("id", "x", *[c.alias(f"c{i}") for i, c in enumerate(cells)]))
     home = home.withColumn("key", F.concat_ws(",", *[F.col(f"c{i}").cast("string") for i in range(n_proj)]))
     offs = list(itertools.product([-1, 0, 1], repeat=n_proj))
     probe_keys = F.array(*[F.concat_ws(",", *[(F.col(f"c{i}") + o[i]).cast("string") for i in range(n_proj)])

@@ -10,6 +10,7 @@ from tessera.functions.text import shingle_ids, words
 from tessera.operators import lsh
 from tessera.operators.mapreduce import map_reduce
 from tessera.plans.registry import query, table
+from tessera.session import materialize
 from tessera.plans.sqlparts import (band_ctes, groups_ctes, minhash_ctes, near_dup_edges_ctes, r6,
                                     shingles_cte)
 from tessera.sources.lines import parse_shingle_lines, shingle_lines
@@ -22,7 +23,7 @@ def _r6(c):
 
 
 def _sets(spark, sf):
-    return lsh.shingle(table(spark, sf, "documents"), with_key=True).persist(StorageLevel.MEMORY_AND_DISK)
+    return materialize(lsh.shingle(table(spark, sf, "documents"), with_key=True))
 
 
 # ---------------------------------------------------------------- D2 word count
@@ -172,7 +173,7 @@ SELECT tp, fp, fn, {r6('p')} AS precision, {r6('rc')} AS recall,
 def near_dup_f1(spark, sf):
     """LSH near-duplicate edges scored against exact prefix-filter edges."""
     docs = table(spark, sf, "documents")
-    sets = lsh.shingle(docs, with_key=True).persist(StorageLevel.MEMORY_AND_DISK)
+    sets = materialize(lsh.shingle(docs, with_key=True))
     rep = lsh.near_dup_pairs_from_sets(sets, R, B, T85, SEED)
     tru = lsh.exact_similar_pairs_from_sets(sets, T85)
     f = lsh.pair_f1(rep, tru)
@@ -185,7 +186,7 @@ SELECT doc_a, doc_b, 'tp' AS kind FROM p""")
 def dup_pair_confusion(spark, sf):
     """LSH edges vs exact edges labelled tp/fp/fn by semi/anti joins."""
     docs = table(spark, sf, "documents")
-    sets = lsh.shingle(docs, with_key=True).persist(StorageLevel.MEMORY_AND_DISK)
+    sets = materialize(lsh.shingle(docs, with_key=True))
     rep = lsh.near_dup_pairs_from_sets(sets, R, B, T85, SEED)
     tru = lsh.exact_similar_pairs_from_sets(sets, T85)
     return lsh.pair_confusion(rep, tru)
@@ -219,7 +220,7 @@ SELECT tp, fp, fn, {r6('p')} AS precision, {r6('rc')} AS recall,
 def dedup_f1(spark, sf):
     """precision/recall/F1 of a deliberately short-banded LSH (r=10, b=5) against exact edges."""
     docs = table(spark, sf, "documents")
-    sets = lsh.shingle(docs, with_key=True).persist(StorageLevel.MEMORY_AND_DISK)
+    sets = materialize(lsh.shingle(docs, with_key=True))
     rep = lsh.near_dup_pairs_from_sets(sets, F1_R, F1_B, T85, SEED)
     tru = lsh.exact_similar_pairs_from_sets(sets, T85)
     f = lsh.pair_f1(rep, tru)

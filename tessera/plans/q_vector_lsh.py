@@ -9,6 +9,7 @@ from tessera.operators import lsh
 from tessera.operators import vector_lsh as VL
 from tessera.plans.q_cluster import PTS, label_centers, points
 from tessera.plans.registry import query, table
+from tessera.session import materialize
 from tessera.plans.sqlparts import band_ctes, exact_pairs_ctes, minhash_ctes, r6, shingles_cte
 from tessera.plans.sqlparts import gaussian as sql_gaussian
 from tessera.plans.sqlparts import uniform as sql_uniform
@@ -21,7 +22,7 @@ def _r6(c):
 
 
 def _pts(spark, sf):
-    return points(spark, sf).select("id", "x").persist(StorageLevel.MEMORY_AND_DISK)
+    return materialize(points(spark, sf).select("id", "x"))
 
 
 def _w_cte(name: str, tag: str, n: int, normalise: bool) -> str:
@@ -173,7 +174,7 @@ SELECT (floor(j * 10) / 10) AS bucket, count(*) AS n_pairs, {r6('avg(hit)')} AS
        {r6(f'avg(1 - pow(1 - pow(j, {R}), {B}))')} AS predicted FROM o GROUP BY 1""")
 def lsh_collision_curve(spark, sf):
     """1-(1-s^r)^b against the observed candidate rate per similarity bucket (exact pairs >= 0.5)."""
-    sets = lsh.shingle(table(spark, sf, "documents")).persist(StorageLevel.MEMORY_AND_DISK)
+    sets = materialize(lsh.shingle(table(spark, sf, "documents")))
     ex = lsh.exact_similar_pairs_from_sets(sets, CURVE_T, collapse=False)
     cand = lsh.candidate_pairs(lsh.bands(lsh.minhash(sets, R * B, LSEED), R, B, LSEED)).withColumn("hit", F.lit(1))
     o = ex.join(cand, ["doc_a", "doc_b"], "left").withColumn("hit", F.coalesce("hit", F.lit(0)))

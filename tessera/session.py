@@ -66,3 +66,17 @@ def swap(old: DataFrame | None, new: DataFrame, checkpoint: bool = False) -> Dat
     if old is not None:
         old.unpersist()
     return nxt
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Persist (memory+disk) and fill the cache now.
+
+    A lazily persisted table read by several branches of one query is
+    computed once per branch: AQE submits those stages together, before
+    the cache exists.  Filling it first makes expensive stages (Python
+    tokenising, MinHash) run once.  Lost blocks are recomputed from lineage.
+    """
+    from pyspark import StorageLevel
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
+    return out
