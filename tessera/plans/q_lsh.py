@@ -11,6 +11,7 @@ from tessera.operators import lsh
 from tessera.operators.mapreduce import map_reduce
 from tessera.plans.registry import query, table
 from tessera.session import materialize
+from tessera.sources.parallel import spread
 from tessera.plans.sqlparts import (band_ctes, groups_ctes, minhash_ctes, near_dup_edges_ctes, r6,
                                     shingles_cte)
 from tessera.sources.lines import parse_shingle_lines, shingle_lines
@@ -36,7 +37,7 @@ SELECT word, count(*)::BIGINT AS cnt FROM (
 @query("word_count", WORD_COUNT_SQL)
 def word_count(spark, sf):
     """Split every text on whitespace (case kept), count per word."""
-    d = table(spark, sf, "documents")
+    d = spread(table(spark, sf, "documents").select("text"))
     w = d.select(F.explode(words(F.col("text"), lower=False)).alias("word"))
     return w.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
 
