@@ -31,9 +31,40 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable in the Python workers (once per context).
+
+    Arrow functions defined in this package are pickled by reference, so
+    executors must be able to import it.  The package's .py files are zipped
+    on the driver and distributed with ``SparkContext.addPyFile`` (as
+    ``--py-files`` would on a cluster).
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import tessera
+    root = os.path.dirname(os.path.dirname(os.path.abspath(tessera.__file__)))
+    zpath = os.path.join(tempfile.mkdtemp(prefix="tessera-pkg-"), "tessera.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(os.path.join(root, "tessera")):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a scratch one only if unset."""
     sc = spark.sparkContext
