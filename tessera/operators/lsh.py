@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.hashing import PRIME31, hash_coefficients
 from tessera.functions.text import set_key, shingle_ids, words
+from tessera.operators.components import connected_components
 from tessera.operators.joins import DEFAULT_BLOCK, bucket_cross_pairs, bucket_self_pairs
 from tessera.session import materialize
 from tessera.sources.parallel import spread
@@ -330,43 +331,11 @@ def pair_confusion(reported: DataFrame, truth: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------- L3
-def connected_groups(edges: DataFrame, max_rounds: int = 64, checkpoint_every: int = 4) -> DataFrame:
-    """Connected components of an undirected edge list ``doc_a, doc_b``.
-
-    Each round: (1) hook: every node takes the smallest label among itself
-    and its neighbours (aggregate over the edge join; a hub node is just a
-    hot aggregation key, combined map side); (2) shortcut: a node's label
-    becomes its label's label (pointer jumping, one join), which halves
-    chains, so long chains converge in O(log n) rounds instead of
-    O(diameter).  One count per round goes to the driver; lineage is cut by
-    a reliable checkpoint every few rounds.  Output ``doc_id, group_id``
-    (group_id = smallest id in the component).
-    """
-    from tessera.session import cut_lineage, swap
-
-    e = edges.select(F.col("doc_a").alias("u"), F.col("doc_b").alias("v"))
-    und = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
-    und = cut_lineage(und)
-    labels = und.select(F.col("u").alias("node")).distinct().withColumn("label", F.col("node"))
-    prev = None
-    for i in range(max_rounds):
-        prop = (und.join(labels.withColumnRenamed("node", "v").withColumnRenamed("label", "lv"), "v")
-                .groupBy("u").agg(F.min("lv").alias("cand")))
-        hooked = (labels.join(prop.withColumnRenamed("u", "node"), "node", "left")
-                  .select("node", "label", F.least("label", F.coalesce("cand", "label")).alias("l1")))
-        jump = hooked.select(F.col("node").alias("l1"), F.col("l1").alias("l2"))
-        new = (hooked.join(jump, "l1", "left")
-               .select("node", F.least("l1", F.coalesce("l2", "l1")).alias("label"),
-                       (F.least("l1", F.coalesce("l2", "l1")) < F.col("label")).alias("_chg")))
-        new = swap(None, new, checkpoint=(i + 1) % checkpoint_every == 0)
-        changed = new.where("_chg").limit(1).count()
-        if prev is not None:
-            prev.unpersist()
-        prev = new
-        labels = new.select("node", "label")
-        if changed == 0:
-            break
-    return labels.select(F.col("node").alias("doc_id"), F.col("label").alias("group_id"))
+def connected_groups(edges: DataFrame) -> DataFrame:
+    """Connected components of ``doc_a, doc_b``: ``doc_id, group_id`` (the
+    smallest id of the component), computed to convergence."""
+    return (connected_components(edges, "doc_a", "doc_b")
+            .select(F.col("node").alias("doc_id"), F.col("component").alias("group_id")))
 
 
 def dedup_keep_first(docs: DataFrame, k: int = 3, threshold: float = DEFAULT_THRESHOLD,
