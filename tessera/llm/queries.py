@@ -30,3 +30,23 @@ def op3_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.simhash import simhash_groups
     g = simhash_groups(table(spark, sf_dir, "documents"), words=3, radius=2)
     return g.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows that are not held out."""
+    from tessera.llm import language_id as L
+    docs = table(spark, sf_dir, "documents")
+    held = L.held_out_mod("doc_id", 4, 2)
+    model = L.train(docs.where(~held))
+    return L.identify(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_quality_classifier")
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from labels that are not held out."""
+    from tessera.llm import quality as Q
+    from tessera.llm.language_id import held_out_mod
+    docs, held = table(spark, sf_dir, "documents"), held_out_mod("doc_id", 5, 0)
+    w = Q.train(docs, table(spark, sf_dir, "labels").where(~held))
+    return Q.score(docs, w).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
