@@ -50,3 +50,28 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held = table(spark, sf_dir, "documents"), held_out_mod("doc_id", 5, 0)
     w = Q.train(docs, table(spark, sf_dir, "labels").where(~held))
     return Q.score(docs, w).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+OP10_SQL = r"""
+WITH words AS (
+  SELECT 'd' AS kind, doc_id AS id, list_filter(regexp_split_to_array(lower(text), '[ \t-\r]+'), lambda x: x <> '') AS w FROM documents
+  WHERE doc_id IS NOT NULL AND text IS NOT NULL
+  UNION ALL
+  SELECT 'i', item_id, list_filter(regexp_split_to_array(lower(text), '[ \t-\r]+'), lambda x: x <> '') FROM benchmark
+  WHERE item_id IS NOT NULL AND text IS NOT NULL),
+s AS (
+  SELECT DISTINCT kind, id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM words),
+n AS (SELECT id, count(*) AS n FROM s WHERE kind = 'i' GROUP BY id)
+SELECT i.id AS item_id, d.id AS doc_id, CAST(any_value(n.n) AS INTEGER) AS n_item, CAST(count(*) AS INTEGER) AS n_shared,
+       count(*) / any_value(n.n) AS containment
+FROM s i JOIN s d ON i.kind = 'i' AND d.kind = 'd' AND i.g = d.g JOIN n ON n.id = i.id
+GROUP BY i.id, d.id HAVING count(*) >= ceil(0.8 * any_value(n.n) - 1e-9)
+"""
+
+
+@query("op10_decontamination", OP10_SQL)
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items of which documents hold at least 0.8 of the 5-word shingles."""
+    from tessera.llm.decontaminate import contained
+    return contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
