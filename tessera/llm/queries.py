@@ -75,3 +75,63 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items of which documents hold at least 0.8 of the 5-word shingles."""
     from tessera.llm.decontaminate import contained
     return contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+MIX_WEIGHTS = {"domain": {"d0": 0.5, "d1": 0.3, "d2": 0.2}, "lang": {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}}
+
+
+def source_domain():
+    """Domain of a source in the mixing queries: its number modulo 3 (null without a number)."""
+    n = F.regexp_extract("source", r"(\d+)$", 1).try_cast("bigint")
+    return F.concat(F.lit("d"), (n % 3).cast("string"))
+
+
+def _mix_level(parent: str, name: str, above: str, weight: str, budget: str) -> str:
+    """One level of the division; ``above`` holds the parents' quotas."""
+    group = f"{parent}{name}"
+    part = f"PARTITION BY {parent.rstrip(', ')}" if parent else ""
+    joined = f"JOIN {above} USING ({parent.rstrip(', ')})" if parent else ""
+    return f"""
+  SELECT {group}, CASE WHEN sat THEN cap WHEN w > 0 THEN w * (budget - sum(CASE WHEN sat THEN cap ELSE 0 END) OVER ({part}))
+           / sum(CASE WHEN sat THEN 0 ELSE w END) OVER ({part}) ELSE 0 END AS q
+  FROM (SELECT *, cap / w * rest <= budget - before AS sat FROM (
+    SELECT *, coalesce(sum(cap) OVER ({part} ORDER BY cap / w, {name} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+           sum(w) OVER ({part} ORDER BY cap / w, {name} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+    FROM (SELECT {group}, sum(2.0 * tokens)::DOUBLE AS cap, any_value({weight})::DOUBLE AS w FROM leaves GROUP BY {group}) {joined}
+    {"" if parent else "CROSS JOIN (SELECT sum(tokens)::DOUBLE * 0.6 AS budget FROM leaves)"}))"""
+
+
+OP7_SQL = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS sid, coalesce(CAST(ceil(strlen(text) / 4.0) AS BIGINT), 0) AS tok,
+         coalesce('d' || (TRY_CAST(nullif(regexp_extract(source, '(\\d+)$', 1), '') AS BIGINT) % 3), '(none)') AS domain,
+         coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source FROM documents),
+leaves AS (SELECT domain, lang, source, sum(tok) AS tokens FROM d GROUP BY ALL),
+q1 AS (SELECT domain, q AS budget FROM ({_mix_level("", "domain", "", "CASE domain WHEN 'd0' THEN 0.5 WHEN 'd1' THEN 0.3 WHEN 'd2' THEN 0.2 ELSE 1 END", "")})),
+q2 AS (SELECT domain, lang, q AS budget FROM ({_mix_level("domain, ", "lang", "q1", "CASE lang WHEN 'en' THEN 0.4 WHEN 'de' THEN 0.2 WHEN 'fr' THEN 0.2 WHEN 'es' THEN 0.2 ELSE 1 END", "")})),
+q3 AS (SELECT domain, lang, source, CAST(floor(q) AS BIGINT) AS quota FROM ({_mix_level("domain, lang, ", "source", "q2", "1", "")})),
+p AS (SELECT domain, lang, source, quota // tokens AS whole, quota % tokens AS rest FROM leaves JOIN q3 USING (domain, lang, source)
+      WHERE quota > 0 AND tokens > 0),
+k AS (SELECT *, CAST('0x' || substr(md5('17:' || whole || ':' || sid), 1, 15) AS BIGINT) AS key FROM d JOIN p USING (domain, lang, source)),
+c AS (SELECT *, sum(tok) OVER (PARTITION BY domain, lang, source ORDER BY key, sid)
+           - sum(tok) OVER (PARTITION BY domain, lang, source, key, sid) AS start FROM k)
+SELECT doc_id, domain, lang, source, CAST(unnest(range(0, CAST(whole + CAST(start < rest AS BIGINT) AS BIGINT))) AS BIGINT) AS epoch, tok AS tokens FROM c
+"""
+
+
+@query("op7_mixing", OP7_SQL)
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents chosen for 0.6 of all tokens at target weights, at most two epochs of a leaf."""
+    from tessera.llm.mixing import NONE, mix
+    d = table(spark, sf_dir, "documents").withColumn("domain", source_domain())
+    m = mix(d, MIX_WEIGHTS, budget_share=0.6, max_epochs=2)
+    level = lambda c: F.coalesce(F.col(c), F.lit(NONE)).alias(c)
+    return m.select("doc_id", level("domain"), level("lang"), level("source"),
+                    F.col("mix_epoch").alias("epoch"), F.col("mix_tokens").alias("tokens"))
+
+
+@query("op2_token_output")
+def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index of the shards with all documents' token ids in training order."""
+    from tessera.llm.token_output import materialize_tokens, new_folder
+    return materialize_tokens(table(spark, sf_dir, "documents"), new_folder(spark))
