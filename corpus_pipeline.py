@@ -1,14 +1,83 @@
-"""Corpus pipeline: STAGES in order, each written as Parquet and reread."""
+"""Corpus pipeline: language ID, near-duplicates, decontamination, mixing, token output.
+
+STAGES lists (name, function) in order; each function takes (spark, docs,
+sf_dir) and returns a DataFrame, which is written as Parquet and reread as the
+next one's docs.  All but the last return the columns of ``documents``.  Each
+works on everything its predecessor kept.  An empty table passes through all
+stages.  Rows with a null doc_id are never dropped as duplicates or as
+contaminated, because no decision can name them; null texts have no letter and
+leave at the first stage.
+"""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tessera.llm import decontaminate, language_id, mixing, simhash, token_output
+from tessera.llm.common import keep
+from tessera.llm.queries import MIX_WEIGHTS, source_domain
 from tessera.session import checkpoint_dir, ship_package
 
-STAGES: list = []
+#: language ID keeps a text unless the losing side of some decision is this much likelier
+REJECT_BELOW = 0.2
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a learned language; texts without letters go, and texts whose
+    machines contradict each other strongly (score under ``REJECT_BELOW``)."""
+    ship_package(spark)
+    model = language_id.train(docs.where(~language_id.held_out_mod("doc_id", 4, 2)))
+    extra = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    p = language_id.identify(docs.select(*extra), model, keep_cols=tuple(extra))
+    return p.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= REJECT_BELOW)).select(*extra)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component, the one with the smallest doc_id.
+
+    Rows that repeat a kept doc_id with the same text are kept once.
+    """
+    ship_package(spark)
+    groups = keep(simhash.simhash_groups(docs, words=3, radius=2).where("doc_id IS NOT NULL"))
+    stay = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_times"))
+    named = docs.join(stay, "doc_id")
+    once = named.where("_times = 1").select(*docs.columns)
+    more = named.where("_times > 1").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    return once.unionByName(more).unionByName(docs.where("doc_id IS NULL"))
+
+
+def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item (0.8 of its 5-word shingles)."""
+    ship_package(spark)
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    bad = decontaminate.contained(docs, items).select("doc_id").distinct()
+    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """As many tokens as there are, at target weights; a document of a leaf that is
+    short comes once for each epoch in which it is taken."""
+    m = mixing.mix(docs, MIX_WEIGHTS, budget_share=1.0, max_epochs=2, exprs={"domain": source_domain()})
+    return m.select(*docs.columns)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Shards of token ids in training order; returns their index."""
+    ship_package(spark)
+    return token_output.materialize_tokens(docs, token_output.new_folder(spark))
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("simhash_neardup", drop_near_duplicates),
+    ("decontamination", decontaminate_benchmark),
+    ("mixing", mix_sources),
+    ("token_output", write_tokens),
+]
+#: The classifier, the fingerprints' links and the tokeniser have no SQL form.
 ORACLE_SQL = None
 
 

@@ -164,13 +164,14 @@ def identify(docs: DataFrame, model: dict, text_col: str = "text", keep_cols: tu
     Texts that are null or hold no letter get ``und`` and score 0, as does
     everything if nothing was learned.  Repeated rows give repeated results.
     """
-    d = spread(docs.select(*keep_cols, F.col(text_col).alias("_text")))
-    names, kind = d.columns[:-1], T.StructType(d.schema.fields[:-1])
+    d = spread(docs.select(*keep_cols, *([] if text_col in keep_cols else [text_col])))
+    at, names = d.columns.index(text_col), list(keep_cols)
+    kind = T.StructType(d.schema.fields[:len(names)])
 
     def run(batches):
         for b in batches:
-            langs, scores = predict(model, b.column(b.num_columns - 1))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(langs, pa.string()), pa.array(scores)],
+            langs, scores = predict(model, b.column(at))
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(names)], pa.array(langs, pa.string()), pa.array(scores)],
                                              names=[*names, "lang_pred", "score"])
 
     return d.mapInArrow(run, kind.add("lang_pred", "string").add("score", "double"))

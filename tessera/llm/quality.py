@@ -129,18 +129,19 @@ def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", keep_col
     and an empty text's score comes from the bias alone."""
     bits = (len(weights) - 1).bit_length() - 1
     w, bias = weights[:-1], float(weights[-1])
-    d = spread(docs.select(*keep_cols, F.col(text_col).alias("_text")))
-    names, kind = d.columns[:-1], T.StructType(d.schema.fields[:-1])
+    d = spread(docs.select(*keep_cols, *([] if text_col in keep_cols else [text_col])))
+    at, names = d.columns.index(text_col), list(keep_cols)
+    kind = T.StructType(d.schema.fields[:len(names)])
 
     def run(batches):
         for b in batches:
-            raw, off = byte_rows(b.column(b.num_columns - 1))
+            raw, off = byte_rows(b.column(at))
             dot = np.zeros(len(off) - 1)
             for i, j in steps(off):
                 row, idx = ngrams(raw[off[i]:off[j]], off[i:j + 1] - off[i], bits)
                 n = np.maximum(np.bincount(row, minlength=j - i), 1)
                 dot[i:j] = np.bincount(row, w[idx], minlength=j - i) * SCALE / n
             p = 1 / (1 + np.exp(-np.clip(dot + bias, -30, 30)))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(p)], names=[*names, "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(names)], pa.array(p)], names=[*names, "score"])
 
     return d.mapInArrow(run, kind.add("score", "double"))
