@@ -135,3 +135,40 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index of the shards with all documents' token ids in training order."""
     from tessera.llm.token_output import materialize_tokens, new_folder
     return materialize_tokens(table(spark, sf_dir, "documents"), new_folder(spark))
+
+
+@query("op1_embedding_neardup")
+def op1_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links at cosine 0.95 between all embeddings and their components."""
+    from tessera.llm.embedding_dedup import linked_vectors
+    return linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP6_SQL = r"""
+WITH l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+           FROM documents WHERE text IS NOT NULL),
+bad AS (SELECT trim(line, ' ') AS k FROM l WHERE strlen(trim(line, ' ')) >= 20 GROUP BY 1 HAVING count(DISTINCT source) >= 10),
+d AS (SELECT doc_id, count(*) AS n_lines, count(bad.k) AS n_removed,
+             coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE bad.k IS NULL), '') AS kept
+      FROM l LEFT JOIN bad ON trim(line, ' ') = bad.k GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n_lines, 0) AS INTEGER) AS n_lines, CAST(coalesce(n_removed, 0) AS INTEGER) AS n_removed, sha256(kept) AS kept_sha256
+FROM documents LEFT JOIN d USING (doc_id)
+"""
+
+
+@query("op6_line_dedup", OP6_SQL)
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that occur at ten or more sources."""
+    from tessera.llm.line_dedup import remove_boilerplate
+    r = remove_boilerplate(table(spark, sf_dir, "documents"))
+    return r.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op8_suffix_array_dedup")
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents that 50-byte strings of smaller doc_ids cover, removed."""
+    from tessera.llm.suffix_dedup import remove_repeats
+    r = remove_repeats(table(spark, sf_dir, "documents"))
+    gone = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return r.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
+                    F.sha2("kept", 256).alias("kept_sha256"))
