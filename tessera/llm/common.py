@@ -66,3 +66,19 @@ def members(comp: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """``keys`` with ``component``: its own key where ``comp`` has no row."""
     c = comp.select(F.col("node").alias(key), "component")
     return keys.join(c, key, "left").withColumn("component", F.coalesce("component", key))
+
+
+def one_text_per_id(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, text`` (null as empty) in two parts: rows that stand for their id, and
+    rows aside: those without an id, and of different texts under one id all but the
+    one with the smallest hash."""
+    every = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    named, aside = every.where("doc_id IS NOT NULL"), every.where("doc_id IS NULL")
+    mark = F.xxhash64("text")
+    twice = keep(named.groupBy("doc_id").agg(F.min(mark).alias("low"), F.max(mark).alias("high")).where("low <> high").select("doc_id", "low"))
+    if twice.limit(1).count():
+        j = named.join(twice, "doc_id", "left")
+        other = F.coalesce(mark != F.col("low"), F.lit(False))
+        aside = aside.unionByName(j.where(other).select("doc_id", "text"))
+        named = j.where(~other).select("doc_id", "text")
+    return named, aside

@@ -36,6 +36,12 @@ def _runs(first: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 def words(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row of each word, hash of the lower-cased word, hash of its shape)."""
+    row, h, shape, _ = words_at(raw, off)
+    return row, h, shape
+
+
+def words_at(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As ``words``, and where each word begins."""
     body = ~_SPACE[raw]
     start = body.copy()
     start[1:] &= ~body[:-1]
@@ -44,14 +50,14 @@ def words(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     at = np.flatnonzero(start)
     if not len(at):
         z = np.zeros(0, np.uint64)
-        return np.zeros(0, np.int64), z, z
+        return np.zeros(0, np.int64), z, z, at
     row = np.searchsorted(off, at, side="right") - 1
     b, first = raw[body], start[body]
     h = _runs(first, _LOWER[b])
     c = _CLASS[b]
     turn = first.copy()
     turn[1:] |= c[1:] != c[:-1]
-    return row, h, _runs(first[turn], c[turn])
+    return row, h, _runs(first[turn], c[turn]), at
 
 
 def ngram_counts(raw: np.ndarray, off: np.ndarray, buckets: int, orders=(2, 3, 4)) -> np.ndarray:

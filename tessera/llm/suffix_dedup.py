@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import byte_rows
+from tessera.llm.common import byte_rows, one_text_per_id
 from tessera.llm.hashing_features import MIX, mix
 from tessera.sources.parallel import spread
 
@@ -152,6 +152,15 @@ def _codes_out(doc: np.ndarray, h: np.ndarray, groups: int, base: int) -> list:
     return [(base + k, pack(np.sort(code[s:e]))) for k, s, e in _slices(g[order])]
 
 
+def by_group(docs: DataFrame, groups: int) -> DataFrame:
+    """``slot, doc_id, text``: texts with the group in which packed arrays for them arrive."""
+    def run(batches):
+        for b in batches:
+            g = _group_of_doc(np.asarray(b.column(0)), groups)
+            yield pa.RecordBatch.from_arrays([pa.array(g), *b.columns], names=["slot", "doc_id", "text"])
+    return docs.mapInArrow(run, "slot bigint, doc_id bigint, text string")
+
+
 # ------------------------------------------------------------------ 1. triggers
 def _triggers(groups: int, match: int):
     """Tasks over scanned texts: one entry for each trigger and batch, for the group
@@ -381,26 +390,12 @@ def remove_repeats(docs: DataFrame, match: int = MATCH, id_col: str = "doc_id",
     """
     if match < 2 * GRAM:
         raise ValueError(f"match must be at least {2 * GRAM}")
-    every = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    named = every.where("doc_id IS NOT NULL")
-    aside = every.where("doc_id IS NULL")
-    mark = F.xxhash64("text")
-    twice = named.groupBy("doc_id").agg(F.min(mark).alias("low"), F.max(mark).alias("high")).where("low <> high").select("doc_id", "low").cache()
-    if twice.limit(1).count():
-        j = named.join(twice, "doc_id", "left")
-        other = F.coalesce(mark != F.col("low"), F.lit(False))
-        aside = aside.unionByName(j.where(other).select("doc_id", "text"))
-        named = j.where(~other).select("doc_id", "text")
+    named, aside = one_text_per_id(docs, id_col, text_col)
     size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(LEAST_GROUPS, -(-size // group_bytes))
     codes = (spread(named).mapInArrow(_triggers(groups, match), SENT)
              .groupBy("slot").applyInArrow(_repeated(groups), SENT))
-    # the same hash as _group_of_doc, so that texts and packed arrays meet
-    def dealt(batches):
-        for b in batches:
-            g = _group_of_doc(np.asarray(b.column(0)), groups)
-            yield pa.RecordBatch.from_arrays([pa.array(g), *b.columns], names=["slot", "doc_id", "text"])
-    texts = named.mapInArrow(dealt, "slot bigint, doc_id bigint, text string")
+    texts = by_group(named, groups)
     phrases = texts.groupBy("slot").cogroup(codes.groupBy("slot")).applyInArrow(_phrases(groups, match), SENT)
     spans = phrases.groupBy("slot").applyInArrow(_matched(groups, match), SENT)
     done = texts.groupBy("slot").cogroup(spans.groupBy("slot")).applyInArrow(_removed(match), RESULT)
