@@ -193,12 +193,13 @@ class LinUcbState:
     B: dict = field(default_factory=dict)
     A0: np.ndarray | None = None
     b0: np.ndarray | None = None
+    user_dim: int = 6
 
     def dims(self):
         if self.policy.kind in ("epsilon_greedy", "ucb1"):
             return 0, 0
         any_arm = next(iter(self.arm_x.values()))
-        u = np.zeros(6)
+        u = np.zeros(self.user_dim)
         dx = x_of(self.policy.kind, u, any_arm).shape[-1]
         z = z_of(self.policy.kind, u, any_arm)
         return dx, (z.shape[-1] if z is not None else 0)
@@ -219,9 +220,12 @@ def state_from_sums(sums: DataFrame, arm_x: dict, policy: LinUcbPolicy) -> LinUc
     dx, dz = st.dims()
     zz = np.zeros((dz, dz))
     rz = np.zeros(dz)
-    rows = sums.collect()
-    if len(rows) > MAX_ARMS * (dx * dx + dx * dz + dx + dz * dz + dz):
+    sums = sums.persist(StorageLevel.MEMORY_AND_DISK)
+    if sums.count() > MAX_ARMS * (dx * dx + dx * dz + dx + dz * dz + dz):
+        sums.unpersist()
         raise ValueError("statistics exceed the model size bound")
+    rows = sums.collect()
+    sums.unpersist()
     for r in rows:
         a = int(r["arm"])
         A, b, B = st.arm(a)
@@ -250,27 +254,21 @@ def state_from_sums(sums: DataFrame, arm_x: dict, policy: LinUcbPolicy) -> LinUc
 
 def state_long(spark, st: LinUcbState) -> DataFrame:
     """State as ``arm, stat, i, j, v`` (arm null for the shared A0, b0)."""
-    parts = []
+    rows: list[tuple] = []
 
-    def add(arm, stat, M):
-        M = np.atleast_2d(M) if M.ndim == 2 else M[:, None]
-        ii, jj = np.indices(M.shape)
-        parts.append(pd.DataFrame({"arm": pd.array(np.full(M.size, arm if arm is not None else 0), dtype="Int64"),
-                                   "stat": stat, "i": ii.ravel().astype("int32"), "j": jj.ravel().astype("int32"),
-                                   "v": M.ravel()}))
-        if arm is None:
-            parts[-1]["arm"] = pd.array([None] * M.size, dtype="Int64")
+    def add(arm, stat, m):
+        m = m if m.ndim == 2 else m[:, None]
+        rows.extend((arm, stat, i, j, float(m[i, j])) for i in range(m.shape[0]) for j in range(m.shape[1]))
 
     for a in sorted(st.A):
-        add(a, "A", st.A[a])
-        add(a, "b", st.b[a])
+        add(int(a), "A", st.A[a])
+        add(int(a), "b", st.b[a])
         if a in st.B:
-            add(a, "B", st.B[a])
+            add(int(a), "B", st.B[a])
     if st.A0 is not None:
         add(None, "A0", st.A0)
         add(None, "b0", st.b0)
-    pdf = pd.concat(parts, ignore_index=True)
-    return spark.createDataFrame(pdf, "arm bigint, stat string, i int, j int, v double")
+    return spark.createDataFrame(rows, "arm bigint, stat string, i int, j int, v double")
 
 
 def train_state(accepted: DataFrame, arms: DataFrame, policy: LinUcbPolicy) -> LinUcbState:
@@ -320,6 +318,34 @@ class _Scorer:
         if self.hybrid:
             self.B[i] = self.st.B[a]
 
+    def learn(self, arm, user: np.ndarray, reward: float) -> None:
+        """One accepted event, by rank-one steps on the state and its inverses.
+
+        The shared block sums what each arm's ridge regression on x leaves
+        unexplained of z and r.  A new row adds the outer product of its
+        residuals e = z - B'p and r - b'p (p = A^-1 x), divided by
+        s = 1 + x'p, so no matrix is inverted.
+        """
+        i, st = self.index[arm], self.st
+        A, b, B = st.arm(arm)
+        x = x_of(self.kind, user, self.art[i])
+        p = self.Ainv[i] @ x
+        s = 1.0 + x @ p
+        if self.hybrid:
+            z = z_of(self.kind, user, self.art[i])
+            e = z - p @ B
+            st.A0 += np.outer(e, e) / s
+            st.b0 += e * ((reward - b @ p) / s)
+            q = self.A0inv @ e
+            self.A0inv -= np.outer(q, q) / (s + e @ q)
+            self.beta = self.A0inv @ st.b0
+            B += np.outer(x, z)
+            self.B[i] = B
+        A += np.outer(x, x)
+        b += reward * x
+        self.Ainv[i] -= np.outer(p, p) / s
+        self.b[i] = b
+
     def scores(self, user: np.ndarray, choices) -> np.ndarray:
         """UCB of every candidate (-inf for an arm without features)."""
         out = np.full(len(choices), -np.inf)
@@ -518,25 +544,7 @@ def _replay_sequential(rows: pd.DataFrame, arm_x: dict, policy: LinUcbPolicy, ep
             counts[pick] = counts.get(pick, 0) + 1
             means[pick] = means.get(pick, 0.0) + (r - means.get(pick, 0.0)) / counts[pick]
             continue
-        if policy.recodes and r == 0:
-            r = -1.0
-        art = arm_x[pick]
-        x = x_of(policy.kind, user, art)
-        A, b, B = st.arm(pick)
-        if dz:
-            z = z_of(policy.kind, user, art)
-            Ai = np.linalg.inv(A)
-            st.A0 = st.A0 + B.T @ Ai @ B
-            st.b0 = st.b0 + B.T @ Ai @ b
-        A += np.outer(x, x)
-        b += r * x
-        if dz:
-            B += np.outer(x, z)
-            Ai = np.linalg.inv(A)
-            st.A0 = st.A0 + np.outer(z, z) - B.T @ Ai @ B
-            st.b0 = st.b0 + r * z - B.T @ Ai @ b
-            scorer.refresh_shared()
-        scorer.refresh_arm(pick)
+        scorer.learn(pick, user, -1.0 if policy.recodes and r == 0 else r)
     return acc, rsum, st
 
 

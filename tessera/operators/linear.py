@@ -174,39 +174,55 @@ def _row_feat(features: str):
     return f
 
 
-def _adam(X: np.ndarray, y: np.ndarray, lam: float, b1: float, b2: float, eps: float = 1e-6,
-          features: str = "raw") -> np.ndarray:
-    """Reference Adam semantics: moments on every row, step only on a margin violation,
-    bias correction in both lr and the moments.  Features are expanded one row
-    at a time (a batch never holds its n x d^2 matrix)."""
+class AdamRule:
+    """Adam on the hinge gradient: both moments follow every row, the weights move
+    only when the row's margin is violated."""
+
+    def __init__(self, lam: float, beta1: float, beta2: float, eps: float = 1e-6):
+        self.lam, self.beta1, self.beta2, self.eps = lam, beta1, beta2, eps
+        self.first = self.second = None
+
+    def row(self, t: int, w: np.ndarray, signed: np.ndarray, violated: bool) -> None:
+        if self.first is None:
+            self.first, self.second, self.buffer = np.zeros_like(w), np.zeros_like(w), np.empty_like(w)
+        self.first *= self.beta1
+        self.first -= (1 - self.beta1) * signed  # the gradient is -signed
+        np.square(signed, out=self.buffer)
+        self.buffer *= 1 - self.beta2
+        self.second *= self.beta2
+        self.second += self.buffer
+        if violated:
+            seen1, seen2 = 1 - self.beta1 ** t, 1 - self.beta2 ** t
+            np.sqrt(self.second / seen2, out=self.buffer)
+            self.buffer += self.eps
+            np.divide(self.first, self.buffer, out=self.buffer)
+            self.buffer *= self.lam * math.sqrt(seen2) / seen1 ** 2
+            w -= self.buffer
+
+
+class BallRule:
+    """Subgradient steps of length 5 / sqrt(t) on violated rows, kept in the ball of
+    radius 1 / lam."""
+
+    def __init__(self, lam: float):
+        self.radius = 1.0 / lam
+
+    def row(self, t: int, w: np.ndarray, signed: np.ndarray, violated: bool) -> None:
+        if violated:
+            w += signed * (5.0 / math.sqrt(t))
+            length = math.sqrt(w @ w)
+            if length > self.radius:
+                w *= self.radius / length
+
+
+def train_rows(X: np.ndarray, y: np.ndarray, rule, features: str = "raw") -> np.ndarray:
+    """One pass of an online hinge learner.  Features are expanded a row at a time
+    (a batch never holds its n x d^2 matrix)."""
     feat = _row_feat(features)
     w = np.zeros(feature_width(X.shape[1], features))
-    m = np.zeros_like(w)
-    v = np.zeros_like(w)
-    for t in range(1, len(y) + 1):
-        row = feat(X[t - 1])
-        g = -y[t - 1] * row
-        m = b1 * m + (1 - b1) * g
-        v = b2 * v + (1 - b2) * g * g
-        if y[t - 1] * row.dot(w) < 1:
-            lr = lam * math.sqrt(1 - b2 ** t) / (1 - b1 ** t)
-            w -= lr * (m / (1 - b1 ** t)) / (np.sqrt(v / (1 - b2 ** t)) + eps)
-    return w
-
-
-def _sgd(X: np.ndarray, y: np.ndarray, lam: float, features: str = "raw") -> np.ndarray:
-    """Projected SGD: eta = 5/sqrt(t); on a violation w += eta y x, then project
-    to the ball of radius 1/lambda (float lambda)."""
-    feat = _row_feat(features)
-    w = np.zeros(feature_width(X.shape[1], features))
-    r = 1.0 / lam
-    for t in range(1, len(y) + 1):
-        row = feat(X[t - 1])
-        if y[t - 1] * row.dot(w) < 1:
-            w += (5.0 / math.sqrt(t)) * y[t - 1] * row
-            nrm = np.linalg.norm(w)
-            if nrm > 0:
-                w *= min(1.0, r / nrm)
+    for t, (x, label) in enumerate(zip(X, y), start=1):
+        signed = label * feat(x)
+        rule.row(t, w, signed, bool(signed @ w < 1))
     return w
 
 
@@ -228,8 +244,7 @@ def parallel_svm(train: DataFrame, batch_size: int, seed: int, features: str = "
         pdf = pdf.sort_values(["_o", "id"])
         X = np.stack(pdf["x"].to_numpy()).astype(np.float64)
         y = pdf["y"].to_numpy(dtype=np.float64)
-        w = (_adam(X, y, lam, beta1, beta2, features=features) if method == "adam"
-             else _sgd(X, y, lam, features=features))
+        w = train_rows(X, y, AdamRule(lam, beta1, beta2) if method == "adam" else BallRule(lam), features)
         return pd.DataFrame({"batch": pdf["batch"].iloc[0], "j": np.arange(len(w), dtype=np.int32), "w": w})
 
     per_batch = by_key(b, "batch").groupBy("batch").applyInPandas(_train, "batch bigint, j int, w double")

@@ -221,3 +221,53 @@ def test_edit_distance_bruteforce(spark):
     assert r
     for row in r:
         assert row.edits == _lev(texts[(row.conv_id, row.turn)], texts[(row.conv_id, row.turn + 1)])
+
+
+def test_connected_groups_on_shuffled_paths(spark):
+    import random
+
+    from tessera.operators.lsh import connected_groups
+    ids = list(range(400))
+    random.Random(1).shuffle(ids)
+    e = spark.createDataFrame(list(zip(ids, ids[1:])), "doc_a bigint, doc_b bigint")
+    g = connected_groups(e).collect()
+    assert len(g) == 400 and {r.group_id for r in g} == {0}
+
+
+def test_hybrid_state_without_arrow(spark):
+    import numpy as np
+
+    from tessera.operators import bandit as BD
+    st = BD.LinUcbState(BD.LinUcbPolicy("hybrid"), {1: np.ones(6), 2: np.zeros(6)})
+    st.A0, st.b0 = np.eye(36), np.zeros(36)
+    st.arm(1)
+    old = spark.conf.get("spark.sql.execution.arrow.pyspark.enabled")
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "false")
+    try:
+        r = BD.state_long(spark, st)
+        assert r.where("arm IS NULL").count() == 36 * 36 + 36
+        assert r.where("arm = 1").count() == 36 + 6 + 6 * 36
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", old)
+
+
+def test_rank_one_learning_equals_direct_sums():
+    import numpy as np
+
+    from tessera.operators import bandit as BD
+    rng = np.random.default_rng(0)
+    arms = {a: rng.random(6) for a in range(4)}
+    st = BD.LinUcbState(BD.LinUcbPolicy("hybrid"), arms)
+    st.A0, st.b0 = np.eye(36), np.zeros(36)
+    sc = BD._Scorer(st)
+    rows = [(int(rng.integers(4)), rng.random(6), float(rng.integers(2))) for _ in range(200)]
+    for a, u, r in rows:
+        sc.learn(a, u, r)
+    A0, b0 = np.eye(36), np.zeros(36)
+    for a in arms:
+        mine = [(u, BD.z_of("hybrid", u, arms[a]), r) for k, u, r in rows if k == a]
+        X, Z, R = (np.array([m[i] for m in mine]) for i in range(3))
+        A = np.eye(6) + X.T @ X
+        A0 += Z.T @ Z - Z.T @ X @ np.linalg.solve(A, X.T @ Z)
+        b0 += Z.T @ R - Z.T @ X @ np.linalg.solve(A, X.T @ R)
+    assert np.allclose(st.A0, A0) and np.allclose(st.b0, b0) and np.allclose(sc.A0inv, np.linalg.inv(A0))
