@@ -15,11 +15,11 @@ import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The Mersenne prime used as the modulus of all universal
-# hash families (keeps a*x+b below 2^63 for 28-bit ids and 31-bit a).
-PRIME31 = 2147483647
-# Shingle / element ids are kept below 2^28 (7 hex digits of md5).
-ID_BITS = 28
+# Shingle / element ids are 60 bits (15 hex digits of md5): non-negative in a
+# bigint, and apart for any number of distinct shingles that a cluster can hold.
+ID_DIGITS = 15
+# MinHash values are the top 61 bits of a 64-bit multiply-add.
+HASH_MAX = (1 << 61) - 1
 
 
 def _key(*parts) -> Column:
@@ -31,9 +31,9 @@ def hex_int(s: Column, digits: int) -> Column:
     return F.conv(F.substring(F.md5(s), 1, digits), 16, 10).cast("bigint")
 
 
-def id28(s: Column) -> Column:
-    """28-bit id of a string (shingle ids)."""
-    return hex_int(s, 7)
+def id60(s: Column) -> Column:
+    """60-bit id of a string (shingle ids)."""
+    return hex_int(s, ID_DIGITS)
 
 
 def uniform(*parts) -> Column:
@@ -65,15 +65,12 @@ def py_gaussian(*parts) -> float:
 
 
 def hash_coefficients(n: int, seed: int, tag: str = "mh") -> tuple[np.ndarray, np.ndarray]:
-    """Coefficients of n universal hashes h_i(x) = (a_i x + b_i) mod PRIME31.
+    """Coefficients of n hashes h_i(x) = ((a_i x + b_i) mod 2^64) >> 3, a_i odd.
 
-    a_i in [1, p-1], b_i in [0, p-1], from md5 of ``seed:tag:a:i``.
-    SQL twin: ``1 + ('0x'||substr(md5(seed||':'||tag||':a:'||i),1,8))::BIGINT % (p-1)``.
+    SQL twin: ``a = 2 * hex15(seed:tag:a:i) + 1``, ``b = hex15(seed:tag:b:i)``.
     """
-    a = np.array([1 + py_hex_int(f"{seed}:{tag}:a:{i}", 8) % (PRIME31 - 1) for i in range(n)],
-                 dtype=np.int64)
-    b = np.array([py_hex_int(f"{seed}:{tag}:b:{i}", 8) % PRIME31 for i in range(n)],
-                 dtype=np.int64)
+    a = np.array([2 * py_hex_int(f"{seed}:{tag}:a:{i}", ID_DIGITS) + 1 for i in range(n)], dtype=np.uint64)
+    b = np.array([py_hex_int(f"{seed}:{tag}:b:{i}", ID_DIGITS) for i in range(n)], dtype=np.uint64)
     return a, b
 
 

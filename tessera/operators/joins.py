@@ -8,8 +8,10 @@ becomes its own join key.  Each task then sees at most ``block x block``
 pairs, and a hot bucket spreads over ``s(s+1)/2`` tasks.  Buckets below the
 block size (the normal case) are not replicated at all.
 
-The bucket size table is an aggregate with map-side combine; it is joined
-back on the bucket key (never broadcast: it grows with the data).
+Only the buckets above the block size are looked up, and there are at most
+rows / block of them: their table is counted, and broadcast up to ``HOT_ROWS``,
+so rows are cut into tiles before they are shuffled by key.  Beyond that it is
+an ordinary join.
 """
 
 from __future__ import annotations
@@ -20,15 +22,31 @@ from pyspark.sql import functions as F
 from tessera.session import materialize
 
 DEFAULT_BLOCK = 4096
+HOT_ROWS = 100_000
 
 
-def _with_blocks(rows: DataFrame, keys: list[str], id_col: str, block: int,
-                 nname: str = "_n") -> DataFrame:
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(nname))
-    s = F.greatest(F.ceil(F.col(nname) / F.lit(block)), F.lit(1)).cast("int")
-    return (rows.join(sizes, keys)
-            .withColumn("_s", s)
-            .withColumn("_b", F.pmod(F.xxhash64(F.col(id_col)), F.col("_s")).cast("int")))
+def _hot(rows: DataFrame, keys: list[str], block: int, name: str) -> DataFrame:
+    """Buckets above the block size and their number of blocks."""
+    n = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block)
+    return n.select(*keys, F.ceil(F.col("_n") / F.lit(block)).cast("int").alias(name))
+
+
+def _look_up(rows: DataFrame, hot: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """``rows`` with the block counts of their bucket, 1 where it is not hot."""
+    hot = materialize(hot)
+    n = hot.count()
+    if n == 0:
+        return rows.withColumns({x: F.lit(1) for x in names})
+    j = rows.join(F.broadcast(hot) if n <= HOT_ROWS else hot, keys, "left")
+    return j.withColumns({x: F.coalesce(x, F.lit(1)) for x in names})
+
+
+def _block(id_col: str, count: str):
+    return F.pmod(F.xxhash64(F.col(id_col)), F.col(count)).cast("int")
+
+
+def _with_blocks(rows: DataFrame, keys: list[str], id_col: str, block: int) -> DataFrame:
+    return _look_up(rows, _hot(rows, keys, block, "_s"), keys, ["_s"]).withColumn("_b", _block(id_col, "_s"))
 
 
 def bucket_self_pairs(rows: DataFrame, keys: list[str], id_col: str,
@@ -62,15 +80,12 @@ def bucket_self_pairs(rows: DataFrame, keys: list[str], id_col: str,
 def bucket_cross_pairs(left: DataFrame, right: DataFrame, keys: list[str],
                        left_id: str, right_id: str, block: int = DEFAULT_BLOCK) -> DataFrame:
     """All (left_id, right_id) pairs sharing a bucket, tiled for skew."""
-    l = _with_blocks(materialize(left.select(*keys, left_id)), keys, left_id, block, "_nl")
-    r = _with_blocks(materialize(right.select(*keys, right_id)), keys, right_id, block, "_nr")
-    # each side needs the other side's block count for its bucket
-    l = l.join(r.select(*keys, F.col("_s").alias("_so")).dropDuplicates(keys), keys)
-    r = r.join(l.select(*keys, F.col("_s").alias("_so")).dropDuplicates(keys), keys)
-    l = (l.withColumn("_ti", F.col("_b"))
-         .withColumn("_tj", F.explode(F.sequence(F.lit(0), F.col("_so") - 1))))
-    r = (r.withColumn("_tj", F.col("_b"))
-         .withColumn("_ti", F.explode(F.sequence(F.lit(0), F.col("_so") - 1))))
+    left, right = materialize(left.select(*keys, left_id)), materialize(right.select(*keys, right_id))
+    hot = _hot(left, keys, block, "_sl").join(_hot(right, keys, block, "_sr"), keys, "full")
+    l = (_look_up(left, hot, keys, ["_sl", "_sr"]).withColumn("_ti", _block(left_id, "_sl"))
+         .withColumn("_tj", F.explode(F.sequence(F.lit(0), F.col("_sr") - 1))))
+    r = (_look_up(right, hot, keys, ["_sl", "_sr"]).withColumn("_tj", _block(right_id, "_sr"))
+         .withColumn("_ti", F.explode(F.sequence(F.lit(0), F.col("_sl") - 1))))
     jk = keys + ["_ti", "_tj"]
     return (l.select(*jk, left_id).join(r.select(*jk, right_id), jk)
             .select(left_id, right_id))

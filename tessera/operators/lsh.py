@@ -8,7 +8,7 @@ edge ``(representative, member, 1.0)``; pairs between different contents
 are reported between representatives when their Jaccard similarity is at or
 above the threshold.  The full pair list is the expansion of these edges;
 it is quadratic in group size, so it is never materialised.  Documents with
-an empty shingle set (fewer than k words, or null text) are excluded:
+an empty shingle set (no word, or null text) are excluded:
 Jaccard is undefined for two empty sets.
 """
 
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.hashing import PRIME31, hash_coefficients
+from tessera.functions.hashing import HASH_MAX, hash_coefficients, hex_int
 from tessera.functions.text import set_key, shingle_ids, words
 from tessera.operators.components import connected_components
 from tessera.operators.joins import DEFAULT_BLOCK, bucket_cross_pairs, bucket_self_pairs
@@ -43,23 +43,24 @@ BROADCAST_TOKENS = 2_000_000  # shared-token table broadcast only below this row
 # --------------------------------------------------------------------- G2
 # Fixed tokenisation rule (shared with the SQL oracles): lower-case, split on
 # runs of the whitespace class [ \t\n\x0b\f\r], drop empty tokens; a shingle
-# is k tokens joined by one space; its id is the first 28 bits of md5.
+# is k tokens joined by one space; its id is the first 60 bits of md5.  A text
+# with fewer tokens has one shingle of all of them.
 _SPLIT = re.compile(r"[ \t\n\x0b\f\r]+")
 
 def _shingle_text(text: str, k: int) -> np.ndarray:
     w = [t for t in _SPLIT.split(text.lower()) if t]
-    if len(w) < k:
+    if not w:
         return np.zeros(0, dtype=np.int64)
-    ids = {int.from_bytes(hashlib.md5(" ".join(w[i:i + k]).encode("utf-8")).digest()[:4], "big") >> 4
-           for i in range(len(w) - k + 1)}
+    ids = {int.from_bytes(hashlib.md5(" ".join(w[i:i + k]).encode("utf-8")).digest()[:8], "big") >> 4
+           for i in range(max(1, len(w) - k + 1))}
     return np.fromiter(sorted(ids), dtype=np.int64, count=len(ids))
 
 
 def shingle(docs: DataFrame, k: int = 3, id_col: str = "doc_id", text_col: str = "text",
             with_key: bool = False) -> DataFrame:
-    """text -> ``doc_id, shingles`` (sorted distinct 28-bit k-word shingle ids).
+    """text -> ``doc_id, shingles`` (sorted distinct 60-bit k-word shingle ids).
 
-    Null texts and texts under k words give no row.  ``with_key`` adds
+    Null texts and texts without words give no row.  ``with_key`` adds
     ``skey``, a content key equal for equal sets (md5 of the sorted ids).
     Runs as ``mapInPandas`` over Arrow batches: the operator is opaque to
     filter pushdown, so later filters never re-run the tokeniser.
@@ -88,18 +89,18 @@ def shingle_jvm(docs: DataFrame, k: int = 3, id_col: str = "doc_id", text_col: s
     """Same sets with built-in expressions only (kept for plans that must stay in the JVM)."""
     w = docs.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("_w"))
-    return (w.where(F.size("_w") >= k)
+    return (w.where(F.size("_w") > 0)
             .select("doc_id", F.array_sort(shingle_ids(F.col("_w"), k)).alias("shingles")))
 
 
 # --------------------------------------------------------------------- H1 / D3
 def minhash_udf(n_hashes: int, seed: int = DEFAULT_SEED):
-    """Arrow-batched MinHash: sig_i = min_x (a_i x + b_i) mod p, p = 2^31-1.
+    """Arrow-batched MinHash: sig_i = min_x ((a_i x + b_i) mod 2^64) >> 3.
 
     The ids of a whole batch are concatenated and hashed in blocks of
-    ``chunk`` ids (bounded memory: chunk x n_hashes int64), and the minimum
+    ``chunk`` ids (bounded memory: chunk x n_hashes uint64), and the minimum
     per document is a ``minimum.reduceat`` over document offsets.  Empty
-    sets give an all-p signature.
+    sets give an all-maximum signature.
     """
     a, b = hash_coefficients(n_hashes, seed)
     chunk = 32768
@@ -107,7 +108,7 @@ def minhash_udf(n_hashes: int, seed: int = DEFAULT_SEED):
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def _mh(sets: pd.Series) -> pd.Series:
         n = len(sets)
-        out = np.full((n, n_hashes), PRIME31, dtype=np.int64)
+        out = np.full((n, n_hashes), HASH_MAX, dtype=np.int64)
         lens = np.fromiter((0 if s is None else len(s) for s in sets), dtype=np.int64, count=n)
         if lens.sum() == 0:
             return pd.Series(list(out))
@@ -116,7 +117,7 @@ def minhash_udf(n_hashes: int, seed: int = DEFAULT_SEED):
         for s0 in range(0, len(flat), chunk):
             x = flat[s0:s0 + chunk]
             own = owner[s0:s0 + chunk]
-            h = (x[:, None] * a[None, :] + b[None, :]) % PRIME31
+            h = ((x.astype(np.uint64)[:, None] * a + b) >> np.uint64(3)).astype(np.int64)
             starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
             mins = np.minimum.reduceat(h, starts, axis=0)
             docs = own[starts]
@@ -134,27 +135,14 @@ def minhash(sets: DataFrame, n_hashes: int = DEFAULT_R * DEFAULT_B, seed: int =
 
 
 # --------------------------------------------------------------------- G3 / B8
-def band_key_exprs(sig: Column, r: int, b: int, seed: int = DEFAULT_SEED) -> list[Column]:
-    """Band keys: sum_r ((c_r * sig_r + d_r) mod p) over the r rows of a band.
-
-    Equal bands always collide; different bands may collide too, which adds
-    candidates but never loses one (verification is exact).
-    """
-    c, d = hash_coefficients(r * b, seed, tag="band")
-    keys = []
-    for j in range(b):
-        terms = [(F.lit(int(c[j * r + i])) * F.element_at(sig, j * r + i + 1) + F.lit(int(d[j * r + i])))
-                 % F.lit(PRIME31) for i in range(r)]
-        acc = terms[0]
-        for t in terms[1:]:
-            acc = acc + t
-        keys.append(acc)
-    return keys
+def band_key_exprs(sig: Column, r: int, b: int) -> list[Column]:
+    """Band keys: the first 60 bits of md5 over the r values of a band."""
+    return [hex_int(F.array_join(F.slice(sig, k * r + 1, r).cast("array<string>"), ","), 15) for k in range(b)]
 
 
 def bands(sigs: DataFrame, r: int = DEFAULT_R, b: int = DEFAULT_B, seed: int = DEFAULT_SEED) -> DataFrame:
     """``doc_id, sig`` -> one row per (doc, band): ``doc_id, band, key``."""
-    keys = F.array(*band_key_exprs(F.col("sig"), r, b, seed))
+    keys = F.array(*band_key_exprs(F.col("sig"), r, b))
     return sigs.select("doc_id", F.posexplode(keys).alias("band", "key"))
 
 
@@ -192,11 +180,9 @@ def collapse_identical(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
 def candidate_pairs(band_rows: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
     """Distinct ``doc_a < doc_b`` sharing any (band, key) bucket (skew-tiled).
 
-    The band rows feed the bucket-size count and both join sides, so they
-    are persisted (memory+disk, recomputable) instead of re-running the
-    signature stage three times.
+    The join persists the band rows (memory+disk, recomputable) for the
+    bucket-size count and both sides.
     """
-    band_rows = materialize(band_rows)
     p = bucket_self_pairs(band_rows, ["band", "key"], "doc_id", block=block)
     return p.select(F.col("a").alias("doc_a"), F.col("b").alias("doc_b")).distinct()
 
@@ -357,8 +343,8 @@ def cross_near_dup_pairs(left_sets: DataFrame, right_sets: DataFrame, r: int = D
     """
     ls = left_sets.where(F.size("shingles") > 0)
     rs = right_sets.where(F.size("shingles") > 0)
-    lb = materialize(bands(minhash(ls, r * b, seed), r, b, seed).withColumnRenamed("doc_id", "left_id"))
-    rb = materialize(bands(minhash(rs, r * b, seed), r, b, seed).withColumnRenamed("doc_id", "right_id"))
+    lb = bands(minhash(ls, r * b, seed), r, b, seed).withColumnRenamed("doc_id", "left_id")
+    rb = bands(minhash(rs, r * b, seed), r, b, seed).withColumnRenamed("doc_id", "right_id")
     cands = bucket_cross_pairs(lb, rb, ["band", "key"], "left_id", "right_id", block).distinct()
     la = ls.select(F.col("doc_id").alias("left_id"), F.col("shingles").alias("_sa"))
     ra = rs.select(F.col("doc_id").alias("right_id"), F.col("shingles").alias("_sb"))

@@ -60,7 +60,7 @@ def map_reduce_word_count(spark, sf):
 
 # ---------------------------------------------------------------- G2 / A2
 SHINGLE_SQL = f"""WITH {shingles_cte()}
-SELECT doc_id, len(s)::BIGINT AS n_shingles, list_sum(s)::BIGINT AS sum_ids,
+SELECT doc_id, len(s)::BIGINT AS n_shingles, list_sum(list_transform(s, lambda x: x % 2147483647))::BIGINT AS sum_ids,
        list_min(s) AS min_id, list_max(s) AS max_id FROM sh"""
 
 
@@ -69,18 +69,18 @@ def shingle_documents(spark, sf):
     """3-word shingle id sets per document (summarised per doc)."""
     s = lsh.shingle(table(spark, sf, "documents"))
     return s.select("doc_id", F.size("shingles").cast("bigint").alias("n_shingles"),
-                    F.aggregate("shingles", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("sum_ids"),
+                    F.aggregate("shingles", F.lit(0).cast("bigint"), lambda a, x: a + x % 2147483647).alias("sum_ids"),
                     F.array_min("shingles").alias("min_id"), F.array_max("shingles").alias("max_id"))
 
 
 @query("parse_shingle_lines", f"""WITH {shingles_cte()}
-SELECT doc_id, len(s)::BIGINT AS n_shingles, list_sum(s)::BIGINT AS sum_ids FROM sh""")
+SELECT doc_id, len(s)::BIGINT AS n_shingles, list_sum(list_transform(s, lambda x: x % 2147483647))::BIGINT AS sum_ids FROM sh""")
 def parse_shingle_lines_q(spark, sf):
     """A2: 'PAGE_<id> <sid> ...' lines (written from the shingle table) parsed back."""
     lines = shingle_lines(lsh.shingle(table(spark, sf, "documents")))
     p = parse_shingle_lines(lines)
     return p.select("doc_id", F.size("shingles").cast("bigint").alias("n_shingles"),
-                    F.aggregate("shingles", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("sum_ids"))
+                    F.aggregate("shingles", F.lit(0).cast("bigint"), lambda a, x: a + x % 2147483647).alias("sum_ids"))
 
 
 # ---------------------------------------------------------------- D3 / H1 / B8

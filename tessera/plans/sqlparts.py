@@ -1,12 +1,12 @@
 """Reusable DuckDB SQL fragments for the oracles (independent of the Spark code).
 
-They restate the fixed rules in SQL: tokenisation, 28-bit shingle ids,
+They restate the fixed rules in SQL: tokenisation, 60-bit shingle ids,
 md5-derived hash coefficients and uniforms.
 """
 
 from __future__ import annotations
 
-P31 = 2147483647
+TWO64 = 18446744073709551616
 
 
 def hexint(expr: str, digits: int) -> str:
@@ -30,7 +30,7 @@ def r6(expr: str) -> str:
 
 def shingles_cte(k: int = 3, table: str = "documents", id_col: str = "doc_id",
                  text_col: str = "text", name: str = "sh") -> str:
-    """CTE ``name(doc_id, s)``: distinct k-shingle ids of each text with >= k words."""
+    """CTE ``name(doc_id, s)``: distinct k-shingle ids of each text with a word."""
     return f"""
 {name}_w AS (
   SELECT {id_col} AS doc_id,
@@ -38,36 +38,37 @@ def shingles_cte(k: int = 3, table: str = "documents", id_col: str = "doc_id",
   FROM {table} WHERE {text_col} IS NOT NULL),
 {name} AS (
   SELECT doc_id,
-         list_distinct(list_transform(range(0, len(w) - {k - 1}),
-             lambda i: {hexint(f"array_to_string(w[i + 1:i + {k}], ' ')", 7)})) AS s
-  FROM {name}_w WHERE len(w) >= {k})"""
+         list_distinct(list_transform(range(0, greatest(1, len(w) - {k - 1})),
+             lambda i: {hexint(f"array_to_string(w[i + 1:i + {k}], ' ')", 15)})) AS s
+  FROM {name}_w WHERE len(w) > 0)"""
 
 
 def coef_cte(n: int, seed: int, tag: str, name: str) -> str:
-    """CTE ``name(h, a, b)`` of universal hash coefficients."""
+    """CTE ``name(h, a, b)`` of multiply-add hash coefficients."""
     return f"""
 {name} AS (
   SELECT i AS h,
-         1 + {hexint(f"'{seed}:{tag}:a:' || i", 8)} % {P31 - 1} AS a,
-         {hexint(f"'{seed}:{tag}:b:' || i", 8)} % {P31} AS b
+         2 * {hexint(f"'{seed}:{tag}:a:' || i", 15)}::HUGEINT + 1 AS a,
+         {hexint(f"'{seed}:{tag}:b:' || i", 15)}::HUGEINT AS b
   FROM range({n}) t(i))"""
 
 
 def minhash_ctes(n: int, seed: int, sets: str = "sh", name: str = "sig") -> str:
-    """CTE ``name(doc_id, h, v)``: v = min over set of (a_h x + b_h) mod p."""
+    """CTE ``name(doc_id, h, v)``: v = min over set of ((a_h x + b_h) mod 2^64) >> 3."""
     return f"""{coef_cte(n, seed, 'mh', name + '_c')},
 {name}_x AS (SELECT doc_id, unnest(s) AS x FROM {sets}),
 {name} AS (
-  SELECT doc_id, h, min((a * x + b) % {P31}) AS v
+  SELECT doc_id, h, (min((a * x + b) % {TWO64}) // 8)::BIGINT AS v
   FROM {name}_x, {name}_c GROUP BY doc_id, h)"""
 
 
 def band_ctes(r: int, b: int, seed: int, sig: str = "sig", name: str = "bnd") -> str:
     """CTE ``name(doc_id, band, key)`` from a long signature table."""
-    return f"""{coef_cte(r * b, seed, 'band', name + '_c')},
+    joined = "string_agg(g.v::VARCHAR, ',' ORDER BY g.h)"
+    return f"""
 {name} AS (
-  SELECT g.doc_id, (g.h // {r})::INTEGER AS band, sum((c.a * g.v + c.b) % {P31})::BIGINT AS key
-  FROM {sig} g JOIN {name}_c c ON c.h = g.h GROUP BY g.doc_id, g.h // {r})"""
+  SELECT g.doc_id, (g.h // {r})::INTEGER AS band, {hexint(joined, 15)} AS key
+  FROM {sig} g GROUP BY g.doc_id, g.h // {r})"""
 
 
 def groups_ctes(sets: str = "sh", name: str = "grp") -> str:

@@ -44,20 +44,19 @@ def test_shingle_ids_match_jvm_expression(spark):
                                  "doc_id bigint, text string")
     py = {r.doc_id: sorted(r.shingles) for r in lsh.shingle(docs).collect()}
     jvm = {r.doc_id: sorted(r.shingles) for r in lsh.shingle_jvm(docs).collect()}
-    assert py == jvm and set(py) == {1, 2}
+    assert py == jvm and set(py) == {1, 2, 3}
 
 
 def test_minhash_matches_bruteforce(spark):
-    from tessera.functions.hashing import PRIME31, hash_coefficients
+    from tessera.functions.hashing import hash_coefficients
     from tessera.operators import lsh
     rng = np.random.default_rng(0)
-    rows = [(i, [int(x) for x in rng.choice(2 ** 28, size=n, replace=False)]) for i, n in
+    rows = [(i, [int(x) for x in rng.integers(2 ** 60, size=n)]) for i, n in
             enumerate([1, 5, 40000, 3])]
     sig = {r.doc_id: r.sig for r in lsh.minhash(_sets(spark, rows), 16, 9).collect()}
     a, b = hash_coefficients(16, 9)
     for i, s in rows:
-        x = np.array(s, dtype=np.int64)
-        ref = [int(((a[h] * x + b[h]) % PRIME31).min()) for h in range(16)]
+        ref = [min((int(a[h]) * x + int(b[h])) % 2 ** 64 >> 3 for x in s) for h in range(16)]
         assert sig[i] == ref
 
 
@@ -271,3 +270,30 @@ def test_rank_one_learning_equals_direct_sums():
         A0 += Z.T @ Z - Z.T @ X @ np.linalg.solve(A, X.T @ Z)
         b0 += Z.T @ R - Z.T @ X @ np.linalg.solve(A, X.T @ R)
     assert np.allclose(st.A0, A0) and np.allclose(st.b0, b0) and np.allclose(sc.A0inv, np.linalg.inv(A0))
+
+
+def test_parsers_drop_and_count_bad_lines(spark):
+    from tessera.sources import lines as L
+    df = spark.createDataFrame([("PAGE_1 5 7",), ("PAGE_x 5 7",), ("PAGE_1 5 foo",), ("",), (None,)], "value string")
+    assert [tuple(r) for r in L.parse_shingle_lines(df).collect()] == [(1, [5, 7])]
+    assert tuple(L.count_rejects(df, L.parse_shingle_lines).first()) == (5, 1, 4)
+    df = spark.createDataFrame([("+1 0.5 1",), ("+1 0.5 bad",), ("x 1",)], "value string")
+    assert [tuple(r) for r in L.parse_labeled_lines(df).collect()] == [(1.0, [0.5, 1.0])]
+    df = spark.createDataFrame([("9 1 0 0 0 0 0 3 1 3 4",), ("9 1 0 0 q 0 0 3 1 3 4",)], "value string")
+    assert [r.choices for r in L.parse_bandit_log(df).collect()] == [[3, 4]]
+    df = spark.createDataFrame([("7 1 2",), ("a 1 2",)], "value string")
+    assert [tuple(r) for r in L.parse_arm_lines(df).collect()] == [(7, [1.0, 2.0])]
+
+
+def test_hot_bucket_is_tiled_before_its_shuffle(spark):
+    from tessera.operators import joins as J
+    rows = spark.createDataFrame([(1 if i < 90 else i, i) for i in range(200)], "key bigint, id bigint")
+    got = {(r.a, r.b) for r in J.bucket_self_pairs(rows, ["key"], "id", block=16).collect()}
+    assert got == {(i, j) for i in range(90) for j in range(i + 1, 90)}
+    right = rows.where("id % 3 = 0").selectExpr("key", "id + 1000 as other")
+    got = {(r.id, r.other) for r in J.bucket_cross_pairs(rows, right, ["key"], "id", "other", block=16).collect()}
+    want = {(i, j + 1000) for i in range(200) for j in range(0, 200, 3) if (1 if i < 90 else i) == (1 if j < 90 else j)}
+    assert got == want
+    tiled = J._with_blocks(rows, ["key"], "id", 16)
+    plan = tiled._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning(key" not in plan.split("InMemoryRelation")[0].split("BroadcastExchange")[0]
