@@ -15,7 +15,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -214,11 +214,16 @@ def centers_long(spark, centers: tuple) -> DataFrame:
     return spark.createDataFrame(rows, "cid int, j int, v double")
 
 
+def _numbered(drawn: DataFrame) -> DataFrame:
+    """``cid, x`` of drawn rows (as many as there are centres), numbered 0..m-1 by id."""
+    return drawn.select((F.row_number().over(Window.orderBy("id")) - 1).alias("cid"), "x")
+
+
 def coreset_kmeans(points: DataFrame, k: int, n_seed: int, n_sample: int, seed: int,
                    tol_core: float = 0.09, tol_full: float = 0.5, max_iter: int = 50) -> tuple:
     """K6: coreset from uniform seed centres over the full data, k-means++ and
     Lloyd on the weighted coreset, then Lloyd on all points from there."""
-    seeds = uniform_sample(points, n_seed, seed, "id").select(F.col("id").cast("int").alias("cid"), "x")
+    seeds = _numbered(uniform_sample(points, n_seed, seed, "id"))
     cs = coreset(points, centers_to_numpy(seeds), n_sample, seed + 1)
     cs = cs.select("id", "x", "weight").persist(StorageLevel.MEMORY_AND_DISK)
     init = kmeans_pp(cs, k, seed + 2, weight="weight")
@@ -246,7 +251,7 @@ def halving_coreset(points: DataFrame, k: int, eps: float, seed: int,
             layers.append(rest.withColumn("b", F.lit(b)).withColumn("d2", F.lit(0.0)))
             break
         draw = uniform_sample(rest, m, seed + b, "id")
-        cids, C = centers_to_numpy(draw.select(F.col("id").cast("int").alias("cid"), "x"))
+        cids, C = centers_to_numpy(_numbered(draw))
         a = nearest_center(rest, (cids, C)).persist(StorageLevel.MEMORY_AND_DISK)
         cut = a.approxQuantile("d2", [0.5], 0.001)[0]
         near = a.where(F.col("d2") <= cut)

@@ -326,13 +326,25 @@ def connected_groups(edges: DataFrame) -> DataFrame:
 
 def dedup_keep_first(docs: DataFrame, k: int = 3, threshold: float = DEFAULT_THRESHOLD,
                      r: int = DEFAULT_R, b: int = DEFAULT_B, seed: int = DEFAULT_SEED) -> DataFrame:
-    """Near-duplicate groups; keep the lowest id of each: ``doc_id, group_id, keep``."""
+    """Every document with its near-duplicate group (its own id if it has none);
+    the lowest id of each group is kept: ``doc_id, group_id, keep``."""
     edges = near_dup_pairs(docs, k, r, b, threshold, seed)
-    g = connected_groups(edges)
-    return g.withColumn("keep", F.col("doc_id") == F.col("group_id"))
+    g = docs.select("doc_id").distinct().join(connected_groups(edges), "doc_id", "left")
+    return (g.withColumn("group_id", F.coalesce("group_id", "doc_id"))
+            .withColumn("keep", F.col("doc_id") == F.col("group_id")))
 
 
 # --------------------------------------------------------------------- cross-set
+def containment_pairs(items: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """``item_id, doc_id, containment``: share of an item's shingles that a document has,
+    at or above the threshold (both ``doc_id, shingles``).  The shingles of the items
+    meet those of the documents by an equi-join; counting combines map-side."""
+    one = items.select(F.col("doc_id").alias("item_id"), F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    two = docs.select("doc_id", F.explode("shingles").alias("s"))
+    c = one.join(two, "s").groupBy("item_id", "doc_id", "n").agg(F.count(F.lit(1)).alias("c"))
+    return c.select("item_id", "doc_id", (F.col("c") / F.col("n")).alias("containment")).where(F.col("containment") >= threshold)
+
+
 def cross_near_dup_pairs(left_sets: DataFrame, right_sets: DataFrame, r: int = DEFAULT_R,
                          b: int = DEFAULT_B, threshold: float = DEFAULT_THRESHOLD,
                          seed: int = DEFAULT_SEED, block: int = DEFAULT_BLOCK) -> DataFrame:

@@ -27,6 +27,11 @@ def _sets(spark, sf):
     return materialize(lsh.shingle(table(spark, sf, "documents"), with_key=True))
 
 
+def _reps(spark, sf):
+    """Shingle sets of one document for each distinct content (copies are no pairs)."""
+    return materialize(lsh.collapse_identical(_sets(spark, sf))[0])
+
+
 # ---------------------------------------------------------------- D2 word count
 WORD_COUNT_SQL = """
 SELECT word, count(*)::BIGINT AS cnt FROM (
@@ -99,25 +104,25 @@ def band_rows(spark, sf):
     return lsh.bands(lsh.minhash(_sets(spark, sf), R * B, SEED), R, B, SEED)
 
 
-_CAND_SQL = f"""{shingles_cte()}, {minhash_ctes(R * B, SEED)}, {band_ctes(R, B, SEED)},
+_CAND_SQL = f"""{shingles_cte()}, {groups_ctes()}, {minhash_ctes(R * B, SEED, sets='grp_reps')}, {band_ctes(R, B, SEED)},
 cand AS (SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b
          FROM bnd a JOIN bnd b ON a.band = b.band AND a.key = b.key AND a.doc_id < b.doc_id),
 ver AS (SELECT c.doc_a, c.doc_b,
                len(list_intersect(x.s, y.s)) / (len(x.s) + len(y.s) - len(list_intersect(x.s, y.s))) AS j
-        FROM cand c JOIN sh x ON x.doc_id = c.doc_a JOIN sh y ON y.doc_id = c.doc_b)"""
+        FROM cand c JOIN grp_reps x ON x.doc_id = c.doc_a JOIN grp_reps y ON y.doc_id = c.doc_b)"""
 
 
 @query("lsh_candidate_pairs", f"WITH {_CAND_SQL} SELECT doc_a, doc_b FROM cand")
 def lsh_candidate_pairs(spark, sf):
-    """Distinct pairs sharing a band bucket (skew-tiled self-join)."""
-    b = lsh.bands(lsh.minhash(_sets(spark, sf), R * B, SEED), R, B, SEED)
+    """Distinct pairs of different texts sharing a band bucket (skew-tiled self-join)."""
+    b = lsh.bands(lsh.minhash(_reps(spark, sf), R * B, SEED), R, B, SEED)
     return lsh.candidate_pairs(b)
 
 
 @query("pair_verify_join", f"WITH {_CAND_SQL} SELECT doc_a, doc_b, {r6('j')} AS jaccard FROM ver")
 def pair_verify_join(spark, sf):
     """Exact Jaccard of every candidate pair via two joins on doc id."""
-    sets = _sets(spark, sf)
+    sets = _reps(spark, sf)
     c = lsh.candidate_pairs(lsh.bands(lsh.minhash(sets, R * B, SEED), R, B, SEED))
     v = lsh.verify_pairs(c, sets)
     return v.select("doc_a", "doc_b", _r6(F.col("jaccard")).alias("jaccard"))
@@ -127,7 +132,7 @@ def pair_verify_join(spark, sf):
        f"WITH {_CAND_SQL} SELECT doc_a, doc_b, {r6('j')} AS jaccard FROM ver WHERE j >= 0.7")
 def jaccard_threshold_filter(spark, sf):
     """B1: verified candidates with Jaccard >= 0.7 (inclusive)."""
-    sets = _sets(spark, sf)
+    sets = _reps(spark, sf)
     c = lsh.candidate_pairs(lsh.bands(lsh.minhash(sets, R * B, SEED), R, B, SEED))
     v = lsh.threshold_filter(lsh.verify_pairs(c, sets), 0.7)
     return v.select("doc_a", "doc_b", _r6(F.col("jaccard")).alias("jaccard"))
@@ -231,33 +236,29 @@ def dedup_f1(spark, sf):
 # ---------------------------------------------------------------- L3
 @query("dedup_keep_first", f"""WITH RECURSIVE {near_dup_edges_ctes(T85)},
 e AS (SELECT doc_a AS u, doc_b AS v FROM nd UNION SELECT doc_b, doc_a FROM nd),
-reach(s, t) AS (SELECT u, u FROM e UNION SELECT r.s, e.v FROM reach r JOIN e ON r.t = e.u)
-SELECT s AS doc_id, min(t) AS group_id, s = min(t) AS keep FROM reach GROUP BY s""")
+reach(s, t) AS (SELECT u, u FROM e UNION SELECT r.s, e.v FROM reach r JOIN e ON r.t = e.u),
+g AS (SELECT s AS doc_id, min(t) AS group_id FROM reach GROUP BY s)
+SELECT doc_id, coalesce(group_id, doc_id) AS group_id, coalesce(group_id, doc_id) = doc_id AS keep
+FROM (SELECT DISTINCT doc_id FROM documents) LEFT JOIN g USING (doc_id)""")
 def dedup_keep_first(spark, sf):
-    """L3: connected near-duplicate groups (min-label propagation); keep lowest id."""
+    """L3: connected near-duplicate groups for all documents; keep the lowest id."""
     return lsh.dedup_keep_first(table(spark, sf, "documents"), 3, T85, R, B, SEED)
 
 
 # ---------------------------------------------------------------- cross-set
-CONTAM_T = 0.5
-# t = 0.5 needs shorter bands: r=2, b=50 misses a 0.5 pair with p = 0.75^50 ~ 6e-7
-CONTAM_R, CONTAM_B = 2, 50
+CONTAM_T = 0.9
 
 
 @query("contamination_pairs", f"""WITH {shingles_cte(name='sh')},
 {shingles_cte(table='benchmark', id_col='item_id', name='bm')},
-inv AS (SELECT doc_id, unnest(s) AS e FROM sh), binv AS (SELECT doc_id AS item_id, unnest(s) AS e FROM bm),
-i AS (SELECT item_id, doc_id, count(*) AS i FROM binv JOIN inv USING (e) GROUP BY 1, 2),
-j AS (SELECT i.item_id, i.doc_id, i.i / (len(b.s) + len(d.s) - i.i) AS j
-      FROM i JOIN bm b ON b.doc_id = i.item_id JOIN sh d ON d.doc_id = i.doc_id)
-SELECT item_id, doc_id, {r6('j')} AS jaccard FROM j WHERE j >= {CONTAM_T}""")
+inv AS (SELECT doc_id, unnest(s) AS e FROM sh), binv AS (SELECT doc_id AS item_id, len(s) AS n, unnest(s) AS e FROM bm)
+SELECT item_id, doc_id, {r6('count(*) / any_value(n)')} AS containment FROM binv JOIN inv USING (e)
+GROUP BY item_id, doc_id HAVING count(*) / any_value(n) >= {CONTAM_T}""")
 def contamination_pairs(spark, sf):
-    """Cross-set L1: benchmark items vs documents with shingle Jaccard >= 0.5."""
+    """Benchmark items of which a document holds at least 0.9 of the shingles."""
     bm = lsh.shingle(table(spark, sf, "benchmark"), id_col="item_id")
-    docs = _sets(spark, sf)
-    p = lsh.cross_near_dup_pairs(bm, docs, CONTAM_R, CONTAM_B, CONTAM_T, SEED)
-    return p.select(F.col("left_id").alias("item_id"), F.col("right_id").alias("doc_id"),
-                    _r6(F.col("jaccard")).alias("jaccard"))
+    p = lsh.containment_pairs(bm, _sets(spark, sf), CONTAM_T)
+    return p.select("item_id", "doc_id", _r6(F.col("containment")).alias("containment"))
 
 
 __all__ = ["near_dup_pairs_sf", "shingle_ids", "groups_ctes"]

@@ -6,7 +6,7 @@ md5-derived hash coefficients and uniforms.
 
 from __future__ import annotations
 
-TWO64 = 18446744073709551616
+MASK64 = "18446744073709551615::HUGEINT"
 
 
 def hexint(expr: str, digits: int) -> str:
@@ -58,7 +58,7 @@ def minhash_ctes(n: int, seed: int, sets: str = "sh", name: str = "sig") -> str:
     return f"""{coef_cte(n, seed, 'mh', name + '_c')},
 {name}_x AS (SELECT doc_id, unnest(s) AS x FROM {sets}),
 {name} AS (
-  SELECT doc_id, h, (min((a * x + b) % {TWO64}) // 8)::BIGINT AS v
+  SELECT doc_id, h, (min((a * x + b) & {MASK64}) >> 3)::BIGINT AS v
   FROM {name}_x, {name}_c GROUP BY doc_id, h)"""
 
 
