@@ -45,7 +45,8 @@ def spread_of_lines(rows: DataFrame, sites: int = SITES) -> DataFrame:
     est = keep(est.where(F.col("est") >= sites * (1 - BAND)))
     sure = est.where(F.col("est") > sites * (1 + BAND)).select("h1", "h2", F.col("est").cast("bigint").alias("n_sites"))
     near = est.where(F.col("est") <= sites * (1 + BAND)).select("h1", "h2")
-    exact = (rows.where("site IS NOT NULL").join(near, ["h1", "h2"], "left_semi").select("h1", "h2", "site").distinct()
+    # (line, site) pairs are made distinct before the join, so a frequent line has a row for each site
+    exact = (rows.where("site IS NOT NULL").select("h1", "h2", "site").distinct().join(near, ["h1", "h2"], "left_semi")
              .groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_sites")).where(F.col("n_sites") >= sites))
     return sure.unionByName(exact)
 
@@ -61,8 +62,9 @@ def remove_boilerplate(docs: DataFrame, sites: int = SITES, least_bytes: int = L
     """
     rows = line_rows(docs, id_col, text_col, site_col, least_bytes)
     bad = spread_of_lines(rows.select("h1", "h2", "site"), sites).select("h1", "h2")
-    gone = (rows.join(bad, ["h1", "h2"], "left_semi").select("doc_id", "h1", "h2").distinct()
-            .groupBy("doc_id").agg(F.collect_list(F.struct("h1", "h2")).alias("bad")))  # lines of one document
+    # grouped by document only, so that the join may split a frequent line
+    gone = (rows.join(bad, ["h1", "h2"], "left_semi")
+            .groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("bad")))  # lines of one document
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     j = d.join(gone, d["doc_id"].eqNullSafe(gone["doc_id"]), "left").select(d["doc_id"], "_text", "bad")
     lines = F.split("_text", "\n")
