@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import byte_rows, one_text_per_id
+from tessera.llm.common import byte_rows, one_text_per_id, steps
 from tessera.llm.hashing_features import MIX, mix
 from tessera.sources.parallel import spread
 
@@ -42,7 +42,9 @@ GRAM = 16
 #: bytes of text for each group
 GROUP_BYTES = 8 << 20
 LEAST_GROUPS = 64
-STEP = 1 << 20
+STEP = 1 << 19
+#: texts of a batch, suffixes and places that a task handles at once
+BATCH_BYTES, WINDOWS, PLACES = 12 << 20, 200_000, 20_000
 _TABLE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 _POS = (1 << 24) - 1
 
@@ -107,7 +109,8 @@ def parse(raw: np.ndarray, off: np.ndarray, match: int = MATCH):
         last = inside.copy()
         last[:-1] &= ~inside[1:] | (at[1:] != at[:-1]) | (row[1:] != row[:-1])
         a, z = np.flatnonzero(first), np.flatnonzero(last)
-        out.append((row[a], g[at[a]] >> np.uint64(16), s + a, s + z, s + at[a]))
+        # hashed anew: triggers are small hashes, groups want even ones
+        out.append((row[a], mix(g[at[a]] + MIX) >> np.uint64(16), s + a, s + z, s + at[a]))
     if not out:
         e = np.zeros(0, np.int64)
         return e, e.astype(np.uint64), e, e, e
@@ -167,26 +170,30 @@ def _triggers(groups: int, match: int):
     of the trigger; to the other documents of the batch that hold it, at once."""
     def run(batches):
         for b in batches:
-            doc = np.asarray(b.column(0))
-            raw, off = byte_rows(b.column(1))
-            row, h, *_ = parse(raw, off, match)
-            d = doc[row]
-            order = np.lexsort((d, h))
-            h, d = h[order], d[order]
-            new = np.ones(len(h), bool)
-            new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
-            h, d = h[new], d[new]
-            head = np.ones(len(h), bool)
-            head[1:] = h[1:] != h[:-1]
-            shared = np.zeros(len(h), bool)
-            shared[:-1] = head[:-1] & ~head[1:]
-            parts = _codes_out(d[~head], h[~head], groups, groups)
-            hh, dd, ss = h[head], d[head], shared[head]
-            for k, s, e in _slices(_group_of_trigger(hh, groups)):
-                ids, which = np.unique(dd[s:e], return_inverse=True)
-                parts.append((k, pack(hh[s:s + 1], _deltas(hh[s:e] - hh[s]), ids[:1], _deltas(ids - ids[0]), _small(which), np.packbits(ss[s:e]))))
-            for s in range(0, len(parts), 4096):
-                yield _rows(parts[s:s + 4096])
+            docs = np.asarray(b.column(0))
+            every, ends = byte_rows(b.column(1))
+            for i, j in steps(ends, BATCH_BYTES):
+                yield from one(docs[i:j], every[ends[i]:ends[j]], ends[i:j + 1] - ends[i])
+
+    def one(doc, raw, off):
+        row, h, *_ = parse(raw, off, match)
+        d = doc[row]
+        order = np.lexsort((d, h))
+        h, d = h[order], d[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
+        h, d = h[new], d[new]
+        head = np.ones(len(h), bool)
+        head[1:] = h[1:] != h[:-1]
+        shared = np.zeros(len(h), bool)
+        shared[:-1] = head[:-1] & ~head[1:]
+        parts = _codes_out(d[~head], h[~head], groups, groups)
+        hh, dd, ss = h[head], d[head], shared[head]
+        for k, s, e in _slices(_group_of_trigger(hh, groups)):
+            ids, which = np.unique(dd[s:e], return_inverse=True)
+            parts.append((k, pack(hh[s:s + 1], _deltas(hh[s:e] - hh[s]), ids[:1], _deltas(ids - ids[0]), _small(which), np.packbits(ss[s:e]))))
+        for s in range(0, len(parts), 4096):
+            yield _rows(parts[s:s + 4096])
     return run
 
 
@@ -218,8 +225,11 @@ def _repeated(groups: int):
 # ------------------------------------------------------------------ 2. phrases
 def _phrase_bytes(raw, start, size):
     """The bytes raw[start:start + size] of all phrases, concatenated."""
-    at = np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
-    return raw[at]
+    out = []
+    for c in range(0, len(size), PLACES):
+        f, n = start[c:c + PLACES], size[c:c + PLACES]
+        out.append(raw[np.arange(n.sum()) + np.repeat(f - (np.cumsum(n) - n), n)])
+    return np.concatenate(out) if out else raw[:0]
 
 
 def _spans_out(doc, first, last, groups: int, base: int) -> list:
@@ -272,7 +282,7 @@ def _phrases(groups: int, match: int):
             p0, p1 = place[s], place[e]
             ids, ref = np.unique(d[i], return_inverse=True)
             text = _phrase_bytes(raw, first[i], size[i])
-            parts.append((k, pack(hl[s:e], _small(size[i]), _small(at[i] - first[i]), ids, _small(ref), text,
+            parts.append((k, pack(hl[s:s + 1], _deltas(hl[s:e] - hl[s]), _small(size[i]), _small(at[i] - first[i]), ids, _small(ref), text,
                                   _small(w[p0:p1] - s), _small(pos[o[p0:p1]]))))
         return pa.Table.from_batches([_rows(parts)])
     return run
@@ -280,9 +290,40 @@ def _phrases(groups: int, match: int):
 
 def _names(body: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """64-bit hash of each phrase (phrases are shorter than 2 * MATCH bytes)."""
-    pos = np.arange(len(body)) - np.repeat(begin, size)
-    power = np.cumprod(np.full(int(size.max()), 0x9FB21C651E98DF25, np.uint64))
-    return mix(np.add.reduceat(_TABLE[body] * power[pos], begin))
+    out = np.empty(len(size), np.uint64)
+    power = np.cumprod(np.full(int(size.max()) if len(size) else 1, 0x9FB21C651E98DF25, np.uint64))
+    for c in range(0, len(size), PLACES):
+        n = size[c:c + PLACES]
+        first = np.cumsum(n) - n
+        pos = np.arange(n.sum()) - np.repeat(first, n)
+        b = body[begin[c]:begin[c] + len(pos)]
+        out[c:c + PLACES] = mix(np.add.reduceat(_TABLE[b] * power[pos], first))
+    return out
+
+
+def _portions(h: np.ndarray, n: np.ndarray):
+    """Ranges of dictionary entries (sorted by trigger) of about WINDOWS suffixes each;
+    a trigger's entries stay together."""
+    runs = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+    part = (np.cumsum(n) - n)[runs] // WINDOWS
+    first = runs[np.flatnonzero(np.append(True, part[1:] != part[:-1]))].tolist()
+    return zip(first, [*first[1:], len(h)])
+
+
+def _suffix_minima(text: np.ndarray, at: np.ndarray, n: np.ndarray, low: np.ndarray, match: int) -> np.ndarray:
+    """Sorts the suffixes of some entries by their first ``match`` bytes (a suffix
+    array as deep as it matters) and gives each suffix the smallest document of its run."""
+    of = np.repeat(np.arange(len(n)), n)
+    starts = at[of] + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    key = np.lib.stride_tricks.sliding_window_view(text, match)[starts].view(f"S{match}").ravel()
+    sa = np.argsort(key, kind="stable")
+    key = key[sa]
+    head = np.ones(len(sa), bool)
+    head[1:] = key[1:].view(f"V{match}") != key[:-1].view(f"V{match}")
+    heads = np.flatnonzero(head)
+    least = np.empty(len(sa), np.int64)
+    least[sa] = np.repeat(np.minimum.reduceat(low[of[sa]], heads), np.diff(np.append(heads, len(sa))))
+    return least
 
 
 def _matched(groups: int, match: int):
@@ -295,7 +336,8 @@ def _matched(groups: int, match: int):
         cols = [[] for _ in range(6)]
         base = 0
         for x in table.column("data"):
-            h, size, lead, ids, ref, text, which, pos = unpack(x.as_py())
+            h0, dh, size, lead, ids, ref, text, which, pos = unpack(x.as_py())
+            h = h0 + _sums(dh, np.uint64)
             for c, v in zip(cols, (size.astype(np.int64), ids[ref], text, which.astype(np.int64) + base, pos.astype(np.int64), h)):
                 c.append(v)
             base += len(h)
@@ -311,32 +353,26 @@ def _matched(groups: int, match: int):
         own[order] = entry  # dictionary entry of each sent phrase
         low = doc[order][head]
         dict_at, dict_size = begin[order][head], size[order][head]
-        # suffixes of at least MATCH bytes, as their first MATCH bytes, in sorted order
         n = dict_size - match + 1
-        of = np.repeat(np.arange(len(n)), n)
-        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        starts = dict_at[of] + place
-        view = np.lib.stride_tricks.sliding_window_view(text, match)[starts]
-        key = np.ascontiguousarray(view).view(f"S{match}").ravel()
-        sa = np.argsort(key, kind="stable")
-        run_head = np.ones(len(sa), bool)
-        run_head[1:] = (view[sa[1:]] != view[sa[:-1]]).any(axis=1) if len(sa) > 1 else False
-        heads = np.flatnonzero(run_head)
-        least = np.empty(len(sa), np.int64)
-        least[sa] = np.repeat(np.minimum.reduceat(low[of[sa]], heads), np.diff(np.append(heads, len(sa))))
+        at = np.cumsum(n) - n
+        least = np.empty(int(n.sum()), np.int64)
+        for e0, e1 in _portions(h[order][head], n):
+            least[at[e0]:at[e1 - 1] + n[e1 - 1]] = _suffix_minima(text, dict_at[e0:e1], n[e0:e1], low[e0:e1], match)
         # the parse: each place of each sent phrase, against the smallest document of its suffixes
-        d = doc[which]
-        k = own[which]
-        many = n[k]
-        occ = np.repeat(np.arange(len(k)), many)
-        w = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        gone = least[(np.cumsum(n) - n)[k[occ]] + w] < d[occ]
-        begins = gone.copy()
-        begins[1:] &= ~gone[:-1] | (occ[1:] != occ[:-1])
-        ends = gone.copy()
-        ends[:-1] &= ~gone[1:] | (occ[1:] != occ[:-1])
-        a, z = np.flatnonzero(begins), np.flatnonzero(ends)
-        return pa.Table.from_batches([_rows(_spans_out(d[occ[a]], pos[occ[a]] + w[a], pos[occ[a]] + w[z], groups, 0))])
+        out = []
+        for c in range(0, len(which), PLACES):
+            d, k, p = doc[which[c:c + PLACES]], own[which[c:c + PLACES]], pos[c:c + PLACES]
+            many = n[k]
+            occ = np.repeat(np.arange(len(k)), many)
+            w = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            gone = least[at[k[occ]] + w] < d[occ]
+            begins = gone.copy()
+            begins[1:] &= ~gone[:-1] | (occ[1:] != occ[:-1])
+            ends = gone.copy()
+            ends[:-1] &= ~gone[1:] | (occ[1:] != occ[:-1])
+            a, z = np.flatnonzero(begins), np.flatnonzero(ends)
+            out.append((d[occ[a]], p[occ[a]] + w[a], p[occ[a]] + w[z]))
+        return pa.Table.from_batches([_rows(_spans_out(*(np.concatenate(x) for x in zip(*out)), groups, 0) if out else [])])
     return run
 
 
