@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import byte_rows, keep, steps
+from tessera.llm.common import byte_rows, steps
 from tessera.llm.hashing_features import ngram_counts
 from tessera.sources.parallel import spread
 
@@ -68,20 +68,20 @@ def fit_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 12, see
     return w
 
 
-def _sample(docs: DataFrame, per_lang: int) -> DataFrame:
-    """About ``per_lang`` texts of each language, chosen by a hash of the id."""
-    n = docs.groupBy("lang").count()
+def _sample(rows: DataFrame, counts: dict[str, int], per_lang: int) -> DataFrame:
+    """About ``per_lang`` texts of each language, chosen where they are scanned by a hash of id and text."""
     # the unsigned top 31 bits of the hash against the share that is wanted
-    share = F.least(F.lit(1.0), F.lit(float(per_lang)) / F.col("count")) * F.lit(float(1 << 31))
-    return (docs.join(n, "lang").where(F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 33) < share)
-            .select("text", "lang", F.xxhash64("doc_id", "text").alias("o")))
+    bound = [x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(1.0, per_lang / n) * float(1 << 31)))]
+    mark = F.xxhash64("doc_id", "text")
+    return (rows.where(F.shiftrightunsigned(mark, 33) < F.try_element_at(F.create_map(*bound), F.col("lang")))
+            .select("text", "lang", mark.alias("o")))
 
 
 def train(docs: DataFrame, per_lang: int = PER_LANG, buckets: int = BUCKETS, families: dict | None = None) -> dict:
     """Model from rows ``doc_id, text, lang``; null texts, languages and ids are not learned from."""
-    spark = docs.sparkSession
     rows = docs.where("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text", "lang")
-    langs = sorted(r.lang for r in rows.select("lang").distinct().collect())  # as many as there are languages
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # as many as there are languages
+    langs = sorted(counts)
     tree: dict[str, list[str]] = {}
     for x in langs:
         tree.setdefault(family_of(x, families), []).append(x)
@@ -109,7 +109,7 @@ def train(docs: DataFrame, per_lang: int = PER_LANG, buckets: int = BUCKETS, fam
         w = fit_svm(x, pdf["y"].to_numpy(np.float64))
         return pd.DataFrame({"job": [pdf["job"].iloc[0]], "w": [w.tolist()]})
 
-    got = (_sample(rows, per_lang).mapInArrow(vectors, "job int, y int, o bigint, x binary")
+    got = (_sample(rows, counts, per_lang).mapInArrow(vectors, "job int, y int, o bigint, x binary")
            .groupBy("job").applyInPandas(fit, "job int, w array<double>").collect())  # one vector for each pair
     model["w"] = np.zeros((buckets + 1, len(jobs)))
     for r in got:
