@@ -51,6 +51,24 @@ def band_keys(vals: list[Column], r: int, b: int) -> Column:
     return F.array(*[F.concat_ws(",", *[vals[j * r + i].cast("string") for i in range(r)]) for j in range(b)])
 
 
+# ------------------------------------------------------------------ bands from the recall
+def cosine_agreement(cosine: float) -> float:
+    """Chance that a sign bit agrees on two vectors of the given cosine."""
+    return 1 - math.acos(cosine) / math.pi
+
+
+def euclidean_agreement(dist: float, a: float, dim: int) -> float:
+    """Chance that a cell of width ``a`` on a random unit direction of ``dim``
+    dimensions holds both of two points at the given distance."""
+    t = a * math.sqrt(dim) / dist
+    return math.erf(t / math.sqrt(2)) - math.sqrt(2 / math.pi) / t * (1 - math.exp(-t * t / 2))
+
+
+def bands_for_recall(p: float, r: int, recall: float) -> int:
+    """Bands of r hashes that find a pair whose hashes agree with chance p with the given recall."""
+    return math.ceil(math.log(1 - recall) / math.log(1 - p ** r))
+
+
 # ------------------------------------------------------------------ L4
 def cosine_bits(x: Column, W: np.ndarray) -> list[Column]:
     """Sign bits sgn(w.x) (1 when >= 0)."""

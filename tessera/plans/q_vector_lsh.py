@@ -62,7 +62,9 @@ def _metric_cte(name: str, pairs: str) -> str:
 
 
 # ---------------------------------------------------------------- L4
-COS_R, COS_B, COS_T = 8, 12, 0.4  # 4.6 % of random pairs share a band
+RECALL = 0.95  # of a pair just at the threshold
+COS_R, COS_T = 6, 0.4
+COS_B = VL.bands_for_recall(VL.cosine_agreement(COS_T), COS_R, RECALL)
 
 
 @query("cosine_lsh_pairs", f"""WITH {PTS}, {_w_cte('W', 'cos', COS_R * COS_B, False)}, {_dots('dt', 'W')},
@@ -70,15 +72,16 @@ COS_R, COS_B, COS_T = 8, 12, 0.4  # 4.6 % of random pairs share a band
 {_metric_cte('m', 'cp')}
 SELECT id_a, id_b, {r6('dt / (sqrt(na) * sqrt(nb))')} AS cosine FROM m WHERE dt / (sqrt(na) * sqrt(nb)) >= {COS_T}""")
 def cosine_lsh_pairs(spark, sf):
-    """L4: random-hyperplane LSH (8 bits x 12 bands), verified cosine >= 0.4."""
+    """L4: random-hyperplane LSH (bands of 6 bits for a recall of 0.95), verified cosine >= 0.4."""
     p = VL.cosine_lsh_pairs(_pts(spark, sf), COS_R, COS_B, COS_T, SEED)
     return p.select("id_a", "id_b", _r6(F.col("cosine")).alias("cosine"))
 
 
 # ---------------------------------------------------------------- L5 / L6
-# projections of unit vectors spread 1/8: cells of two deviations, bands of eight (4 % of random pairs)
-E_R, E_B, E_A = 8, 14, 0.25
+# projections of unit vectors spread 1/8: cells of two deviations
+E_R, E_A = 4, 0.25
 E_RAD = 1.1
+E_B = VL.bands_for_recall(VL.euclidean_agreement(E_RAD, E_A, 64), E_R, RECALL)
 E2 = f"""{_w_cte('W2', 'e2', E_R * E_B, True)},
 bb AS (SELECT k, {E_A} * {sql_uniform(f"'{SEED}:e2b:' || k")} AS b FROM range({E_R * E_B}) a(k))"""
 
@@ -91,7 +94,7 @@ def _hash_expr() -> str:
 {_bands_cte('bd', 'h', _hash_expr(), E_R)}, {_pairs_cte('cp', 'bd')}, {_metric_cte('m', 'cp')}
 SELECT id_a, id_b, {r6('sqrt(d2)')} AS l2 FROM m WHERE sqrt(d2) <= {E_RAD}""")
 def euclidean_lsh_pairs(spark, sf):
-    """P-stable LSH floor((w.x+b)/a) (8 x 14 bands), verified l2 <= 1.1."""
+    """P-stable LSH floor((w.x+b)/a) (bands of 4 for a recall of 0.95), verified l2 <= 1.1."""
     p = VL.euclidean_lsh_pairs(_pts(spark, sf), E_R, E_B, E_A, E_RAD, SEED)
     return p.select("id_a", "id_b", _r6(F.col("l2")).alias("l2"))
 
