@@ -178,6 +178,6 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of all documents that stay in a smaller doc_id: bytes and runs to remove."""
     from tessera.llm.paragraph_dedup import repeated_passages
-    r = repeated_passages(table(spark, sf_dir, "documents"))
+    r = repeated_passages(table(spark, sf_dir, "documents"), whole=True)
     gone = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
     return r.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), "kept_in")
