@@ -7,7 +7,8 @@ one sketch for each task that meets it.  Estimates outside the sketch's error
 band decide by themselves; the lines inside the band get exact distinct counts.
 
 Only DataFrame functions.  A line is hashed to two 64-bit values of its trimmed
-text; blank lines and lines under ``least_bytes`` are never boilerplate.
+text; blank lines and lines under ``least_bytes`` are never boilerplate; with
+``least_bytes=1`` every other line is judged.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ def line_rows(docs: DataFrame, id_col: str, text_col: str, site_col: str, least_
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(site_col).cast("string").alias("site"),
                     F.posexplode_outer(F.split(F.col(text_col), "\n")).alias("at", "line"))
     line = F.trim(F.col("line"))
-    return (d.where(F.octet_length(line) >= least_bytes)
+    return (d.where((F.octet_length(line) >= least_bytes) & line.rlike(r"\S"))
             .select("doc_id", "site", "at", F.xxhash64(line).alias("h1"), F.xxhash64(line, F.lit(1)).alias("h2")))
 
 

@@ -164,6 +164,26 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+OP6_EVERY_SQL = r"""
+WITH l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+           FROM documents WHERE text IS NOT NULL),
+bad AS (SELECT trim(line, ' ') AS k FROM l WHERE regexp_matches(line, '\S') GROUP BY 1 HAVING count(DISTINCT source) >= 10),
+d AS (SELECT doc_id, count(*) AS n_lines, count(bad.k) AS n_removed,
+             coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE bad.k IS NULL), '') AS kept
+      FROM l LEFT JOIN bad ON trim(line, ' ') = bad.k GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n_lines, 0) AS INTEGER) AS n_lines, CAST(coalesce(n_removed, 0) AS INTEGER) AS n_removed, sha256(kept) AS kept_sha256
+FROM documents LEFT JOIN d USING (doc_id)
+"""
+
+
+@query("op6_line_dedup_every_line", OP6_EVERY_SQL)
+def op6_line_dedup_every_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without any non-blank line that occurs at ten or more sources, however short."""
+    from tessera.llm.line_dedup import remove_boilerplate
+    r = remove_boilerplate(table(spark, sf_dir, "documents"), least_bytes=1)
+    return r.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query("op8_suffix_array_dedup")
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of all documents that 50-byte strings of smaller doc_ids cover, removed."""
