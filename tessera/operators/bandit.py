@@ -42,6 +42,8 @@ from tessera.session import swap
 from tessera.sources.parallel import by_key, spread
 
 MAX_ARMS = 100_000
+#: segments whose totals are summed together
+CARRY = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -488,17 +490,27 @@ def rejection_sampling(accepted: DataFrame, T_max: int, segment: str = "segment"
     return accepted.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= T_max).drop("_rn")
 
 
-def cumulative_regret(log: DataFrame, segment: str = "segment") -> DataFrame:
+def cumulative_regret(log: DataFrame, segment: str = "segment", carry: bool = False) -> DataFrame:
     """Running sum over t of (mu* - mu_chosen) within each segment; mu
     are per-arm mean rewards of the whole log (one row per arm, broadcast
-    after a size check)."""
+    after a size check).  With ``carry`` the sum runs on over all segments,
+    which must follow t: each begins at the total of the smaller ones."""
     mu = log.groupBy(F.col("chosen").alias("arm")).agg(F.avg("reward").alias("mu"))
     if mu.count() > MAX_ARMS:
         raise ValueError("too many arms")
     best = mu.agg(F.max("mu")).first()[0]
     r = log.join(F.broadcast(mu), log.chosen == mu.arm).withColumn("gap", F.lit(best) - F.col("mu"))
     w = Window.partitionBy(segment).orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    return r.select(segment, "t", "chosen", "gap", F.sum("gap").over(w).alias("regret"))
+    regret = F.sum("gap").over(w)
+    if carry:
+        # one row for each segment; their prefix sum is taken over groups of segments, then inside each
+        total = r.groupBy(segment).agg(F.sum("gap").alias("_sum")).withColumn("_group", F.floor(F.col(segment) / CARRY))
+        before = lambda w: F.coalesce(F.sum("_sum").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+        groups = total.groupBy("_group").agg(F.sum("_sum").alias("_sum")).select("_group", before(Window.orderBy("_group")).alias("_far"))
+        near = total.select(segment, "_group", before(Window.partitionBy("_group").orderBy(segment)).alias("_near"))
+        begin = near.join(groups, "_group").select(segment, (F.col("_far") + F.col("_near")).alias("_begin"))
+        r, regret = r.join(begin, segment), regret + F.col("_begin")
+    return r.select(segment, "t", "chosen", "gap", regret.alias("regret"))
 
 
 # ------------------------------------------------------------------ I5 adaptive

@@ -235,6 +235,17 @@ def cumulative_regret(spark, sf):
     return r.select("segment", "t", _r6(F.col("regret")).alias("regret"))
 
 
+@query("cumulative_regret_whole_log", f"""WITH {LOG},
+mu AS (SELECT chosen, avg(reward) AS mu FROM lg GROUP BY chosen),
+g AS (SELECT lg.t, (SELECT max(mu) FROM mu) - mu.mu AS gap FROM lg JOIN mu USING (chosen))
+SELECT t, {r6('sum(gap) OVER (ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)')} AS regret FROM g""")
+def cumulative_regret_whole_log(spark, sf):
+    """Running regret of the logging policy against the best arm, over the whole log."""
+    lg = _log(spark, sf).withColumn("segment", F.floor(F.col("t") / SEG).cast("bigint"))
+    r = BD.cumulative_regret(lg, carry=True)
+    return r.select("t", _r6(F.col("regret")).alias("regret"))
+
+
 # ---------------------------------------------------------------- R-checked (matrix inverses / sequential)
 def _frozen_linucb(spark, sf, kind):
     lg = _log(spark, sf)
