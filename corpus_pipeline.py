@@ -36,16 +36,20 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component, the one with the smallest doc_id.
+    """One row of each SimHash component, of the smallest doc_id.
 
-    Rows that repeat a kept doc_id with the same text are kept once.
+    An id with several texts stands in the components of all of them: its rows are
+    decided one by one, by their fingerprints.
     """
     ship_package(spark)
-    groups = keep(simhash.simhash_groups(docs, words=3, radius=2).where("doc_id IS NOT NULL"))
-    stay = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_times"))
-    named = docs.join(stay, "doc_id")
+    groups = keep(simhash.simhash_rows(docs, words=3, radius=2).where("doc_id IS NOT NULL"))
+    own = F.col("doc_id") == F.col("component_id")
+    rows = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_times"), F.max(own).alias("_own")).where("_own").select("doc_id", "_times")
+    named = docs.join(rows, "doc_id")
     once = named.where("_times = 1").select(*docs.columns)
-    more = named.where("_times > 1").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    stay = groups.where(own).groupBy("doc_id", "component").agg(F.min("fp").alias("_fp")).select("doc_id", "_fp")
+    more = (named.where("_times > 1").withColumn("_fp", simhash.fingerprint_of(F.col("text"), 3)).join(stay, ["doc_id", "_fp"])
+            .dropDuplicates(["doc_id", "_fp"]).select(*docs.columns))
     return once.unionByName(more).unionByName(docs.where("doc_id IS NULL"))
 
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -70,6 +71,16 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_c
     return d.mapInArrow(run, "doc_id bigint, fp bigint")
 
 
+def fingerprint_of(text, words: int = 3):
+    """Column of the fingerprints of a text column."""
+    @F.pandas_udf("bigint")
+    def of(col: pd.Series) -> pd.Series:
+        out = np.array([fingerprint(t.encode(), words) if t else 0 for t in col], np.uint64)
+        return pd.Series(out.view(np.int64))
+
+    return of(text)
+
+
 def _planes(v: np.ndarray) -> np.ndarray:
     """uint64 values as 64 vertical bit planes of uint64 words (lanes padded with zeros)."""
     n = -len(v) % 64
@@ -254,10 +265,16 @@ def simhash_groups(docs: DataFrame, words: int = 3, radius: int = 2, id_col: str
     the component of their fingerprint (null if no member has an id); repeated
     rows give repeated results; an empty table gives none.
     """
+    return simhash_rows(docs, words, radius, id_col, text_col).select("doc_id", "fp", "component_id")
+
+
+def simhash_rows(docs: DataFrame, words: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """As ``simhash_groups``, with ``component``: components of one smallest doc_id
+    (an id with several texts) differ in it."""
     fps = keep(fingerprints(docs, words, id_col, text_col))
     nodes = keep(fps.groupBy("fp").agg(F.min("doc_id").alias("first")))
     comp = connected_components(close_fingerprints(nodes.select("fp"), radius))
     own = members(comp, nodes, "fp")
     ids = own.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = own.join(ids, "component").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = own.join(ids, "component").select("fp", "component", "component_id")
+    return fps.join(named, "fp").select("doc_id", "fp", "component", "component_id")
