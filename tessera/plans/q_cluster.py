@@ -336,4 +336,4 @@ def coreset_compress(spark, sf):
 def halving_coreset(spark, sf):
     """K9: halving coreset layers and final probabilities over all points."""
     pts = points(spark, sf).select("id", "x")
-    return K.halving_coreset(pts, k=2, eps=0.5, seed=SEED, min_rest=64, m=20)
+    return K.halving_coreset(pts, k=2, eps=0.5, seed=SEED)

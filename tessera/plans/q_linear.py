@@ -321,10 +321,10 @@ def active_learning_round(spark, sf):
 
 @query("margin_selection")
 def margin_selection(spark, sf):
-    """max-min margin choice among the 10 most uncertain held-out rows."""
+    """max-min margin choice among all held-out rows inside the current margin."""
     from tessera.operators.sampling import uniform_sample
     d = labeled(spark, sf)
     lab = uniform_sample(d.where(~F.col("test")), 30, SEED, "id").select("id", "y", "x")
     w = L.pegasos(lab, LAM, 5)
-    cand = L.uncertainty_topm(L.svm_score(d.where("test"), w), 10)
+    cand = L.svm_score(d.where("test"), w).where(F.abs("score") < 1)
     return L.margin_selection(cand, lab, LAM, 5).select("id", _r6(F.col("score")).alias("score"))
