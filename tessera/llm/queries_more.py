@@ -32,3 +32,10 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.fill_in_middle import arrange, restore
     keep = ("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256")
     return restore(arrange(table(spark, sf_dir, "documents")), keep_cols=keep).select(*keep, "restored_sha256")
+
+
+@query("op11_html_extraction")
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from tessera.llm.html_extract import extract
+    return extract(table(spark, sf_dir, "pages"))
