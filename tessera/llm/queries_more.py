@@ -39,3 +39,10 @@ def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     from tessera.llm.html_extract import extract
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by rule, with its faults, its cheapest edits and the hash of what they leave."""
+    from tessera.llm.conversation_repair import damage, repair
+    return repair(damage(table(spark, sf_dir, "conversations")), gone_col="gone")
