@@ -306,16 +306,6 @@ def pair_f1(reported: DataFrame, truth: DataFrame) -> DataFrame:
                       prec.alias("precision"), rec.alias("recall"), f1.alias("f1"))
 
 
-def pair_confusion(reported: DataFrame, truth: DataFrame) -> DataFrame:
-    """Each distinct pair labelled tp / fp / fn (semi and anti joins)."""
-    r = reported.select("doc_a", "doc_b").distinct()
-    t = truth.select("doc_a", "doc_b").distinct()
-    tp = r.join(t, ["doc_a", "doc_b"], "left_semi").withColumn("kind", F.lit("tp"))
-    fp = r.join(t, ["doc_a", "doc_b"], "left_anti").withColumn("kind", F.lit("fp"))
-    fn = t.join(r, ["doc_a", "doc_b"], "left_anti").withColumn("kind", F.lit("fn"))
-    return tp.unionByName(fp).unionByName(fn)
-
-
 # --------------------------------------------------------------------- L3
 def connected_groups(edges: DataFrame) -> DataFrame:
     """Connected components of ``doc_a, doc_b``: ``doc_id, group_id`` (the

@@ -6,35 +6,103 @@ draws the same numbers; ``rand()`` is never used.
 
 from __future__ import annotations
 
+import sys
+from decimal import Decimal
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.hashing import uniform
 
 
 def race_key(id_col: str, weight: Column, seed: int, tag: str = "race") -> Column:
     """Efraimidis-Spirakis exponential race key -ln(u)/w (smaller wins)."""
-    return -F.log(uniform(seed, tag, F.col(id_col))) / weight
+    return F.least(-F.log(uniform(seed, tag, F.col(id_col))) / weight, F.lit(sys.float_info.max))
+
+
+#: Up to so many rows are chosen by one ordered limit; above, by a threshold.
+TOP_ROWS = 4_096
+#: Ranges of one histogram pass.
+BUCKETS = 4_096
+
+
+def _cut(rows: DataFrame, col: str, n: int) -> tuple[float | int, int, int]:
+    """The value of ``col`` at rank n, the number of rows below it and of rows equal to it.
+
+    Each pass counts the rows of ``BUCKETS`` equal ranges between two bounds and goes
+    on in the range that holds rank n, between that range's own least and largest
+    value, until these are equal.  A pass returns at most ``BUCKETS`` rows.
+    """
+    c = F.col(col)
+    whole = isinstance(rows.schema[col].dataType, T.LongType)
+    lo, hi, size = rows.agg(F.min(c), F.max(c), F.count(c)).first()
+    below = 0
+    while lo != hi:
+        if whole:
+            at = F.floor((c.cast("decimal(20,0)") - F.lit(lo)) * F.lit(BUCKETS) / F.lit(Decimal(hi - lo + 1)))
+        else:
+            width = hi / BUCKETS - lo / BUCKETS
+            at = F.least(F.floor((c - F.lit(lo)) / F.lit(width)), F.lit(BUCKETS - 1)) if width > 0 else (c > F.lit(lo)).cast("int")
+        ranges = rows.where(c.between(lo, hi)).groupBy(at.alias("at")).agg(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).collect()
+        for r in sorted(ranges, key=lambda r: r["lo"]):
+            if below + r["n"] >= n:
+                lo, hi, size = r["lo"], r["hi"], r["n"]
+                break
+            below += r["n"]
+    return lo, below, size
+
+
+def smallest(rows: DataFrame, key: str, id_col: str, n: int) -> tuple[DataFrame, float | None]:
+    """The n rows with the smallest ``(key, id)``, and the key of the row after them (None
+    if there is none).
+
+    Up to ``TOP_ROWS`` rows are an ordered limit.  Beyond, rank n's key is found by
+    histograms of the keys and, among equal keys, its id by histograms of the ids;
+    rows up to there are a filter, so neither the driver nor a task sees n rows.  Of
+    rows with one key and one id a limit takes as many as are wanted.  Keys are
+    finite doubles, ids bigints; ``rows`` is read several times.
+    """
+    if n <= TOP_ROWS:
+        top = rows.select(key, id_col).orderBy(key, id_col).limit(n + 1).collect()
+        return rows.orderBy(key, id_col).limit(n), (top[n][key] if len(top) > n else None)
+    narrow = rows.select(key, id_col).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if narrow.count() <= n:
+            return rows, None
+        tau, below, equal = _cut(narrow, key, n)
+        k, i = F.col(key), F.col(id_col)
+        if below + equal == n:
+            return rows.where(k <= F.lit(tau)), narrow.where(k > F.lit(tau)).agg(F.min(k)).first()[0]
+        last, fewer, copies = _cut(narrow.where(k == F.lit(tau)), id_col, n - below)
+        before = (k < F.lit(tau)) | ((k == F.lit(tau)) & (i < F.lit(last)))
+        at = (k == F.lit(tau)) & (i == F.lit(last))
+        wanted = n - below - fewer
+        if wanted == copies:
+            return rows.where(before | at), tau
+        return rows.where(before).unionByName(rows.where(at).limit(wanted)), tau
+    finally:
+        narrow.unpersist()
 
 
 def weighted_sample(df: DataFrame, weight: str | Column, n: int, seed: int, id_col: str = "id",
                     compat: bool = False, tag: str = "race") -> DataFrame:
     """Draw n rows without replacement with probability proportional to ``weight``.
 
-    The n smallest race keys win (a TakeOrdered: each task keeps n rows).
+    The n smallest race keys win (:func:`smallest`); the drawn rows stay distributed.
     Output adds ``p`` (normalised probability) and ``weight``:
     ``compat=True`` gives the reference's 1/p; otherwise the unbiased
     bottom-k weight 1/(1-exp(-w*tau)) with tau the (n+1)-th smallest key
-    (1.0 when fewer than n+1 rows are eligible).  Rows with weight <= 0 are
-    never drawn.  ``sum(weight)`` estimates the row count.
+    (1.0 when fewer than n+1 rows are eligible).  Rows with weight <= 0, and rows
+    without an id, to which no draw belongs, are never drawn.  ``sum(weight)``
+    estimates the row count.
     """
     w = F.col(weight) if isinstance(weight, str) else weight
-    e = df.withColumn("_w", w.cast("double")).where(F.col("_w") > 0)
+    e = df.withColumn("_w", w.cast("double")).where((F.col("_w") > 0) & F.col(id_col).isNotNull())
     total = e.agg(F.sum("_w")).first()[0] or 0.0
     keyed = e.withColumn("_key", race_key(id_col, F.col("_w"), seed, tag))
-    top = keyed.orderBy("_key", id_col).limit(n + 1).select(id_col, "_key").collect()
-    tau = top[n]["_key"] if len(top) > n else None
-    chosen = keyed.orderBy("_key", id_col).limit(n)
+    chosen, tau = smallest(keyed, "_key", id_col, n)
     p = F.col("_w") / F.lit(total)
     if compat:
         wt = F.lit(1.0) / p

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.text import shingle_ids, words
-from tessera.operators import lsh
+from tessera.operators import lsh, pair_scoring
 from tessera.operators.mapreduce import map_reduce
 from tessera.plans.registry import query, table
-from tessera.session import materialize
+from tessera.session import checkpoint_dir, materialize
 from tessera.sources.parallel import spread
 from tessera.plans.sqlparts import (band_ctes, groups_ctes, minhash_ctes, near_dup_edges_ctes, r6,
                                     shingles_cte)
-from tessera.sources.lines import parse_shingle_lines, shingle_lines
+from tessera.sources.lines import parse_shingle_lines, read_pairs, shingle_lines
 
 R, B, SEED, T85 = lsh.DEFAULT_R, lsh.DEFAULT_B, lsh.DEFAULT_SEED, lsh.DEFAULT_THRESHOLD
 
@@ -161,10 +163,43 @@ def exact_similar_pairs(spark, sf):
 
 
 # ---------------------------------------------------------------- L2 / D4 / C6
-_F1_SQL = f"""WITH {near_dup_edges_ctes(T85)},
-lshp AS (SELECT DISTINCT doc_a, doc_b FROM nd), tru AS (SELECT DISTINCT doc_a, doc_b FROM nd),
+TRUTH_WORDS = 10
+
+
+def _openings(spark, sf):
+    """``doc_id, group``: documents by their first ten words (the truth of the scoring
+    queries, which knows nothing of shingles)."""
+    d = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    w = words(F.col("text"))
+    return (d.where(F.col("doc_id").isNotNull() & (F.size(w) > 0))
+            .select("doc_id", F.array_join(F.slice(w, 1, TRUTH_WORDS), " ").alias("group")).distinct())
+
+
+def _truth_pairs(spark, sf):
+    """A3: each document and the first one that opens alike, written as a truth file ``a,b`` and read back."""
+    g = _openings(spark, sf)
+    first = g.groupBy("group").agg(F.min("doc_id").alias("first"))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/truth-{uuid.uuid4().hex}"
+    g.join(first, "group").where("first <> doc_id").select("first", "doc_id").write.csv(path)
+    return read_pairs(spark, path)
+
+
+_TRUTH_SQL = f"""
+op AS (SELECT DISTINCT doc_id, array_to_string(w[1:{TRUTH_WORDS}], ' ') AS k FROM sh_w WHERE len(w) > 0 AND doc_id IS NOT NULL),
+op1 AS (SELECT k, min(doc_id) AS f FROM op GROUP BY k)"""
+
+
+def _expanded_sql(edges, name):
+    """All pairs of documents that the compressed links ``edges(doc_a, doc_b)`` and the groups stand for."""
+    return f"""{name} AS (
+  SELECT a.doc_id AS doc_a, b.doc_id AS doc_b FROM grp a JOIN grp b ON a.rep = b.rep AND a.doc_id < b.doc_id
+  UNION SELECT least(a.doc_id, b.doc_id), greatest(a.doc_id, b.doc_id) FROM {edges} e JOIN grp a ON a.rep = e.doc_a JOIN grp b ON b.rep = e.doc_b)"""
+
+
+def _f1_sql(reported, truth):
+    return f"""
 fo AS (SELECT l.doc_a IS NOT NULL AS r, t.doc_a IS NOT NULL AS t
-       FROM lshp l FULL OUTER JOIN tru t ON l.doc_a = t.doc_a AND l.doc_b = t.doc_b),
+       FROM {reported} l FULL OUTER JOIN {truth} t ON l.doc_a = t.doc_a AND l.doc_b = t.doc_b),
 c AS (SELECT coalesce(sum(CASE WHEN r AND t THEN 1 ELSE 0 END), 0)::BIGINT AS tp,
              coalesce(sum(CASE WHEN r AND NOT t THEN 1 ELSE 0 END), 0)::BIGINT AS fp,
              coalesce(sum(CASE WHEN t AND NOT r THEN 1 ELSE 0 END), 0)::BIGINT AS fn FROM fo),
@@ -175,62 +210,66 @@ SELECT tp, fp, fn, {r6('p')} AS precision, {r6('rc')} AS recall,
        {r6('CASE WHEN p + rc > 0 THEN 2 * p * rc / (p + rc) ELSE 0.0 END')} AS f1 FROM pr"""
 
 
-@query("near_dup_f1", _F1_SQL)
-def near_dup_f1(spark, sf):
-    """LSH near-duplicate edges scored against exact prefix-filter edges."""
-    docs = table(spark, sf, "documents")
-    sets = materialize(lsh.shingle(docs, with_key=True))
-    rep = lsh.near_dup_pairs_from_sets(sets, R, B, T85, SEED)
-    tru = lsh.exact_similar_pairs_from_sets(sets, T85)
-    f = lsh.pair_f1(rep, tru)
+def _rounded(f):
     return f.select("tp", "fp", "fn", *[_r6(F.col(c)).alias(c) for c in ("precision", "recall", "f1")])
 
 
-@query("dup_pair_confusion", f"""WITH {near_dup_edges_ctes(T85)},
-p AS (SELECT DISTINCT doc_a, doc_b FROM nd)
-SELECT doc_a, doc_b, 'tp' AS kind FROM p""")
+def _detected(spark, sf, r=R, b=B):
+    """(sets, content groups, compressed edges) of the flagship detector."""
+    sets = _sets(spark, sf)
+    members = materialize(lsh.content_groups(sets.where(F.size("shingles") > 0)))
+    return sets, members, lsh.near_dup_pairs_from_sets(sets, r, b, T85, SEED)
+
+
+_PAIRS_SQL = f"""WITH {near_dup_edges_ctes(T85)}, {_expanded_sql('ex', 'rep')}, {_TRUTH_SQL},
+tru AS (SELECT DISTINCT f AS doc_a, doc_id AS doc_b FROM op JOIN op1 USING (k) WHERE f <> doc_id)"""
+
+
+@query("near_dup_f1", f"{_PAIRS_SQL}, {_f1_sql('rep', 'tru')}")
+def near_dup_f1(spark, sf):
+    """L2/A3: every pair of documents that the LSH edges stand for, scored against a truth file."""
+    _, members, edges = _detected(spark, sf)
+    return _rounded(pair_scoring.f1_of_pairs(edges, members, _truth_pairs(spark, sf)))
+
+
+@query("near_dup_group_f1", f"""WITH {near_dup_edges_ctes(T85)}, {_expanded_sql('ex', 'rep')}, {_TRUTH_SQL},
+tru AS (SELECT a.doc_id AS doc_a, b.doc_id AS doc_b FROM op a JOIN op b ON a.k = b.k AND a.doc_id < b.doc_id), {_f1_sql('rep', 'tru')}""")
+def near_dup_group_f1(spark, sf):
+    """L2: the same pairs scored against true groups (all documents that open alike)."""
+    _, members, edges = _detected(spark, sf)
+    return _rounded(pair_scoring.f1_of_groups(edges, members, _openings(spark, sf)))
+
+
+@query("dup_pair_confusion", f"""{_PAIRS_SQL},
+lab AS (SELECT coalesce(l.doc_a, t.doc_a) AS a, coalesce(l.doc_b, t.doc_b) AS b,
+               CASE WHEN t.doc_a IS NULL THEN 'fp' WHEN l.doc_a IS NULL THEN 'fn' ELSE 'tp' END AS kind
+        FROM rep l FULL OUTER JOIN tru t ON l.doc_a = t.doc_a AND l.doc_b = t.doc_b)
+SELECT least(coalesce(x.rep, a), coalesce(y.rep, b)) AS rep_a, greatest(coalesce(x.rep, a), coalesce(y.rep, b)) AS rep_b, kind, count(*) AS n_pairs
+FROM lab LEFT JOIN grp x ON x.doc_id = a LEFT JOIN grp y ON y.doc_id = b GROUP BY ALL""")
 def dup_pair_confusion(spark, sf):
-    """LSH edges vs exact edges labelled tp/fp/fn by semi/anti joins."""
-    docs = table(spark, sf, "documents")
-    sets = materialize(lsh.shingle(docs, with_key=True))
-    rep = lsh.near_dup_pairs_from_sets(sets, R, B, T85, SEED)
-    tru = lsh.exact_similar_pairs_from_sets(sets, T85)
-    return lsh.pair_confusion(rep, tru)
+    """True, false and missed pairs, counted by pair of content groups."""
+    _, members, edges = _detected(spark, sf)
+    return pair_scoring.confusion(edges, members, _truth_pairs(spark, sf))
 
 
 # ---------------------------------------------------------------- D4 with misses
 F1_R, F1_B = 10, 5  # short on bands on purpose: (1 - 0.85^10)^5 = 0.33 miss rate at t
 
 
-def _lsh_edges_sql(r, b, t):
+def _lsh_links_sql(r, b, t):
     return f"""{minhash_ctes(r * b, SEED, sets='grp_reps')}, {band_ctes(r, b, SEED)},
 cand AS (SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM bnd a JOIN bnd b
          ON a.band = b.band AND a.key = b.key AND a.doc_id < b.doc_id),
-rep AS (SELECT c.doc_a, c.doc_b FROM cand c JOIN grp_reps x ON x.doc_id = c.doc_a JOIN grp_reps y ON y.doc_id = c.doc_b
-        WHERE len(list_intersect(x.s, y.s)) / (len(x.s) + len(y.s) - len(list_intersect(x.s, y.s))) >= {t}
-        UNION ALL SELECT rep, doc_id FROM grp WHERE doc_id <> rep)"""
+lk AS (SELECT c.doc_a, c.doc_b FROM cand c JOIN grp_reps x ON x.doc_id = c.doc_a JOIN grp_reps y ON y.doc_id = c.doc_b
+       WHERE len(list_intersect(x.s, y.s)) / (len(x.s) + len(y.s) - len(list_intersect(x.s, y.s))) >= {t})"""
 
 
-@query("dedup_f1", f"""WITH {near_dup_edges_ctes(T85)}, {_lsh_edges_sql(F1_R, F1_B, T85)},
-tru AS (SELECT DISTINCT doc_a, doc_b FROM nd), lshp AS (SELECT DISTINCT doc_a, doc_b FROM rep),
-fo AS (SELECT l.doc_a IS NOT NULL AS r, t.doc_a IS NOT NULL AS t
-       FROM lshp l FULL OUTER JOIN tru t ON l.doc_a = t.doc_a AND l.doc_b = t.doc_b),
-c AS (SELECT coalesce(sum(CASE WHEN r AND t THEN 1 ELSE 0 END), 0)::BIGINT AS tp,
-             coalesce(sum(CASE WHEN r AND NOT t THEN 1 ELSE 0 END), 0)::BIGINT AS fp,
-             coalesce(sum(CASE WHEN t AND NOT r THEN 1 ELSE 0 END), 0)::BIGINT AS fn FROM fo),
-pr AS (SELECT tp, fp, fn,
-              CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS p,
-              CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS rc FROM c)
-SELECT tp, fp, fn, {r6('p')} AS precision, {r6('rc')} AS recall,
-       {r6('CASE WHEN p + rc > 0 THEN 2 * p * rc / (p + rc) ELSE 0.0 END')} AS f1 FROM pr""")
+@query("dedup_f1", f"""WITH {near_dup_edges_ctes(T85)}, {_lsh_links_sql(F1_R, F1_B, T85)},
+{_expanded_sql('lk', 'rep')}, {_expanded_sql('ex', 'tru')}, {_f1_sql('rep', 'tru')}""")
 def dedup_f1(spark, sf):
-    """precision/recall/F1 of a deliberately short-banded LSH (r=10, b=5) against exact edges."""
-    docs = table(spark, sf, "documents")
-    sets = materialize(lsh.shingle(docs, with_key=True))
-    rep = lsh.near_dup_pairs_from_sets(sets, F1_R, F1_B, T85, SEED)
-    tru = lsh.exact_similar_pairs_from_sets(sets, T85)
-    f = lsh.pair_f1(rep, tru)
-    return f.select("tp", "fp", "fn", *[_r6(F.col(c)).alias(c) for c in ("precision", "recall", "f1")])
+    """All pairs of a deliberately short-banded LSH (r=10, b=5) scored against the exact join's."""
+    sets, members, edges = _detected(spark, sf, F1_R, F1_B)
+    return _rounded(pair_scoring.f1_of_edges(edges, members, lsh.exact_similar_pairs_from_sets(sets, T85)))
 
 
 # ---------------------------------------------------------------- L3
