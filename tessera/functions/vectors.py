@@ -6,7 +6,6 @@ columns or Python sequences (turned into array literals: model-sized only).
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -90,24 +89,3 @@ def outer_flat(a, b) -> Column:
 def mat_vec_rows(rows: Sequence[Sequence[float]], x) -> Column:
     """W x for a literal matrix W (list of rows)."""
     return F.array(*[dot(list(r), x) for r in rows])
-
-
-def array_mean_rows(df, group_cols: list[str], x_col: str, weight: str | None = None,
-                    out: str = "x"):
-    """Element-wise (weighted) mean of an array column per group.
-
-    ``posexplode`` + ``avg`` per (group, position): partial aggregation
-    happens map side, so a hot group costs one row per task and position.
-    """
-    e = df.select(*group_cols, *( [weight] if weight else []), F.posexplode(x_col).alias("_j", "_v"))
-    if weight:
-        agg = e.groupBy(*group_cols, "_j").agg(
-            (F.sum(F.col("_v") * F.col(weight)) / F.sum(weight)).alias("_m"))
-    else:
-        agg = e.groupBy(*group_cols, "_j").agg(F.avg("_v").alias("_m"))
-    return (agg.groupBy(*group_cols)
-            .agg(F.sort_array(F.collect_list(F.struct("_j", "_m"))).alias("_s"))
-            .select(*group_cols, F.transform("_s", lambda s: s["_m"]).alias(out)))
-
-
-PI = math.pi

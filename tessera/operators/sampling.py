@@ -86,6 +86,16 @@ def smallest(rows: DataFrame, key: str, id_col: str, n: int) -> tuple[DataFrame,
         narrow.unpersist()
 
 
+def up_to(rows: DataFrame, key: str, id_col: str, n: int) -> Column:
+    """A condition that holds for the n rows with the smallest ``(key, id)`` (and rows equal
+    to the last of them); ``rows`` should be persisted."""
+    tau, below, equal = _cut(rows, key, n)
+    if below + equal == n:
+        return F.col(key) <= F.lit(tau)
+    last, _, _ = _cut(rows.where(F.col(key) == F.lit(tau)), id_col, n - below)
+    return (F.col(key) < F.lit(tau)) | ((F.col(key) == F.lit(tau)) & (F.col(id_col) <= F.lit(last)))
+
+
 def weighted_sample(df: DataFrame, weight: str | Column, n: int, seed: int, id_col: str = "id",
                     compat: bool = False, tag: str = "race") -> DataFrame:
     """Draw n rows without replacement with probability proportional to ``weight``.

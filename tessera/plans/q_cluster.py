@@ -8,11 +8,14 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from tessera.functions import vectors as V
 from tessera.operators import cluster as K
+from tessera.operators.mahalanobis import mahalanobis, whitening
+from tessera.operators.partial import mean_by_key
 from tessera.operators.sampling import uniform_sample, weighted_sample
 from tessera.plans.registry import query, table
 from tessera.plans.sqlparts import r6, uniform
@@ -32,8 +35,8 @@ def points(spark, sf):
 
 
 def label_centers(pts):
-    c = V.array_mean_rows(pts, ["label"], "x")
-    return K.centers_to_numpy(c.select(F.col("label").cast("int").alias("cid"), "x"))
+    means = mean_by_key(pts, "label")
+    return np.array([k for k, _, _ in means], dtype=np.int32), np.array([m for _, _, m in means])
 
 
 # ---------------------------------------------------------------- SQL parts
@@ -308,32 +311,75 @@ def kmeans_baseline(spark, sf):
     return a.groupBy("cid").agg(F.count(F.lit(1)).alias("n"), _r6(F.avg("d2")).alias("mean_d2"))
 
 
-@query("coreset_quality")
+@query("kmeans_parallel")
+def kmeans_parallel(spark, sf):
+    """K4 for large k: 20 centres by oversampling rounds, with the mean cost they leave."""
+    pts = points(spark, sf).select("id", "x")
+    c = K.kmeans_parallel(pts, 20, SEED)
+    cost = K.kmeans_cost(pts, K.drawn_centers(c.select("id", "x"))).first()["cost"]
+    return c.select("cid", F.col("id").alias("vec_id"), F.lit(cost).alias("cost"))
+
+
+@query("coreset_quality", f"""WITH {PROBS}, {sample_sql('prob', 'q', 200, SEED, 'coreset')},
+f AS (SELECT sum(d2) AS full_cost FROM asg), c AS (SELECT sum(weight * d2) AS core FROM smp)
+SELECT {r6('full_cost')} AS full_cost, {r6('core')} AS coreset_cost, {r6('core / full_cost')} AS ratio FROM f, c""")
 def coreset_quality(spark, sf):
     """Coreset cost / full cost for the label centres (the (k, eps) test)."""
     pts = points(spark, sf)
     cen = label_centers(pts)
-    full = K.kmeans_cost(pts, cen, mean=False).first()["cost"]
-    cs = K.coreset(pts, cen, 200, SEED).select("id", "x", "weight")
-    core = K.kmeans_cost(cs, cen, weight="weight").first()["cost"]
-    return spark.createDataFrame([(float(full), float(core), float(core / full))],
-                                 "full_cost double, coreset_cost double, ratio double")
+    full = K.kmeans_cost(pts, cen, mean=False)
+    core = K.kmeans_cost(K.coreset(pts, cen, 200, SEED).select("id", "x", "weight"), cen, weight="weight")
+    both = full.select(F.col("cost").alias("f"), F.lit(None).cast("double").alias("c")).unionByName(
+        core.select(F.lit(None).cast("double").alias("f"), F.col("cost").alias("c"))).agg(F.max("f").alias("f"), F.max("c").alias("c"))
+    return both.select(_r6(F.col("f")).alias("full_cost"), _r6(F.col("c")).alias("coreset_cost"), _r6(F.col("c") / F.col("f")).alias("ratio"))
+
 
+_COMPRESS_SQL = f"""{PROBS}, {sample_sql('prob', 'q', 200, SEED, 'coreset', 'c1')},
+ws AS (SELECT id, cid, d2, weight AS w0 FROM c1),
+wcs AS (SELECT cid, sum(w0) AS n_cell, sum(w0 * d2) AS sum_d2 FROM ws GROUP BY cid),
+wg AS (SELECT sum(w0) AS n, sum(w0 * d2) / sum(w0) AS cphi FROM ws),
+wsv AS (SELECT ws.id, ws.w0, ws.w0 * ({_ALPHA!r} * ws.d2 / wg.cphi + 2 * {_ALPHA!r} * wcs.sum_d2 / (wcs.n_cell * wg.cphi)
+               + 4.0 * wg.n / wcs.n_cell) AS s FROM ws JOIN wcs USING (cid), wg),
+wprob AS (SELECT id, w0, s / (SELECT sum(s) FROM wsv) AS q FROM wsv)"""
 
-@query("coreset_compress")
+
+@query("coreset_compress", f"""WITH {_COMPRESS_SQL}, {sample_sql('wprob', 'q', NS, SEED + 3, 'coreset')}
+SELECT id AS vec_id, {r6('w0 * weight')} AS weight FROM smp""")
 def coreset_compress(spark, sf):
-    """A coreset of a weighted coreset (weights multiply)."""
+    """50 points of a weighted 200-point coreset, drawn by the weighted sensitivities."""
     pts = points(spark, sf)
     cen = label_centers(pts)
-    cs = K.coreset(pts, cen, 200, SEED).select("id", "x", F.col("weight").alias("w0"))
-    q = K.coreset_probs(cs, cen)
-    q = q.withColumn("qw", F.col("q") * F.col("w0"))
-    s = weighted_sample(q, "qw", NS, SEED + 3, "id")
-    return s.select(F.col("id").alias("vec_id"), (F.col("w0") * F.col("weight")).alias("weight"))
+    cs = K.coreset(pts, cen, 200, SEED).select("id", "x", "weight")
+    return K.coreset_compress(cs, cen, NS, SEED + 3).select(F.col("id").alias("vec_id"), _r6(F.col("weight")).alias("weight"))
 
 
 @query("halving_coreset")
 def halving_coreset(spark, sf):
-    """K9: halving coreset layers and final probabilities over all points."""
+    """K9: a halving coreset: union of draws, their cells, weighted draws from all points."""
     pts = points(spark, sf).select("id", "x")
-    return K.halving_coreset(pts, k=2, eps=0.5, seed=SEED)
+    c = K.halving_coreset(pts, k=2, eps=0.9, seed=SEED, n_draw=300)
+    return c.select(F.col("id").alias("vec_id"), "b", "cid", _r6(F.col("d2")).alias("d2"), _r6(F.col("q")).alias("q"), "times", _r6(F.col("weight")).alias("weight"))
+
+
+# ---------------------------------------------------------------- G4 with a full matrix
+#: G = the upper triangle with 0.5^(j - i): ||G w||^2 = sum_i (sum_{j >= i} 0.5^(j - i) w_j)^2
+@query("mahalanobis_full", f"""WITH {PTS},
+w AS (SELECT p.id, p.j, p.v - c.v AS v FROM pl p JOIN cen c ON c.cid = p.label AND c.j = p.j),
+g AS (SELECT a.id, a.j, sum(pow(0.5, b.j - a.j) * b.v) AS v FROM w a JOIN w b ON a.id = b.id AND b.j >= a.j GROUP BY a.id, a.j),
+m AS (SELECT id, sqrt(sum(v * v)) AS norm FROM g GROUP BY id),
+xy AS (SELECT vec_id AS id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings),
+s AS (SELECT avg(x) AS mx, avg(y) AS my, var_pop(x) AS xx, var_pop(y) AS yy, covar_pop(x, y) AS xy FROM xy)
+SELECT m.id AS vec_id, {r6('norm')} AS norm,
+       {r6('sqrt((yy * (x - mx) * (x - mx) - 2 * s.xy * (x - mx) * (y - my) + xx * (y - my) * (y - my)) / (xx * yy - s.xy * s.xy))')} AS whitened
+FROM m JOIN xy USING (id), s""")
+def mahalanobis_full(spark, sf):
+    """||G (x - label centre)|| for a full matrix G, and the distance from the mean of the
+    first two coordinates under their covariance (whitening by its Cholesky factor)."""
+    pts = points(spark, sf)
+    cids, C = label_centers(pts)
+    d = C.shape[1]
+    G = np.triu(0.5 ** np.clip(np.arange(d)[None, :] - np.arange(d)[:, None], 0, None))
+    two = pts.select("id", "label", "x", F.slice("x", 1, 2).alias("xy"))
+    mean, W = whitening(two, "xy")
+    own = mahalanobis(two, G, "x", dict(zip(cids.tolist(), C)), "label", out="norm")
+    return mahalanobis(own, W, "xy", mean, out="whitened").select(F.col("id").alias("vec_id"), _r6(F.col("norm")).alias("norm"), _r6(F.col("whitened")).alias("whitened"))
