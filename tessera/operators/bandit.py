@@ -27,6 +27,7 @@ choice of accepted rows depends on log order.
 from __future__ import annotations
 
 import math
+import pickle
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -37,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.features import concat_features, interaction_features
+from tessera.functions.hashing import py_uniform
 from tessera.functions.vectors import outer_flat
 from tessera.session import swap
 from tessera.sources.parallel import by_key, spread
@@ -514,72 +516,107 @@ def cumulative_regret(log: DataFrame, segment: str = "segment", carry: bool = Fa
 
 
 # ------------------------------------------------------------------ I5 adaptive
-def _replay_sequential(rows: pd.DataFrame, arm_x: dict, policy: LinUcbPolicy, eps_seed: int | None = None):
-    """The reference loop: recommend, compare, update on match, in t order."""
-    st = LinUcbState(policy, arm_x)
-    dx, dz = st.dims()
-    if dz:
-        st.A0, st.b0 = np.eye(dz), np.zeros(dz)
-    scorer = _Scorer(st) if policy.kind not in ("epsilon_greedy", "ucb1") else None
-    acc = 0
-    rsum = 0
-    counts: dict = {}
-    means: dict = {}
-    for n, row in enumerate(rows.itertuples(index=False), start=1):
-        user = np.asarray(row.z, dtype=np.float64)
-        choices = [int(c) for c in row.choices]
-        if policy.kind == "epsilon_greedy":
-            from tessera.functions.hashing import py_uniform
-            eps = min(1.0, policy.alpha / n)
-            if py_uniform(eps_seed, "eps", row.t) < eps:
-                pick = choices[int(py_uniform(eps_seed, "epsarm", row.t) * len(choices))]
-            else:
-                pick = max(choices, key=lambda a: (means.get(a, 0.0), -choices.index(a)))
-        elif policy.kind == "ucb1":
-            def u(a):
-                if counts.get(a, 0) == 0:
-                    return math.inf
-                return means[a] + math.sqrt(2 * math.log(n) / counts[a])
-            best = -math.inf
-            pick = choices[0]
+class Player:
+    """A policy that plays a log event by event: recommend, compare, update on a match.
+
+    ``dump`` gives all it has learned (counts, means, matrices and their running
+    inverses) and a player made from that plays on as if it had never stopped.
+    """
+
+    def __init__(self, policy: LinUcbPolicy, arm_x: dict, seed: int = 0, learned: bytes | None = None):
+        self.policy, self.seed = policy, seed
+        self.seen, self.accepted, self.reward = 0, 0, 0
+        self.counts: dict = {}
+        self.means: dict = {}
+        self.scorer = None
+        if policy.kind not in ("epsilon_greedy", "ucb1"):
+            st = LinUcbState(policy, arm_x)
+            _, dz = st.dims()
+            if dz:
+                st.A0, st.b0 = np.eye(dz), np.zeros(dz)
+            self.scorer = _Scorer(st)
+        if learned:
+            self._load(pickle.loads(learned))
+
+    def _load(self, d: dict) -> None:
+        self.seen, self.accepted, self.reward, self.counts, self.means = d["seen"], d["accepted"], d["reward"], d["counts"], d["means"]
+        if self.scorer:
+            st = self.scorer.st
+            st.A, st.b, st.B, st.A0, st.b0 = d["state"]
+            for a, i in self.scorer.index.items():
+                if a in st.A:
+                    self.scorer.Ainv[i], self.scorer.b[i] = d["inverse"][a], st.b[a]
+                    if self.scorer.hybrid:
+                        self.scorer.B[i] = st.B[a]
+            if self.scorer.hybrid:
+                self.scorer.A0inv, self.scorer.beta = d["shared"]
+
+    def dump(self) -> bytes:
+        d = {"seen": self.seen, "accepted": self.accepted, "reward": self.reward, "counts": self.counts, "means": self.means}
+        if self.scorer:
+            st = self.scorer.st
+            d["state"] = (st.A, st.b, st.B, st.A0, st.b0)
+            d["inverse"] = {a: self.scorer.Ainv[self.scorer.index[a]] for a in st.A}
+            if self.scorer.hybrid:
+                d["shared"] = (self.scorer.A0inv, self.scorer.beta)
+        return pickle.dumps(d)
+
+    def _pick(self, t, user: np.ndarray, choices: list[int]) -> int:
+        if not choices:
+            return -1
+        if self.policy.kind == "epsilon_greedy":
+            if py_uniform(self.seed, "eps", t) < min(1.0, self.policy.alpha / self.seen):
+                return choices[int(py_uniform(self.seed, "epsarm", t) * len(choices))]
+            return max(choices, key=lambda a: self.means.get(a, 0.0))       # the first of equal means
+        if self.policy.kind == "ucb1":
+            log_n, best, pick = 2 * math.log(self.seen), -math.inf, choices[0]
             for a in choices:
-                if u(a) > best:
-                    best, pick = u(a), a
+                n = self.counts.get(a, 0)
+                u = self.means[a] + math.sqrt(log_n / n) if n else math.inf
+                if u > best:
+                    best, pick = u, a
+            return pick
+        return self.scorer.pick(user, choices)[0]
+
+    def event(self, t, user, choices, chosen, reward) -> None:
+        self.seen += 1
+        user = np.asarray(user, dtype=np.float64)
+        pick = self._pick(t, user, [int(c) for c in choices])
+        if pick != int(chosen):
+            return
+        self.accepted += 1
+        self.reward += int(reward)
+        r = float(reward)
+        if self.scorer:
+            self.scorer.learn(pick, user, -1.0 if self.policy.recodes and r == 0 else r)
         else:
-            pick, _, _ = scorer.pick(user, choices)
-        if pick != int(row.chosen):
-            continue
-        acc += 1
-        rsum += int(row.reward)
-        r = float(row.reward)
-        if policy.kind in ("epsilon_greedy", "ucb1"):
-            counts[pick] = counts.get(pick, 0) + 1
-            means[pick] = means.get(pick, 0.0) + (r - means.get(pick, 0.0)) / counts[pick]
-            continue
-        scorer.learn(pick, user, -1.0 if policy.recodes and r == 0 else r)
-    return acc, rsum, st
+            n = self.counts[pick] = self.counts.get(pick, 0) + 1
+            self.means[pick] = self.means.get(pick, 0.0) + (r - self.means.get(pick, 0.0)) / n
+
+    def play(self, rows: pd.DataFrame) -> tuple[int, int]:
+        """Rows in order of t; (accepted, reward) of these rows."""
+        accepted, reward = self.accepted, self.reward
+        rows = rows.sort_values("t", kind="stable")
+        for e in zip(rows["t"], rows["z"], rows["choices"], rows["chosen"], rows["reward"]):
+            self.event(*e)
+        return self.accepted - accepted, self.reward - reward
 
 
 def replay_adaptive(log: DataFrame, arms: DataFrame, policies: list[LinUcbPolicy],
                     segment_len: int, seed: int = 0) -> DataFrame:
-    """The reference's sequential replay, run independently per
-    (policy, segment): a segment is ``t div segment_len`` so every group is
-    bounded; parallelism comes from the grid of policies x segments.  Each
-    segment starts from a fresh policy, so the pooled CTR is not the same
-    estimator as one pass over the whole log (it is the same per segment).
+    """Sequential replay of each (policy, segment) on its own: a segment is
+    ``t div segment_len``, so groups are bounded and run in parallel.  Each segment
+    starts from a fresh policy, so the pooled CTR is not the same estimator as one
+    pass over the log; that is :func:`tessera.operators.replay.replay_whole`.
     """
     arm_x = arms_dict(arms)
-    grid = [(i, p.kind, float(p.alpha), bool(p.recodes)) for i, p in enumerate(policies)]
-    pol = F.array(*[F.struct(F.lit(i).alias("pid"), F.lit(k).alias("kind"), F.lit(a).alias("alpha"))
-                    for i, k, a, _ in grid])
-    g = log.withColumn("segment", F.floor(F.col("t") / segment_len).cast("bigint")) \
-           .withColumn("_p", F.explode(pol)).select("*", "_p.pid").drop("_p")
+    pids = F.array(*[F.lit(i) for i in range(len(policies))])
+    g = log.withColumn("segment", F.floor(F.col("t") / segment_len).cast("bigint")).withColumn("pid", F.explode(pids))
 
     def _run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("t")
         pid = int(pdf["pid"].iloc[0])
         p = policies[pid]
-        acc, rsum, _ = _replay_sequential(pdf, arm_x, p, seed)
+        acc, rsum = Player(p, arm_x, seed).play(pdf)
         return pd.DataFrame({"pid": [pid], "kind": [p.kind], "alpha": [float(p.alpha)],
                              "segment": [int(pdf["segment"].iloc[0])], "accepted": [acc],
                              "reward_sum": [rsum], "ctr": [rsum / acc if acc else 0.0]})

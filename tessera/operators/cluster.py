@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from tessera.functions import vectors as V
 from tessera.functions.hashing import py_uniform, uniform
-from tessera.operators.partial import mean_by_key
+from tessera.operators.partial import collect_sums, grouped, matrix, mean_by_key, means_of, weighted_rows
 from tessera.operators.sampling import race_key, uniform_sample, up_to, weighted_sample
 from tessera.session import cut_lineage, swap
 
@@ -54,22 +54,24 @@ def drawn_centers(drawn: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(len(rows), dtype=np.int32), np.array([r["x"] for r in rows], dtype=np.float64).reshape(len(rows), d)
 
 
-def _nearest_udf(cids: np.ndarray, C: np.ndarray):
+def _nearest(X: np.ndarray, cids: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(nearest cid, lowest on ties; squared distance) of the rows of X, in blocks."""
+    n = len(X)
+    cid, d2 = np.zeros(n, dtype=np.int32), np.zeros(n)
     block = max(1, 4_000_000 // max(1, C.shape[0] * C.shape[1]))
+    for s in range(0, n if len(C) else 0, block):
+        diff = X[s:s + block, None, :] - C[None, :, :]
+        D = np.einsum("ijk,ijk->ij", diff, diff)
+        j = np.argmin(D, axis=1)  # first minimum = lowest cid (centres sorted)
+        cid[s:s + block], d2[s:s + block] = cids[j], D[np.arange(len(j)), j]
+    return cid, d2
+
 
+def _nearest_udf(cids: np.ndarray, C: np.ndarray):
     @F.pandas_udf(ASSIGN_TYPE)
     def _near(xs: pd.Series) -> pd.DataFrame:
-        n = len(xs)
-        cid = np.zeros(n, dtype=np.int32)
-        d2 = np.zeros(n, dtype=np.float64)
-        if n and C.shape[0]:
-            X = np.stack(xs.to_numpy()).astype(np.float64)
-            for s in range(0, n, block):
-                diff = X[s:s + block, None, :] - C[None, :, :]
-                D = np.einsum("ijk,ijk->ij", diff, diff)
-                j = np.argmin(D, axis=1)  # first minimum = lowest cid (centres sorted)
-                cid[s:s + block] = cids[j]
-                d2[s:s + block] = D[np.arange(len(j)), j]
+        X = np.stack(xs.to_numpy()).astype(np.float64) if len(xs) else np.zeros((0, C.shape[1]))
+        cid, d2 = _nearest(X, cids, C)
         return pd.DataFrame({"cid": cid, "d2": d2})
 
     return _near
@@ -248,7 +250,7 @@ def kmeans_parallel(points: DataFrame, k: int, seed: int, oversample: float = 2.
             continue
     ids = sorted(found)
     C = np.array([found[i] for i in ids], dtype=np.float64)
-    mass = {key: n for key, n, _ in mean_by_key(nearest_center(cur, (np.arange(len(C), dtype=np.int32), C)), "cid", weight="_w")}
+    mass = {key: n for key, n, _ in mean_by_key(nearest_center(cur, (np.arange(len(C), dtype=np.int32), C)), "cid", weight="_w", cells=C.size)}
     if held is not None:
         held.unpersist()
     chosen = _seed_weighted(C, np.array([mass.get(i, 0.0) for i in range(len(C))]), k, seed)
@@ -274,14 +276,30 @@ def _seed_weighted(C: np.ndarray, mass: np.ndarray, k: int, seed: int, tries: in
 # ------------------------------------------------------------------ Lloyd
 def kmeans_update(assigned: DataFrame, old: tuple, weight: str | None = None) -> tuple:
     """(weighted) mean of the points of each cell; an empty cell keeps its centre."""
+    return _moved(old, mean_by_key(assigned, "cid", weight=weight, cells=old[1].size))
+
+
+def _moved(old: tuple, means: list) -> tuple:
     cids, C = old
     newC = C.copy()
     idx = {int(c): i for i, c in enumerate(cids)}
-    for cid, _, mean in mean_by_key(assigned, "cid", weight=weight):
+    for cid, _, mean in means:
         newC[idx[cid]] = mean
     return cids, newC
 
 
+def _lloyd_round(points: DataFrame, centers: tuple, weight: str | None) -> tuple:
+    """Distances and sums of one round in one pass: a task sends its k x d sums."""
+    cids, C = centers
+
+    def part(b):
+        X = matrix(b.column(0))
+        cid, _ = _nearest(X, cids, C)
+        return grouped(cid.astype(np.int64), weighted_rows(X, np.asarray(b.column(1))))
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    return _moved(centers, means_of(collect_sums(points.select("x", w.alias("w")), part, C.size)))
+
+
 def kmeans_lloyd(points: DataFrame, centers, max_iter: int = 50, tol: float = 0.0,
                  weight: str | None = None, compat: bool = False) -> tuple[tuple, int]:
     """K5: Lloyd iterations; stop when ||C_new - C||_F < tol or after max_iter.
@@ -298,9 +316,8 @@ def kmeans_lloyd(points: DataFrame, centers, max_iter: int = 50, tol: float = 0.
         while rounds < max_iter:
             if compat and float(np.linalg.norm(C - before)) < tol:
                 break
-            a = nearest_center(pts, (cids, C))
             before = C
-            cids, C = kmeans_update(a, (cids, C), None if compat else weight)
+            cids, C = _lloyd_round(pts, (cids, C), None if compat else weight)
             rounds += 1
             if not compat and float(np.linalg.norm(C - before)) < tol:
                 break

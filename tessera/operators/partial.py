@@ -2,8 +2,9 @@
 
 A task adds its rows into one array for each key it has seen and sends these; the
 tasks' arrays are added in two steps, first in lots of tasks, then by key, so what
-a task holds is the size of the result however many tasks there are.  Arrays are
-added in the order of the tasks: the same partitions give the same bits.
+a task holds is the size of the result however many tasks there are.  The second
+step of a small result is taken by the driver.  Arrays are added in the order of
+the tasks: the same partitions give the same bits.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 
 #: Lots in which the tasks' arrays are first added.
 LOTS = 64
+#: Results of up to so many numbers are added up by the driver (at most LOTS times 1 MB reach it).
+DRIVER_CELLS = 1 << 17
 
 
 def matrix(col: pa.Array) -> np.ndarray:
@@ -39,11 +42,8 @@ def _add(acc: dict, key, v: np.ndarray) -> None:
     acc[key] = acc[key] + v if key in acc else v
 
 
-def sums_by_key(df: DataFrame, part: Callable[[pa.RecordBatch], Iterable[tuple[object, np.ndarray]]], key_type: str = "bigint") -> DataFrame:
-    """``key, sums``: the sum of the arrays that ``part`` gives for the batches of ``df``.
-
-    ``part`` returns (key, array) pairs; one key's arrays have one length.
-    """
+def _lots(df: DataFrame, part: Callable[[pa.RecordBatch], Iterable[tuple[object, np.ndarray]]], key_type: str):
+    """``task, key, sums`` with the arrays of the tasks of a lot added, and the function that adds them."""
     kind = pa.string() if key_type == "string" else pa.int64()
 
     def run(batches):
@@ -63,10 +63,28 @@ def sums_by_key(df: DataFrame, part: Callable[[pa.RecordBatch], Iterable[tuple[o
         yield _rows(acc, kind)
 
     schema = f"task int, key {key_type}, sums array<double>"
-    lots = df.mapInArrow(run, schema).repartition(F.col("task") % LOTS).sortWithinPartitions("task").mapInArrow(merge, schema)
+    return df.mapInArrow(run, schema).repartition(F.col("task") % LOTS).sortWithinPartitions("task").mapInArrow(merge, schema), merge, schema
+
+
+def sums_by_key(df: DataFrame, part, key_type: str = "bigint") -> DataFrame:
+    """``key, sums``: the sum of the arrays that ``part`` gives for the batches of ``df``.
+
+    ``part`` returns (key, array) pairs; one key's arrays have one length.
+    """
+    lots, merge, schema = _lots(df, part, key_type)
     return lots.repartition("key").sortWithinPartitions("task").mapInArrow(merge, schema).select("key", "sums")
 
 
+def collect_sums(df: DataFrame, part, cells: int, key_type: str = "bigint") -> dict:
+    """{key: sum} of :func:`sums_by_key` for a result of about ``cells`` numbers."""
+    if cells > DRIVER_CELLS:
+        return {r["key"]: np.array(r["sums"]) for r in sums_by_key(df, part, key_type).collect()}
+    acc: dict = {}
+    for r in sorted(_lots(df, part, key_type)[0].collect(), key=lambda r: r["task"]):
+        _add(acc, r["key"], np.array(r["sums"]))
+    return acc
+
+
 def grouped(keys: np.ndarray, values: np.ndarray) -> Iterable[tuple[int, np.ndarray]]:
     """(key, column sums) of the rows of a matrix."""
     order = np.argsort(keys, kind="stable")
@@ -80,16 +98,21 @@ def weighted_rows(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return np.column_stack([w, x * w[:, None]])
 
 
-def mean_by_key(df: DataFrame, key: str, x: str = "x", weight: str | None = None) -> list[tuple[int, float, np.ndarray]]:
+def mean_by_key(df: DataFrame, key: str, x: str = "x", weight: str | None = None, cells: int = DRIVER_CELLS + 1) -> list[tuple[int, float, np.ndarray]]:
     """(key, sum of weights, weighted mean) of vectors by an integer key, in order of the
-    keys; the result must be model-sized.  Rows without a key or vector take no part."""
+    keys; the result must be model-sized (``cells`` numbers, if known).  Rows without a
+    key or vector take no part."""
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     rows = df.select(F.col(key).cast("bigint").alias("k"), F.col(x).alias("x"), w.alias("w")).where("k IS NOT NULL AND x IS NOT NULL")
 
     def part(b):
         return grouped(np.asarray(b.column(0)), weighted_rows(matrix(b.column(1)), np.asarray(b.column(2))))
-    out = [(r["key"], r["sums"][0], np.array(r["sums"][1:])) for r in sums_by_key(rows, part).collect()]
-    return [(k, n, s / n) for k, n, s in sorted(out, key=lambda r: r[0]) if n]
+    return means_of(collect_sums(rows, part, cells))
+
+
+def means_of(sums: dict) -> list[tuple[int, float, np.ndarray]]:
+    """(key, weight, mean) of sums of :func:`weighted_rows`."""
+    return [(k, float(v[0]), v[1:] / v[0]) for k, v in sorted(sums.items()) if v[0]]
 
 
 def moments(df: DataFrame, x: str = "x") -> tuple[int, np.ndarray, np.ndarray]:
@@ -104,6 +127,6 @@ def moments(df: DataFrame, x: str = "x") -> tuple[int, np.ndarray, np.ndarray]:
     def part(b):
         v = matrix(b.column(0)) - origin
         yield 0, np.concatenate([[len(v)], v.sum(0), (v.T @ v).ravel()])
-    s = np.array(sums_by_key(df.select(x).where(F.col(x).isNotNull()), part).first()["sums"])
+    s = collect_sums(df.select(x).where(F.col(x).isNotNull()), part, d * d + d)[0]
     n, m = int(s[0]), s[1:d + 1] / s[0]
     return n, origin + m, s[d + 1:].reshape(d, d) / n - np.outer(m, m)

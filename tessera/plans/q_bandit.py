@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import bandit as BD
+from tessera.operators.replay import replay_whole
 from tessera.plans.registry import query, table
 from tessera.plans.sqlparts import r6
 from tessera.plans.sqlparts import uniform as sql_uniform
@@ -294,13 +295,21 @@ def candidate_scores(spark, sf):
     return BD.ucb_argmax(sc)
 
 
+POLICIES = [BD.LinUcbPolicy("disjoint", 0.2), BD.LinUcbPolicy("concat", 0.2),
+            BD.LinUcbPolicy("hybrid_concat", 0.2), BD.LinUcbPolicy("hybrid", 0.2),
+            BD.LinUcbPolicy("ucb1", 0.0), BD.LinUcbPolicy("epsilon_greedy", 1.0)]
+
+
 @query("replay_eval_adaptive")
 def replay_eval_adaptive(spark, sf):
     """Sequential replay per (policy, segment of 2000 events) for four LinUCB layouts, UCB1, eps-greedy."""
-    pols = [BD.LinUcbPolicy("disjoint", 0.2), BD.LinUcbPolicy("concat", 0.2),
-            BD.LinUcbPolicy("hybrid_concat", 0.2), BD.LinUcbPolicy("hybrid", 0.2),
-            BD.LinUcbPolicy("ucb1", 0.0), BD.LinUcbPolicy("epsilon_greedy", 1.0)]
-    return BD.replay_adaptive(_log(spark, sf), _arms(spark, sf), pols, 2000, S)
+    return BD.replay_adaptive(_log(spark, sf), _arms(spark, sf), POLICIES, 2000, S)
+
+
+@query("replay_eval_whole_log")
+def replay_eval_whole_log(spark, sf):
+    """The same policies replayed over the whole log, models handed from segment to segment."""
+    return replay_whole(_log(spark, sf), _arms(spark, sf), POLICIES, seed=S)
 
 
 @query("replay_eval_minibatch")
@@ -311,6 +320,5 @@ def replay_eval_minibatch(spark, sf):
 
 @query("epsilon_greedy")
 def epsilon_greedy(spark, sf):
-    """epsilon_t = min(1, c/t) exploration, else the best running mean (per segment)."""
-    return BD.replay_adaptive(_log(spark, sf), _arms(spark, sf), [BD.LinUcbPolicy("epsilon_greedy", 5.0)],
-                              2000, S)
+    """epsilon_t = min(1, c/t) exploration, else the best running mean, over the whole log."""
+    return replay_whole(_log(spark, sf), _arms(spark, sf), [BD.LinUcbPolicy("epsilon_greedy", 5.0)], seed=S)

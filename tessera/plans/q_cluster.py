@@ -35,7 +35,7 @@ def points(spark, sf):
 
 
 def label_centers(pts):
-    means = mean_by_key(pts, "label")
+    means = mean_by_key(pts, "label", cells=1 << 10)
     return np.array([k for k, _, _ in means], dtype=np.int32), np.array([m for _, _, m in means])
 
 

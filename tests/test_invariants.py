@@ -59,6 +59,7 @@ def test_parallel_svm_invariant_to_partitioning_and_lowers_hinge(spark):
 
 def test_replay_grid_rows_and_stream_equals_batch(spark):
     from tessera.operators import bandit as BD
+    from tessera.operators.replay import replay_whole
     from tessera.plans.registry import table
     from tessera.plans.q_stream import _staged
     from tessera.sources.testdata import arms, bandit_log
@@ -70,9 +71,8 @@ def test_replay_grid_rows_and_stream_equals_batch(spark):
     n_seg = log.select(F.floor(F.col("t") / 400)).distinct().count()
     assert r.count() == len(pols) * n_seg
     path, schema = _staged(spark, SF0001, "events", "event_id")
-    s = S.streaming_linucb(path, schema, a, spark, BD.LinUcbPolicy("disjoint", 0.2), 400)
-    batch = {row.segment: (row.accepted, row.reward_sum) for row in r.where("pid = 0").collect()}
-    stream = {row.segment: (row.accepted, row.reward_sum) for row in s.collect()}
+    batch = {(x.pid, x.segment): (x.accepted, x.reward_sum) for x in replay_whole(log, a, pols, 400, 3).collect()}
+    stream = {(x.pid, x.segment): (x.accepted, x.reward_sum) for x in S.streaming_linucb(path, schema, a, spark, pols, 400, 3).collect()}
     assert batch == stream
 
 

@@ -190,7 +190,9 @@ def test_hybrid_state_is_order_free(spark):
         # every row accepted: use a policy-free replay by matching chosen
         pdf = pd.DataFrame(rows, columns=["t", "z", "chosen", "reward", "choices"])
         pdf["choices"] = pdf["chosen"].map(lambda c: [c])
-        acc, rsum, st_seq = BD._replay_sequential(pdf, BD.arms_dict(arms), pol)
+        player = BD.Player(pol, BD.arms_dict(arms))
+        acc, rsum = player.play(pdf)
+        st_seq = player.scorer.st
         assert acc == 150
         log = spark.createDataFrame(rows, "t bigint, z array<double>, chosen bigint, reward int, choices array<bigint>")
         st_sum = BD.train_state(log, arms, pol)
