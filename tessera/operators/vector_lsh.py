@@ -1,16 +1,19 @@
-"""LSH and exact similarity joins on dense vectors.
-
-Hash functions are drawn from md5-keyed normals/uniforms (model-sized
-literals).  Band keys are strings of the band's hash values, so buckets are
-exact tuples (no key collisions).  Bucket joins are skew-tiled
-(:mod:`tessera.operators.joins`); exact distances are computed only for
+"""LSH joins on dense vectors (L4-L7, G6).  The exact joins are in
+:mod:`tessera.operators.metric_join`.
+
+Hash functions are drawn from md5-keyed normals/uniforms (model-sized, in the
+closure).  A batch of vectors is projected by one matrix product and the hash values
+of each band are packed into a 64-bit key there, so a plan holds one function however
+many bands there are.  Sign bits are packed as they are; bucket numbers are mixed,
+and two of them under one key only make a candidate more.  Bucket joins are
+skew-tiled (:mod:`tessera.operators.joins`); exact distances are computed only for
 candidate pairs.
 """
 
 from __future__ import annotations
 
-import itertools
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -18,7 +21,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions import vectors as V
 from tessera.functions.hashing import gaussian_matrix, uniform_vector
 from tessera.operators.joins import DEFAULT_BLOCK, bucket_cross_pairs, bucket_self_pairs
 from tessera.session import materialize
@@ -41,14 +43,34 @@ def with_projections(df: DataFrame, W: np.ndarray, x_col: str = "x", out: str =
     return df.withColumn(out, project_udf(W)(F.col(x_col)))
 
 
-def _proj(x: Column, W: np.ndarray) -> list[Column]:
-    """Projection i read from the ``_p`` column added by :func:`with_projections`."""
-    return [F.element_at(F.col("_p"), i + 1) for i in range(W.shape[0])]
+def band_rows(df: DataFrame, W: np.ndarray, r: int, hashes: Callable[[np.ndarray], np.ndarray], id_col: str = "id", out: str = "id") -> DataFrame:
+    """``out, band, key``: one row for each vector and band of ``r`` hashes.
+
+    ``hashes`` turns a batch of projections (n x r b) into integers; null vectors
+    have no bands.
+    """
+    bits = W.shape[0] // r
 
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def keys(xs: pd.Series) -> pd.Series:
+        if not len(xs):
+            return pd.Series([], dtype=object)
+        h = hashes(np.stack(xs.to_numpy()).astype(np.float64) @ W.T).astype(np.int64).reshape(len(xs), bits, r)
+        return pd.Series(list(_packed(h)))
+    return (df.where(F.col("x").isNotNull()).withColumn("_keys", keys(F.col("x")))
+            .select(F.col(id_col).alias(out), F.posexplode("_keys").alias("band", "key")))
 
-def band_keys(vals: list[Column], r: int, b: int) -> Column:
-    """Array of b string keys, each the comma-joined r hash values of a band."""
-    return F.array(*[F.concat_ws(",", *[vals[j * r + i].cast("string") for i in range(r)]) for j in range(b)])
+
+def _packed(h: np.ndarray) -> np.ndarray:
+    """Keys (n x b) of hash values (n x b x r): bits side by side where they fit, else mixed."""
+    if h.size and h.min() >= 0 and h.max() <= 1 and h.shape[2] <= 62:
+        return h @ (1 << np.arange(h.shape[2], dtype=np.int64))
+    key = np.full(h.shape[:2], 0x9E3779B97F4A7C15, np.uint64)
+    for k in range(h.shape[2]):
+        key ^= h[:, :, k].view(np.uint64) + np.uint64(0x632BE59BD9B4E019) + (key << np.uint64(6)) + (key >> np.uint64(2))
+        key *= np.uint64(0xD6E8FEB86659FD93)
+        key ^= key >> np.uint64(32)
+    return (key >> np.uint64(1)).astype(np.int64)
 
 
 # ------------------------------------------------------------------ bands from the recall
@@ -70,18 +92,11 @@ def bands_for_recall(p: float, r: int, recall: float) -> int:
 
 
 # ------------------------------------------------------------------ L4
-def cosine_bits(x: Column, W: np.ndarray) -> list[Column]:
-    """Sign bits sgn(w.x) (1 when >= 0)."""
-    return [F.when(p >= 0, F.lit(1)).otherwise(F.lit(0)) for p in _proj(x, W)]
-
-
 def cosine_lsh_pairs(points: DataFrame, r: int, b: int, threshold: float, seed: int,
                      block: int = DEFAULT_BLOCK) -> DataFrame:
-    """Random-hyperplane LSH: bands of r sign bits, candidates, cosine >= threshold."""
+    """Random-hyperplane LSH: bands of r sign bits (1 when w.x >= 0), candidates, cosine >= threshold."""
     d = len(points.select("x").first()["x"])
-    W = gaussian_matrix(r * b, d, seed, "cos")
-    bits = cosine_bits(F.col("x"), W)
-    rows = with_projections(points, W).select("id", F.posexplode(band_keys(bits, r, b)).alias("band", "key"))
+    rows = band_rows(points, gaussian_matrix(r * b, d, seed, "cos"), r, lambda p: p >= 0)
     cands = bucket_self_pairs(rows, ["band", "key"], "id", block).select(
         F.col("a").alias("id_a"), F.col("b").alias("id_b")).distinct()
     return verify_vectors(cands, points, "cosine").where(F.col("cosine") >= threshold)
@@ -115,45 +130,36 @@ def verify_vectors(pairs: DataFrame, points: DataFrame, metric: str) -> DataFram
 
 
 # ------------------------------------------------------------------ L5 / L6
-def euclidean_hashes(x: Column, W: np.ndarray, bvec: np.ndarray, a: float) -> list[Column]:
-    """floor((w.x + b)/a), w standard normal (unit-normalised), b in [0, a)."""
-    return [F.floor((p + F.lit(float(bb))) / F.lit(a)).cast("bigint") for p, bb in zip(_proj(x, W), bvec)]
-
-
-def _e2lsh_params(d, r, b, a, seed):
+def _e2lsh(d: int, r: int, b: int, a: float, seed: int):
+    """Directions, and floor((w.x + b)/a) of projections: w standard normal, normalised, b in [0, a)."""
     W = gaussian_matrix(r * b, d, seed, "e2")
-    W = W / np.linalg.norm(W, axis=1, keepdims=True)
-    bvec = a * uniform_vector(r * b, seed, "e2b")
-    return W, bvec
+    shift = a * uniform_vector(r * b, seed, "e2b")
+    return W / np.linalg.norm(W, axis=1, keepdims=True), lambda p: np.floor((p + shift) / a)
 
 
 def euclidean_lsh_pairs(points: DataFrame, r: int, b: int, a: float, radius: float, seed: int,
                         block: int = DEFAULT_BLOCK) -> DataFrame:
     """p-stable (Gaussian) LSH for l2: bands of r bucket indices, verify d <= radius."""
-    d = len(points.select("x").first()["x"])
-    W, bvec = _e2lsh_params(d, r, b, a, seed)
-    hs = euclidean_hashes(F.col("x"), W, bvec, a)
-    rows = with_projections(points, W).select("id", F.posexplode(band_keys(hs, r, b)).alias("band", "key"))
+    W, hashes = _e2lsh(len(points.select("x").first()["x"]), r, b, a, seed)
+    rows = band_rows(points, W, r, hashes)
     cands = bucket_self_pairs(rows, ["band", "key"], "id", block).select(
         F.col("a").alias("id_a"), F.col("b").alias("id_b")).distinct()
     return verify_vectors(cands, points, "l2").where(F.col("l2") <= radius)
 
 
 def near_neighbors(queries: DataFrame, base: DataFrame, r: int, b: int, a: float, radius: float,
-                   seed: int, block: int = DEFAULT_BLOCK) -> DataFrame:
-    """Base points within ``radius`` of each query, found through shared
-    Euclidean-LSH buckets (query x base bucket join), exact distance filter."""
-    d = len(base.select("x").first()["x"])
-    W, bvec = _e2lsh_params(d, r, b, a, seed)
-    hq = euclidean_hashes(F.col("x"), W, bvec, a)
-    qrows = materialize(with_projections(queries, W).select(F.col("id").alias("qid"),
-                                                            F.posexplode(band_keys(hq, r, b)).alias("band", "key")))
-    brows = with_projections(base, W).select("id", F.posexplode(band_keys(hq, r, b)).alias("band", "key"))
+                   seed: int, eps: float = 0.0, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """(radius, eps) neighbours of each query, found through shared Euclidean-LSH
+    buckets: base points within ``radius`` (with the recall of the bands), and none
+    beyond ``(1 + eps) radius``; points between the two come if they are candidates."""
+    W, hashes = _e2lsh(len(base.select("x").first()["x"]), r, b, a, seed)
+    qrows = materialize(band_rows(queries, W, r, hashes, out="qid"))
+    brows = band_rows(base, W, r, hashes)
     cands = bucket_cross_pairs(qrows, brows, ["band", "key"], "qid", "id", block).distinct()
     q = queries.select(F.col("id").alias("qid"), F.col("x").alias("qx"))
     j = cands.join(q, "qid").join(base.select("id", "x"), "id")
     return j.select("qid", "id", pair_metric_udf("l2")(F.col("qx"), F.col("x")).alias("l2")) \
-        .where(F.col("l2") <= radius)
+        .where(F.col("l2") <= (1 + eps) * radius)
 
 
 # ------------------------------------------------------------------ L7
@@ -182,33 +188,7 @@ def hyperplane_lsh_candidates(points: DataFrame, w: np.ndarray, tables: int, see
     return with_projections(points, UV).where(hit).drop("_p")
 
 
-# ------------------------------------------------------------------ C7
-def distance_join(points: DataFrame, eps: float, n_proj: int = 2, seed: int = 0,
-                  block: int = DEFAULT_BLOCK) -> DataFrame:
-    """Exact epsilon self-join ``l2(x, y) <= eps`` by grid blocking on random projections.
-
-    |w.(x - y)| <= |x - y| for a unit w, so pairs within eps fall in the same
-    or adjacent cells (width eps) of every projection: each point probes the
-    3^m neighbour cells of its home cell.  Exact; no pair is lost.  The join
-    is skew-tiled; the work is large only when eps is large against the
-    spread of the data.
-    """
-    d = len(points.select("x").first()["x"])
-    W = gaussian_matrix(n_proj, d, seed, "grid")
-    W = W / np.linalg.norm(W, axis=1, keepdims=True)
-    cells = [F.floor(p / F.lit(eps)).cast("bigint") for p in _proj(F.col("x"), W)]
-    home = materialize(with_projections(points, W).select("id", "x", *[c.alias(f"c{i}") for i, c in enumerate(cells)]))
-    home = home.withColumn("key", F.concat_ws(",", *[F.col(f"c{i}").cast("string") for i in range(n_proj)]))
-    offs = list(itertools.product([-1, 0, 1], repeat=n_proj))
-    probe_keys = F.array(*[F.concat_ws(",", *[(F.col(f"c{i}") + o[i]).cast("string") for i in range(n_proj)])
-                           for o in offs])
-    probe = home.select(F.col("id").alias("pid"), F.explode(probe_keys).alias("key"))
-    cands = bucket_cross_pairs(probe, home.select("key", "id"), ["key"], "pid", "id", block)
-    cands = cands.where(F.col("pid") < F.col("id")).select(F.col("pid").alias("id_a"),
-                                                            F.col("id").alias("id_b")).distinct()
-    return verify_vectors(cands, points, "l2").where(F.col("l2") <= eps)
-
-
+# ------------------------------------------------------------------ G6
 def collision_probability(s: Column, r: int, b: int) -> Column:
     """1 - (1 - s^r)^b (AND of r rows, OR of b bands)."""
     return F.lit(1.0) - F.pow(F.lit(1.0) - F.pow(s, F.lit(float(r))), F.lit(float(b)))
@@ -221,5 +201,3 @@ def cascade_probability(s: Column, stages: list[tuple[str, int]]) -> Column:
         p = F.pow(p, F.lit(float(n))) if kind == "and" else F.lit(1.0) - F.pow(F.lit(1.0) - p, F.lit(float(n)))
     return p
 
-
-__all__ = ["math"]

@@ -6,6 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from tessera.operators import lsh
+from tessera.operators import metric_join
 from tessera.operators import vector_lsh as VL
 from tessera.plans.q_cluster import PTS, label_centers, points
 from tessera.plans.registry import query, table
@@ -158,11 +159,22 @@ pr AS (SELECT a.id AS id_a, b.id AS id_b FROM pts a JOIN pts b ON a.id < b.id),
 {_metric_cte('m', 'pr')}
 SELECT id_a, id_b, {r6('sqrt(d2)')} AS l2 FROM m WHERE sqrt(d2) <= {EPS}""")
 def pairwise_distance_join(spark, sf):
-    """Exact epsilon-join (l2 <= 1.05) by random-projection grid blocking."""
-    p = VL.distance_join(_pts(spark, sf), EPS, n_proj=2, seed=SEED)
+    """Exact epsilon-join (l2 <= 1.05) by metric pivots."""
+    p = metric_join.distance_join(_pts(spark, sf), EPS, seed=SEED)
     return p.select("id_a", "id_b", _r6(F.col("l2")).alias("l2"))
 
 
+@query("range_neighbors", f"""WITH {PTS},
+m AS (SELECT c.cid AS qid, p.id, sum((c.v - p.v) * (c.v - p.v)) AS d2 FROM cen c JOIN pl p ON p.j = c.j GROUP BY c.cid, p.id)
+SELECT qid::BIGINT AS qid, id, {r6('sqrt(d2)')} AS l2 FROM m WHERE sqrt(d2) <= {NN_RAD}""")
+def range_neighbors(spark, sf):
+    """All points within 0.95 of each label centre, exactly, by metric pivots."""
+    cids, C = label_centers(points(spark, sf))
+    q = spark.createDataFrame([(int(c), [float(v) for v in row]) for c, row in zip(cids, C)], "id bigint, x array<double>")
+    r = metric_join.range_neighbors(q, _pts(spark, sf), NN_RAD, seed=SEED)
+    return r.select("qid", "id", _r6(F.col("l2")).alias("l2"))
+
+
 # ---------------------------------------------------------------- G6
 CURVE_T = 0.5
 R, B, LSEED = lsh.DEFAULT_R, lsh.DEFAULT_B, lsh.DEFAULT_SEED
@@ -187,6 +199,21 @@ def lsh_collision_curve(spark, sf):
                                    _r6(F.avg(VL.collision_probability(F.col("jaccard"), R, B))).alias("predicted"))
 
 
+CASCADE_R, CASCADE_B = 5, 20
+
+
+@query("lsh_cascades", f"""WITH {shingles_cte()}, {exact_pairs_ctes(CURVE_T, sets='sh')}
+SELECT (floor(j * 10) / 10) AS bucket, count(*) AS n_pairs, {r6(f'avg(1 - pow(1 - pow(j, {CASCADE_R}), {CASCADE_B}))')} AS and_or,
+       {r6(f'avg(pow(1 - pow(1 - j, {CASCADE_B}), {CASCADE_R}))')} AS or_and FROM ex GROUP BY 1""")
+def lsh_cascades(spark, sf):
+    """Chance that an AND-OR and an OR-AND cascade of MinHash functions makes a pair a candidate, by similarity."""
+    ex = lsh.exact_similar_pairs_from_sets(materialize(lsh.shingle(table(spark, sf, "documents"))), CURVE_T, collapse=False)
+    p = lambda *stages: _r6(F.avg(VL.cascade_probability(F.col("jaccard"), list(stages))))
+    return ex.groupBy((F.floor(F.col("jaccard") * 10) / 10).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n_pairs"), p(("and", CASCADE_R), ("or", CASCADE_B)).alias("and_or"),
+        p(("or", CASCADE_B), ("and", CASCADE_R)).alias("or_and"))
+
+
 # ---------------------------------------------------------------- G5
 @query("edit_distance")
 def edit_distance(spark, sf):
