@@ -1,16 +1,18 @@
 """Linear classification.
 
 Rows are ``id, y (+1/-1), x array<double>``.  A model is a dense weight
-vector of D numbers (D = d for raw features, d^2 for ``poly2``): it lives on
-the driver and is shipped to tasks inside Arrow-batched functions.  Every
-pass over the data is distributed; the only things returned to the driver
-are model-sized (D partial sums per task are pre-aggregated map side and
-summed by a ``groupBy(j)``).
+vector of D numbers (D = d for raw features, d^2 for ``poly2``): up to ``MAX_MODEL``
+numbers it lives on the driver and is shipped to tasks inside Arrow-batched
+functions; larger ones are tables of blocks (:mod:`tessera.operators.wide_linear`).
+Every pass over the data is distributed; the only things returned to the driver
+are model-sized (a task adds its rows up and sends arrays of a block each, see
+:mod:`tessera.operators.partial`).
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -19,21 +21,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.features import poly2_np, poly2_weights_matrix
+from tessera.functions.features import poly2_weights_matrix
+from tessera.operators.partial import add_up, collect_sums, matrix
 from tessera.operators.sampling import hash_batches
+from tessera.session import checkpoint_dir
 from tessera.sources.parallel import by_key
 
 MAX_MODEL = 50_000_000  # doubles
 
 
-def _feat(X: np.ndarray, features: str) -> np.ndarray:
-    if features == "raw":
-        return X
-    if features == "poly2":
-        return poly2_np(X)
-    raise ValueError(features)
-
-
 def feature_width(d: int, features: str) -> int:
     return d * d if features == "poly2" else d
 
@@ -51,7 +47,7 @@ def score_udf(w: np.ndarray, d: int, features: str = "raw"):
             return pd.Series([], dtype=float)
         X = np.stack(xs.to_numpy()).astype(np.float64)
         if M is not None:
-            s = np.einsum("ni,ij,nj->n", X, M, X)
+            s = ((X @ M) * X).sum(1)
         else:
             s = X @ w
         return pd.Series(s)
@@ -101,47 +97,69 @@ def uncertainty_topm(scored: DataFrame, m: int, id_col: str = "id") -> DataFrame
 
 
 # ------------------------------------------------------------------ sums
+#: features of a model block
+BLOCK = 1 << 16
+
+
+def feature_block(X: np.ndarray, j0: int, j1: int, features: str) -> np.ndarray:
+    """Features j0..j1-1 of a batch of rows (n x (j1 - j0))."""
+    if features == "raw":
+        return X[:, j0:j1]
+    if features != "poly2":
+        raise ValueError(features)
+    i, k = np.divmod(np.arange(j0, j1), X.shape[1])
+    return X[:, i] * X[:, k] * np.where(i == k, 1.0, math.sqrt(2.0))
+
+
+def _block_sums(X: np.ndarray, c: np.ndarray, features: str, D: int, block: int):
+    """(block, sums) of c * features, a block of features and some rows at a time."""
+    for k, j0 in enumerate(range(0, D, block)):
+        j1 = min(D, j0 + block)
+        step = max(1, 2_000_000 // (j1 - j0))  # a step holds <= 2M doubles
+        yield k, sum((c[s:s + step] @ feature_block(X[s:s + step], j0, j1, features) for s in range(0, len(X), step)), np.zeros(j1 - j0))
+
+
+def _dense(sums: dict, D: int) -> np.ndarray:
+    out = np.zeros(D)
+    for k, v in sums.items():
+        if k >= 0:
+            out[k * BLOCK:k * BLOCK + len(v)] = v
+    return out
+
+
 def vector_sum(df: DataFrame, features: str = "raw", coef: str | None = None,
                x_col: str = "x") -> tuple[np.ndarray, int]:
-    """Distributed sum of coef * transform(x) -> (dense D vector, row count).
-
-    Each task adds its rows in NumPy and emits D (j, v) rows plus its
-    count; a ``groupBy(j)`` sums them.  Only D numbers reach the driver.
-    """
+    """Distributed sum of coef * transform(x) -> (dense D vector, row count)."""
     first = df.select(x_col).first()
     if first is None:
         return np.zeros(0), 0
-    d = len(first[0])
-    D = feature_width(d, features)
+    D = feature_width(len(first[0]), features)
     if D > MAX_MODEL:
         raise ValueError("model too large")
-    cols = [x_col] + ([coef] if coef else [])
-
-    def _part(batches):
-        acc = np.zeros(D)
-        n = 0
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            Xr = np.stack(pdf[x_col].to_numpy()).astype(np.float64)
-            c = pdf[coef].to_numpy(dtype=np.float64) if coef else np.ones(len(pdf))
-            step = max(1, 2_000_000 // max(D, 1))  # rows per block: block holds <= 2M doubles
-            for s0 in range(0, len(Xr), step):
-                acc += c[s0:s0 + step] @ _feat(Xr[s0:s0 + step], features)
-            n += len(pdf)
-        yield pd.DataFrame({"j": np.arange(-1, D, dtype=np.int64),
-                            "v": np.concatenate([[float(n)], acc])})
-
-    part = df.select(*cols).mapInPandas(_part, "j bigint, v double")
-    rows = part.groupBy("j").agg(F.sum("v").alias("v")).collect()
-    out = np.zeros(D)
-    n = 0
-    for r in rows:
-        if r["j"] < 0:
-            n = int(r["v"])
-        else:
-            out[r["j"]] = r["v"]
-    return out, n
+    c, block = F.col(coef).cast("double") if coef else F.lit(1.0), BLOCK
+
+    def part(b):
+        X = matrix(b.column(0))
+        yield -1, np.array([float(len(X))])
+        yield from _block_sums(X, np.asarray(b.column(1)), features, D, block)
+    sums = collect_sums(df.select(F.col(x_col).cast("array<double>").alias("x"), c.alias("c")), part, D)
+    return _dense(sums, D), int(sums[-1][0]) if -1 in sums else 0
+
+
+def hinge_sums(df: DataFrame, w: np.ndarray, d: int, features: str = "raw") -> tuple[np.ndarray, int]:
+    """(sum of y transform(x) over the rows whose margin the model violates, all rows) in one pass."""
+    D, block = len(w), BLOCK
+    M = poly2_weights_matrix(w, d) if features == "poly2" else None
+
+    def part(b):
+        X, y = matrix(b.column(0)), np.asarray(b.column(1))
+        s = ((X @ M) * X).sum(1) if M is not None else X @ w
+        yield -1, np.array([float(len(X))])
+        at = np.flatnonzero(y * s < 1)
+        if len(at):
+            yield from _block_sums(X[at], y[at], features, D, block)
+    sums = collect_sums(df.select(F.col("x").cast("array<double>").alias("x"), F.col("y").cast("double").alias("y")), part, D)
+    return _dense(sums, D), int(sums[-1][0]) if -1 in sums else 0
 
 
 def model_table(spark, w: np.ndarray) -> DataFrame:
@@ -240,15 +258,21 @@ def parallel_svm(train: DataFrame, batch_size: int, seed: int, features: str = "
     b = hash_batches(train.select("id", "y", "x"), nb, seed)
     b = b.withColumn("_o", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("id").cast("string"))))
 
+    block = BLOCK
+
     def _train(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["_o", "id"])
         X = np.stack(pdf["x"].to_numpy()).astype(np.float64)
         y = pdf["y"].to_numpy(dtype=np.float64)
         w = train_rows(X, y, AdamRule(lam, beta1, beta2) if method == "adam" else BallRule(lam), features)
-        return pd.DataFrame({"batch": pdf["batch"].iloc[0], "j": np.arange(len(w), dtype=np.int32), "w": w})
+        blocks = [w[j:j + block] for j in range(0, len(w), block)]
+        return pd.DataFrame({"task": int(pdf["batch"].iloc[0] % (1 << 31)), "key": np.arange(len(blocks)), "sums": [np.append(1.0, v) for v in blocks]})
 
-    per_batch = by_key(b, "batch").groupBy("batch").applyInPandas(_train, "batch bigint, j int, w double")
-    return weight_average(per_batch)
+    per_batch = by_key(b, "batch").groupBy("batch").applyInPandas(_train, "task int, key bigint, sums array<double>")
+    # The mean of the batches' models, added up in arrays of a block each
+    mean = F.transform(F.slice("sums", 2, BLOCK), lambda v: v / F.element_at("sums", 1))
+    return (add_up(per_batch).select("key", F.posexplode(mean).alias("at", "w"))
+            .select((F.col("key") * BLOCK + F.col("at")).cast("int").alias("j"), "w"))
 
 
 def weight_average(per_batch: DataFrame) -> DataFrame:
@@ -296,22 +320,19 @@ def pegasos(train: DataFrame, lam: float, steps: int, features: str = "raw", bat
     project (L2 ball radius 1/sqrt(lambda), or the L1 ball for F7).  Each
     step is one distributed vector sum."""
     data = train.select("id", "y", "x")
+    first = data.select("x").first()
+    d = len(first["x"]) if first else 0
+    w, nb = np.zeros(feature_width(d, features)), 1
     if batch_size:
-        n = data.count()
-        nb = max(1, int(math.ceil(n / batch_size)))
-        data = hash_batches(data, nb, seed)
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    d = len(data.select("x").first()["x"])
-    D = feature_width(d, features)
-    w = np.zeros(D)
+        nb = max(1, int(math.ceil(data.count() / batch_size)))
+        # a step reads its own batch only
+        path = f"{checkpoint_dir(train.sparkSession).rstrip('/')}/batches-{uuid.uuid4().hex}"
+        hash_batches(data, nb, seed).repartition("batch").write.partitionBy("batch").parquet(path)
+        data = train.sparkSession.read.schema("id bigint, y double, x array<double>, batch bigint").parquet(path)
+    else:
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)
     for t in range(1, steps + 1):
-        part = data.where(F.col("batch") == (t - 1) % nb) if batch_size else data
-        n_t = part.count() if batch_size else None
-        scored = part.withColumn("score", score_udf(w, d, features)(F.col("x")))
-        viol = scored.where(F.col("y") * F.col("score") < 1)
-        s, _ = vector_sum(viol, features, coef="y")
-        if n_t is None:
-            n_t = part.count()
+        s, n_t = hinge_sums(data.where(F.col("batch") == (t - 1) % nb) if batch_size else data, w, d, features)
         eta = 1.0 / (lam * t)
         w = (1 - eta * lam) * w + (eta / max(n_t, 1)) * s
         if projection == "l1":
@@ -320,7 +341,8 @@ def pegasos(train: DataFrame, lam: float, steps: int, features: str = "raw", bat
             nrm = np.linalg.norm(w)
             if nrm > 0:
                 w = w * min(1.0, (1.0 / math.sqrt(lam)) / nrm)
-    data.unpersist()
+    if not batch_size:
+        data.unpersist()
     return w
 
 
@@ -331,14 +353,21 @@ def rbf_kernel_scores(df: DataFrame, sv: np.ndarray, coef: np.ndarray, gamma: fl
     if sv.size > MAX_MODEL:
         raise ValueError("support set too large")
 
+    norms = (sv * sv).sum(1)
+
     @F.pandas_udf(T.DoubleType())
     def _k(xs: pd.Series) -> pd.Series:
         if not len(xs):
             return pd.Series([], dtype=float)
         X = np.stack(xs.to_numpy()).astype(np.float64)
-        diff = X[:, None, :] - sv[None, :, :]
-        D2 = np.einsum("ijk,ijk->ij", diff, diff)
-        return pd.Series(np.exp(-gamma * D2) @ coef)
+        out = np.empty(len(X))
+        step = max(1, (1 << 22) // max(1, len(sv)))  # a step holds <= 4M kernel values
+        for s in range(0, len(X), step):
+            part = X[s:s + step]
+            # |x - v|^2 from norms and one matrix product
+            D2 = (part * part).sum(1)[:, None] + norms[None] - 2 * (part @ sv.T)
+            out[s:s + step] = np.exp(-gamma * np.maximum(D2, 0)) @ coef
+        return pd.Series(out)
 
     return df.withColumn("kscore", _k(F.col(x_col)))
 

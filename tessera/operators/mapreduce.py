@@ -1,27 +1,39 @@
 """User map-reduce on DataFrames (the reference's programming model).
 
-``mapper(key, value) -> iterable[(k, v)]`` runs inside ``mapInPandas`` over
-Arrow batches; an optional ``combiner(k, values) -> iterable[(k, v)]`` runs
-on each batch before the shuffle (Hadoop-style), so a hot key ships at most
-one value per batch; ``reducer(k, values) -> iterable[row]`` runs in
-``groupBy(k).applyInPandas``.  Keys must be string, long or double: this is
-checked when the plan is built, not at run time.
-
-Without a combiner a hot key sends all its values to one reducer task;
-associative reducers should always pass a combiner.
+``mapper(key, value) -> iterable[(k, v)]`` runs over Arrow batches; with
+``batch_size`` it gets lists of up to so many values, as one call of the reference's
+mapper does, whatever the Arrow batches are.  An optional ``combiner(k, values) ->
+iterable[(k, v)]`` runs before the shuffle on what a batch has mapped, so a hot key
+ships at most one value per batch.
+
+One shuffle brings a key's values together, sorted, so ``reducer(k, values) ->
+iterable[row]`` gets an iterator over a run of rows: a key's values never become one
+list, however many there are, and a reducer may stop early.  With ``sort_values``
+they come in ascending order (nulls first).  Where the combiner may also reduce
+partial results (it is associative), ``salts`` deals every key to so many tasks
+first, and only their results meet in one.
+
+Keys must be string, long or double: this is checked when the plan is built, not at
+run time.  A null key is a key; NaN is one key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import itertools
+import math
+from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tessera.sources.parallel import spread
 
 _KEY_TYPES = (T.StringType, T.LongType, T.DoubleType)
+#: rows that are Python objects at a time, and rows of an output batch
+ROWS = 1_024
 
 
 def check_key_type(dt: T.DataType) -> None:
@@ -29,59 +41,71 @@ def check_key_type(dt: T.DataType) -> None:
         raise TypeError(f"map-reduce keys must be string, long or double, got {dt.simpleString()}")
 
 
+def _objects(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    """Rows of batches as Python values, a few at a time."""
+    for b in batches:
+        for s in range(0, b.num_rows, ROWS):
+            yield from zip(*(c.to_pylist() for c in b.slice(s, ROWS).columns))
+
+
+def _batches(rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    rows = iter(rows)
+    while part := list(itertools.islice(rows, ROWS)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part), schema)], schema=schema)
+
+
+def _nan(k):
+    return math.nan if isinstance(k, float) and math.isnan(k) else k
+
+
+def _runs(rows: Iterable[tuple]) -> Iterator[tuple[object, Iterator]]:
+    """(key, iterator over its values) of rows ``k, v`` in which equal keys are neighbours."""
+    for k, run in itertools.groupby(rows, key=lambda r: _nan(r[0])):
+        yield k, (v for _, v in run)
+
+
+def _combined(pairs: Iterable[tuple], combiner: Callable) -> Iterator[tuple]:
+    by: dict = {}
+    for k, v in pairs:
+        by.setdefault(_nan(k), []).append(v)
+    for k, vs in by.items():
+        yield from combiner(k, iter(vs))
+
+
 def map_reduce(df: DataFrame, mapper: Callable, reducer: Callable, key_type: T.DataType,
                value_type: T.DataType, out_schema: T.StructType | str,
-               combiner: Callable | None = None, value_col: str = "value") -> DataFrame:
+               combiner: Callable | None = None, value_col: str = "value", batch_size: int | None = None,
+               sort_values: bool = False, salts: int = 0) -> DataFrame:
+    """The rows that ``reducer`` gives for the pairs that ``mapper`` makes of ``value_col``."""
     check_key_type(key_type)
-    map_schema = T.StructType([T.StructField("k", key_type), T.StructField("v", value_type)])
-
-    def _map(batches: Iterable[pd.DataFrame]):
-        for pdf in batches:
-            ks, vs = [], []
-            for value in pdf[value_col]:
-                for k, v in mapper(None, value):
-                    ks.append(k)
-                    vs.append(v)
-            if not ks:
-                continue
-            out = pd.DataFrame({"k": ks, "v": vs})
-            if combiner is not None and len(out):
-                cks, cvs = [], []
-                for k, grp in out.groupby("k", sort=False)["v"]:
-                    for k2, v2 in combiner(k, list(grp)):
-                        cks.append(k2)
-                        cvs.append(v2)
-                out = pd.DataFrame({"k": cks, "v": cvs})
-            yield out
-
-    _out = out_schema if isinstance(out_schema, T.StructType) else T._parse_datatype_string(out_schema)
-    names = [f.name for f in _out.fields]
-
-    def _reduce_sorted(batches: Iterable[pd.DataFrame]):
-        # Rows arrive hash-partitioned and sorted by key; a key may straddle
-        # Arrow batches, so the last key of a batch is carried to the next.
-        carry = None
-        for pdf in batches:
-            if carry is not None:
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            if not len(pdf):
-                continue
-            last = pdf["k"].iloc[-1]
-            tail = (pdf["k"] == last).to_numpy()
-            carry, pdf = pdf[tail], pdf[~tail]
-            yield _apply(pdf)
-        if carry is not None and len(carry):
-            yield _apply(carry)
-
-    def _apply(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for k, grp in pdf.groupby("k", sort=False)["v"]:
-            rows.extend(reducer(k, list(grp)))
-        return pd.DataFrame(rows, columns=names)
-
-    mapped = spread(df.select(value_col)).mapInPandas(_map, map_schema)
-    # One shuffle by key; the sort puts each key's values next to each other
-    # (external sort, spills), so no group is ever built as one object
-    # beyond the values the reducer asks for.
-    return (mapped.repartition("k").sortWithinPartitions("k")
-            .mapInPandas(_reduce_sorted, _out))
+    if salts and combiner is None:
+        raise ValueError("salted keys need a combiner that reduces partial results")
+    pair = T.StructType([T.StructField("k", key_type), T.StructField("v", value_type)])
+    out = out_schema if isinstance(out_schema, T.StructType) else T._parse_datatype_string(out_schema)
+    pairs, result = to_arrow_schema(pair), to_arrow_schema(out)
+
+    def _map(batches):
+        if batch_size is None:
+            for b in batches:
+                for s in range(0, b.num_rows, ROWS):
+                    made = itertools.chain.from_iterable(mapper(None, v) for v in b.column(0).slice(s, ROWS).to_pylist())
+                    yield from _batches(_combined(made, combiner) if combiner else made, pairs)
+            return
+        values = (v for v, in _objects(batches))
+        while part := list(itertools.islice(values, batch_size)):
+            made = mapper(None, part)
+            yield from _batches(_combined(made, combiner) if combiner else made, pairs)
+
+    def _combine(batches):
+        yield from _batches(itertools.chain.from_iterable(combiner(k, vs) for k, vs in _runs(_objects(batches))), pairs)
+
+    def _reduce(batches):
+        yield from _batches(itertools.chain.from_iterable(reducer(k, vs) for k, vs in _runs(_objects(batches))), result)
+
+    order = ["k", F.col("v").asc_nulls_first()] if sort_values else ["k"]
+    mapped = spread(df.select(value_col)).mapInArrow(_map, pair)
+    if salts:
+        # a task's pairs of one key stay together, so the same input is dealt the same way
+        dealt = mapped.withColumn("salt", F.spark_partition_id() % salts)
+        mapped = dealt.repartition("k", "salt").sortWithinPartitions(*order).select("k", "v").mapInArrow(_combine, pair)
+    return mapped.repartition("k").sortWithinPartitions(*order).mapInArrow(_reduce, out)

@@ -30,40 +30,60 @@ def matrix(col: pa.Array) -> np.ndarray:
     return flat.reshape(n, len(flat) // n if n else 0)
 
 
-def _rows(acc: dict, key_type: pa.DataType) -> pa.RecordBatch:
+def _rows(sums: list[tuple], key_type: pa.DataType) -> pa.RecordBatch:
     task = TaskContext.get().partitionId()
-    keys = sorted(acc, key=lambda k: (k is not None, k))
     return pa.RecordBatch.from_arrays(
-        [pa.array([task] * len(keys), pa.int32()), pa.array(keys, key_type),
-         pa.array([acc[k] for k in keys], pa.list_(pa.float64()))], names=["task", "key", "sums"])
+        [pa.array([task] * len(sums), pa.int32()), pa.array([k for k, _ in sums], key_type),
+         pa.array([v for _, v in sums], pa.list_(pa.float64()))], names=["task", "key", "sums"])
 
 
 def _add(acc: dict, key, v: np.ndarray) -> None:
     acc[key] = acc[key] + v if key in acc else v
 
 
-def _lots(df: DataFrame, part: Callable[[pa.RecordBatch], Iterable[tuple[object, np.ndarray]]], key_type: str):
-    """``task, key, sums`` with the arrays of the tasks of a lot added, and the function that adds them."""
+def add_up(parts: DataFrame, key_type: str = "bigint", lots_only: bool = False) -> DataFrame:
+    """``task, key, sums`` rows -> one row for each key (for each key and lot of tasks if
+    ``lots_only``).  Rows come sorted by key, so a task holds one key's array."""
     kind = pa.string() if key_type == "string" else pa.int64()
 
-    def run(batches):
-        acc: dict = {}
-        for b in batches:
-            if b.num_rows:
-                for key, v in part(b):
-                    _add(acc, key, v)
-        yield _rows(acc, kind)
-
     def merge(batches):
-        acc: dict = {}
+        now, total, some = None, None, False
         for b in batches:
             off, flat = np.asarray(b.column("sums").offsets), np.asarray(b.column("sums").values)
+            done = []
             for i, key in enumerate(b.column("key").to_pylist()):
-                _add(acc, key, flat[off[i]:off[i + 1]].copy())
-        yield _rows(acc, kind)
+                v = flat[off[i]:off[i + 1]]
+                if some and key == now:
+                    total = total + v
+                else:
+                    if some:
+                        done.append((now, total))
+                    now, total, some = key, v.copy(), True
+            if done:
+                yield _rows(done, kind)
+        if some:
+            yield _rows([(now, total)], kind)
 
     schema = f"task int, key {key_type}, sums array<double>"
-    return df.mapInArrow(run, schema).repartition(F.col("task") % LOTS).sortWithinPartitions("task").mapInArrow(merge, schema), merge, schema
+    lots = parts.repartition("key", F.col("task") % LOTS).sortWithinPartitions("key", "task").mapInArrow(merge, schema)
+    if lots_only:
+        return lots
+    return lots.repartition("key").sortWithinPartitions("key", "task").mapInArrow(merge, schema)
+
+
+def _parts(df: DataFrame, part: Callable[[pa.RecordBatch], Iterable[tuple[object, np.ndarray]]], key_type: str) -> DataFrame:
+    """``task, key, sums``: the arrays that ``part`` gives for a task's batches, added by key."""
+    kind = pa.string() if key_type == "string" else pa.int64()
+
+    def run(batches):
+        acc: dict = {}
+        for b in batches:
+            if b.num_rows:
+                for key, v in part(b):
+                    _add(acc, key, v)
+        for k in sorted(acc, key=lambda k: (k is not None, k)):
+            yield _rows([(k, acc.pop(k))], kind)
+    return df.mapInArrow(run, f"task int, key {key_type}, sums array<double>")
 
 
 def sums_by_key(df: DataFrame, part, key_type: str = "bigint") -> DataFrame:
@@ -71,8 +91,7 @@ def sums_by_key(df: DataFrame, part, key_type: str = "bigint") -> DataFrame:
 
     ``part`` returns (key, array) pairs; one key's arrays have one length.
     """
-    lots, merge, schema = _lots(df, part, key_type)
-    return lots.repartition("key").sortWithinPartitions("task").mapInArrow(merge, schema).select("key", "sums")
+    return add_up(_parts(df, part, key_type), key_type).select("key", "sums")
 
 
 def collect_sums(df: DataFrame, part, cells: int, key_type: str = "bigint") -> dict:
@@ -80,7 +99,7 @@ def collect_sums(df: DataFrame, part, cells: int, key_type: str = "bigint") -> d
     if cells > DRIVER_CELLS:
         return {r["key"]: np.array(r["sums"]) for r in sums_by_key(df, part, key_type).collect()}
     acc: dict = {}
-    for r in sorted(_lots(df, part, key_type)[0].collect(), key=lambda r: r["task"]):
+    for r in sorted(add_up(_parts(df, part, key_type), key_type, lots_only=True).collect(), key=lambda r: r["task"]):
         _add(acc, r["key"], np.array(r["sums"]))
     return acc
 
