@@ -6,11 +6,15 @@ next one's docs.  All but the last return the columns of ``documents``.  Each
 works on everything its predecessor kept.  An empty table passes through all
 stages.  Rows with a null doc_id are never dropped as duplicates or as
 contaminated, because no decision can name them; null texts have no letter and
-leave at the first stage.
+leave at the first stage.  Of duplicates the smallest doc_id stays, of equal rows
+of one id one; texts are read whole, however long.  Columns beyond those of
+``documents`` may have any name (also names that a stage uses itself): they go
+through every stage under names of their own and come out unchanged.
 """
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,16 +29,34 @@ from tessera.session import checkpoint_dir, ship_package
 REJECT_BELOW = 0.2
 
 
+#: The columns that stages know by name.
+KNOWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """The table with its further columns numbered."""
+    return docs.toDF(*[c if c in KNOWN else f"further_{i}" for i, c in enumerate(docs.columns)])
+
+
+def own_names(stage):
+    """The stage on a table whose further columns are numbered, and its result with their names again."""
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(spark, numbered(docs), sf_dir).toDF(*docs.columns)
+    return run
+
+
+@own_names
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language; texts without letters go, and texts whose
     machines contradict each other strongly (score under ``REJECT_BELOW``)."""
     ship_package(spark)
     model = language_id.train(docs.where(~language_id.held_out_mod("doc_id", 4, 2)))
-    extra = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    p = language_id.identify(docs.select(*extra), model, keep_cols=tuple(extra))
-    return p.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= REJECT_BELOW)).select(*extra)
+    p = language_id.identify(docs, model, keep_cols=tuple(docs.columns))
+    return p.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= REJECT_BELOW)).select(*docs.columns)
 
 
+@own_names
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each SimHash component, of the smallest doc_id.
 
@@ -48,11 +70,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     named = docs.join(rows, "doc_id")
     once = named.where("_times = 1").select(*docs.columns)
     stay = groups.where(own).groupBy("doc_id", "component").agg(F.min("fp").alias("_fp")).select("doc_id", "_fp")
-    more = (named.where("_times > 1").withColumn("_fp", simhash.fingerprint_of(F.col("text"), 3)).join(stay, ["doc_id", "_fp"])
+    # never null, so that no filter on it is inferred: below the join it would fingerprint every text
+    again = F.coalesce(simhash.fingerprint_of(F.col("text"), 3), F.lit(0).cast("bigint"))
+    more = (named.where("_times > 1").withColumn("_fp", again).join(stay, ["doc_id", "_fp"])
             .dropDuplicates(["doc_id", "_fp"]).select(*docs.columns))
     return once.unionByName(more).unionByName(docs.where("doc_id IS NULL"))
 
 
+@own_names
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item (0.8 of its 5-word shingles)."""
     ship_package(spark)
@@ -61,6 +86,7 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
 
 
+@own_names
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many tokens as there are, at target weights; a document of a leaf that is
     short comes once for each epoch in which it is taken."""
@@ -71,7 +97,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Shards of token ids in training order; returns their index."""
     ship_package(spark)
-    return token_output.materialize_tokens(docs, token_output.new_folder(spark))
+    return token_output.materialize_tokens(numbered(docs), token_output.new_folder(spark))
 
 
 STAGES = [
