@@ -86,11 +86,13 @@ def mix(docs: DataFrame, weights: dict | None = None, budget_share: float = 1.0,
     branches of weight 0 and leaves without tokens get nothing; texts without
     tokens ride along in whole epochs, or before the end of a prefix.  Repeated
     rows of one id stand together in the order; null ids stand together as one.
-    An empty table gives an empty result.
+    Very long texts count by their bytes like any other.  Other columns may have any
+    name.  An empty table gives an empty result.
     """
-    own = [c for c in docs.columns if c not in ("mix_epoch", "mix_tokens")]
+    kept = [(f"_own{i}", c) for i, c in enumerate(docs.columns) if c not in ("mix_epoch", "mix_tokens")]
+    own = [name for name, _ in kept]                     # whatever the columns are called, no name below meets theirs
     at = {x: f"_mix_{x}" for x in levels}
-    d = docs.select(*own, token_count(F.col(text_col)).alias("mix_tokens"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_mix_id"),
+    d = docs.select(*[F.col(f"`{c}`").alias(name) for name, c in kept], token_count(F.col(text_col)).alias("mix_tokens"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_mix_id"),
                     *[F.coalesce((exprs or {}).get(x, F.col(x)).cast("string"), F.lit(NONE)).alias(at[x]) for x in levels])
     path = list(at.values())
     narrow = d.select(*path, "_mix_id", "mix_tokens")
@@ -122,4 +124,4 @@ def mix(docs: DataFrame, weights: dict | None = None, budget_share: float = 1.0,
     copies = F.col("full") + F.coalesce((F.col("_key") <= F.col("cut")).cast("bigint"), F.lit(0))
     return (j.withColumn("_n", copies).where("_n > 0")
             .withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)))
-            .select(*own, "mix_epoch", "mix_tokens"))
+            .select(*[F.col(name).alias(c) for name, c in kept], "mix_epoch", "mix_tokens"))
