@@ -2,12 +2,14 @@
 
 Texts are tokenised where they are scanned and packed into sequences of
 ``length`` ids (each text ends with the tokeniser's end id; the last sequence of
-a scan partition is filled with that id).  A sequence's ordinal is its place in
-the scan order.  A keyed Feistel network over the next even number of bits,
+a scan partition is filled with that id).  Scan partitions are cut by the bytes of
+the input's files alone (``scan_by_bytes``), so however many cores read a table, the
+same files give the same sequences.  A sequence's ordinal is its place in the scan
+order.  A keyed Feistel network over the next even number of bits,
 with cycle-walking back into 0..n-1, permutes the n ordinals to global slots:
 any slot can be computed, and inverted, from the key alone.  The sequences are
-range-partitioned by slot, and each task writes whole shards of fixed-stride
-records: slot k is record k % per_shard of shard k // per_shard, so training
+range-partitioned by slot into at most ``WRITERS`` ranges of whole shards, and each
+task writes its shards one after another in fixed-stride records: slot k is record k % per_shard of shard k // per_shard, so training
 reads sequentially and resumes at any slot.  A shard appears under its name
 only when it is whole; a second attempt writes the same bytes.
 """
@@ -17,6 +19,8 @@ from __future__ import annotations
 import json
 import uuid
 import zlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +31,6 @@ from pyspark.sql import functions as F
 from tessera.llm.common import keep
 from tessera.llm.tokens import Encoder
 from tessera.session import checkpoint_dir
-from tessera.sources.parallel import spread
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LENGTH = 2048
@@ -35,6 +38,12 @@ SHARD_RECORDS = 4096
 KEY = 0x5DEECE66D
 ROUNDS = 6
 
+#: Bytes of files in a scan partition, unless that made more than SCANS of them.
+SCAN_BYTES = 16 << 20
+SCANS = 50_000
+#: Tasks that write shards, at most.
+WRITERS = 8_192
+
 _encoders: dict[int, Encoder] = {}
 
 
@@ -104,9 +113,28 @@ class _Packer:
         return out
 
 
+@contextmanager
+def scan_by_bytes(df: DataFrame) -> Iterator[None]:
+    """Plans made here cut files into partitions by bytes, whatever the number of cores;
+    the settings come back afterwards.  (A table that is no scan keeps its partitions.)"""
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    want = {"spark.sql.files.maxPartitionBytes": str(max(SCAN_BYTES, -(-size // SCANS))), "spark.sql.files.openCostInBytes": str(1 << 20),
+            "spark.sql.files.minPartitionNum": "1", "spark.sql.files.maxPartitionNum": None}
+    old = {k: spark.conf.get(k, None) for k in want}
+    put = lambda k, v: spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    try:
+        for k, v in want.items():
+            put(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            put(k, v)
+
+
 def sequences(docs: DataFrame, ranks: bytes, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_ids, n_tokens, record``: packed sequences in scan order."""
-    d = spread(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")))
+    d = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     share = d.sparkSession.sparkContext.broadcast(ranks)  # one tokeniser file
 
     def run(batches):
@@ -151,15 +179,17 @@ def materialize_tokens(docs: DataFrame, out: str, ranks_path: str = RANKS, lengt
         ranks = f.read()
     enc = Encoder(ranks)
     stride = length * enc.dtype.itemsize
-    seqs = keep(sequences(docs, ranks, length, id_col, text_col)).withColumn("_at", F.monotonically_increasing_id())
-    # one row for each scan partition
-    per = seqs.groupBy(F.shiftright("_at", 33).alias("p")).agg(F.count(F.lit(1)).alias("n")).orderBy("p").collect()
+    with scan_by_bytes(docs):
+        seqs = keep(sequences(docs, ranks, length, id_col, text_col)).withColumn("_at", F.monotonically_increasing_id())
+        # one row for each scan partition, at most about SCANS
+        per = seqs.groupBy(F.shiftright("_at", 33).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
     n = sum(r.n for r in per)
-    first, at = {}, 0
+    count = np.zeros(max((r.p for r in per), default=-1) + 1, np.int64)
     for r in per:
-        first[r.p] = at
-        at += r.n
+        count[r.p] = r.n
+    first = docs.sparkSession.sparkContext.broadcast(np.cumsum(count) - count)  # 8 bytes for each scan partition
     shards = -(-n // per_shard)
+    writers = max(1, min(shards, WRITERS))
     where, root = _files(out)
     where.create_dir(root, recursive=True)
     with where.open_output_stream(f"{root}/manifest.json") as f:
@@ -169,7 +199,7 @@ def materialize_tokens(docs: DataFrame, out: str, ranks_path: str = RANKS, lengt
     def slots(batches):
         for b in batches:
             pos = np.asarray(b.column(3), np.int64)
-            ordinal = (pos & (1 << 33) - 1) + np.fromiter((first[p] for p in (pos >> 33).tolist()), np.int64, len(pos))
+            ordinal = (pos & (1 << 33) - 1) + first.value[pos >> 33]
             slot = permute(ordinal, n, key)
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(slot)], names=["doc_ids", "n_tokens", "record", "slot"])
 
@@ -200,7 +230,8 @@ def materialize_tokens(docs: DataFrame, out: str, ranks_path: str = RANKS, lengt
         close()
 
     placed = seqs.mapInArrow(slots, "doc_ids array<bigint>, n_tokens int, record binary, slot bigint")
-    dealt = placed.repartitionById(max(1, shards), (F.col("slot") / per_shard).cast("int")).sortWithinPartitions("slot")
+    shard_of = F.expr(f"slot div {per_shard}")
+    dealt = placed.repartitionById(writers, F.floor(shard_of * writers / max(1, shards)).cast("int")).sortWithinPartitions("slot")
     return dealt.mapInArrow(write, "slot bigint, shard bigint, byte_offset bigint, n_tokens int, doc_ids array<bigint>, crc32 bigint")
 
 

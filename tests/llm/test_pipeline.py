@@ -53,6 +53,32 @@ def test_nulls_and_clashing_columns(spark):
     assert P.STAGES[-1][1](spark, docs, SF).count() >= 1
 
 
+NAMES = ["score", "lang_pred", "_times", "_own", "_fp", "full", "cut", "_mix_id", "_key", "_n", "mix_epoch", "mix_tokens", "fp", "component_id",
+         "item_id", "Text", "a.b", "further_3", "_own0", "domain"]
+
+
+def test_columns_of_any_name_come_through_every_stage(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60")
+    docs = docs.unionByName(docs.where("doc_id in (5, 7)")).select("*", *[P.F.concat(P.F.lit(f"{c}:"), P.F.col("doc_id").cast("string")).alias(c) for c in NAMES])
+    for name, stage in P.STAGES[:-1]:
+        nxt = stage(spark, docs, SF)
+        assert nxt.columns == docs.columns, name
+        rows = nxt.collect()
+        assert rows
+        for r in rows:
+            assert list(r)[-len(NAMES):] == [f"{c}:{r.doc_id}" for c in NAMES], name
+        docs = spark.createDataFrame(rows, nxt.schema)
+    assert P.STAGES[-1][1](spark, docs, SF).count() >= 1
+
+
+def test_texts_are_fingerprinted_once(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plan = P.drop_near_duplicates(spark, docs, SF)._jdf.queryExecution().executedPlan().toString()
+    # the second fingerprint runs on rows that came through the join with repeated ids, never on the scan
+    for part in plan.split("ArrowEvalPython")[1:]:
+        assert "Join" in part.split("Scan parquet")[0] or "InMemoryTableScan" in part.split("Scan parquet")[0], part[:800]
+
+
 def test_run(spark):
     r = P.run(spark, SF)
     assert r.count() > 0 and r.select("slot").distinct().count() == r.count()

@@ -52,3 +52,33 @@ def test_empty(docs_of, tmp_path):
     out = str(tmp_path / "none")
     assert T.materialize_tokens(docs_of([]), out).count() == 0
     assert list(T.read_slots(out)) == []
+
+
+SHARDS = """
+import hashlib, os, sys
+sys.path.insert(0, {root!r})
+from tessera.session import get_spark
+from tessera.llm import token_output as T
+spark = get_spark({master!r})
+T.WRITERS, T.SCAN_BYTES = 3, 100_000
+idx = T.materialize_tokens(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), {out!r}, length=128, per_shard=40)
+rows = sorted(map(str, idx.collect()))
+names = sorted(f for f in os.listdir({out!r}) if f.startswith("shard-"))
+print("DIGEST", len(rows), len(names), idx.rdd.getNumPartitions(), hashlib.sha256(b"".join(open(os.path.join({out!r}, f), "rb").read() for f in names)).hexdigest(),
+      hashlib.sha256("".join(rows).encode()).hexdigest())
+"""
+
+
+def test_shards_do_not_depend_on_the_cores(tmp_path):
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(T.__file__))))
+    got = []
+    for cores in (2, 4):
+        code = SHARDS.format(root=root, master=f"local[{cores}]", out=str(tmp_path / f"c{cores}"))
+        run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+        got.append([x for x in run.stdout.splitlines() if x.startswith("DIGEST")])
+    assert got[0] and got[0] == got[1]
+    _, rows, shards, writers, *_ = got[0][0].split()
+    assert int(shards) > 3 == int(writers) and int(rows) > 40 * 3
