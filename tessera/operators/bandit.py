@@ -39,8 +39,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.features import concat_features, interaction_features
 from tessera.functions.hashing import py_uniform
-from tessera.functions.vectors import outer_flat
-from tessera.session import swap
+from tessera.operators.partial import matrix, sums_by_key
 from tessera.sources.parallel import by_key, spread
 
 MAX_ARMS = 100_000
@@ -134,57 +133,61 @@ def reward_recode(reward):
 
 
 # ------------------------------------------------------------------ D11 / D12
-def linucb_sums(accepted: DataFrame, arms: DataFrame, policy: LinUcbPolicy) -> DataFrame:
-    """Distributed per-arm sums for a set of accepted rows (``t, z, chosen, reward``).
+#: key of the shared sums
+SHARED = -1
+
+
+def _shapes(dx: int, dz: int) -> tuple[dict, dict]:
+    """Shapes of an arm's statistics and of the shared ones, in the order of their arrays."""
+    own = {"xx": (dx, dx), "rx": (dx, 1)} | ({"xz": (dx, dz)} if dz else {})
+    return own, ({"zz": (dz, dz), "rz": (dz, 1)} if dz else {})
 
-    Output long form ``arm, stat, i, j, v`` with stat in {xx, xz, rx, zz, rz}
-    (no identity added).  Each row explodes into its outer products; the
-    aggregation is partial per task, so a hot arm costs one row per task and
-    cell.
+
+def linucb_arrays(accepted: DataFrame, arms: DataFrame, policy: LinUcbPolicy) -> DataFrame:
+    """Sums of a set of accepted rows (``t, z, chosen, reward``): ``arm, sums``, one array for
+    each arm (xx, rx and for hybrids xz, flattened) and, for hybrids, one under
+    ``SHARED`` (zz, rz).  No identity is added.
+
+    A task adds its rows up by matrix products, so a hot arm costs one array a task.
     """
     a = arms_side(arms)
-    accepted = spread(accepted)
-    r = accepted.join(a.select(F.col("arm").alias("chosen"), F.col("x").alias("ax")), "chosen")
+    r = spread(accepted).join(a.select(F.col("arm").alias("chosen"), F.col("x").alias("ax")), "chosen")
     rew = reward_recode(F.col("reward")) if policy.recodes else F.col("reward")
-    x = x_col(policy.kind, F.col("z"), F.col("ax"))
-    z = z_col(policy.kind, F.col("z"), F.col("ax"))
-    r = r.select(F.col("chosen").alias("arm"), rew.cast("double").alias("r"), x.alias("x"),
-                 *( [z.alias("zz")] if z is not None else []))
-
-    hyb = z is not None
-
-    def _acc(batches):
-        # Per task: sum the outer products per arm in NumPy, emit one row
-        # per (arm, stat, i, j); the groupBy below merges the tasks.
-        acc: dict = {}
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            for arm, g in pdf.groupby("arm", sort=False):
-                X = np.stack(g["x"].to_numpy()).astype(np.float64)
-                rr = g["r"].to_numpy(dtype=np.float64)
-                parts = {"xx": X.T @ X, "rx": (rr @ X)[:, None]}
-                if hyb:
-                    Z = np.stack(g["zz"].to_numpy()).astype(np.float64)
-                    parts.update({"xz": X.T @ Z, "zz": Z.T @ Z, "rz": (rr @ Z)[:, None]})
-                cur = acc.setdefault(int(arm), {})
-                for k, v in parts.items():
-                    cur[k] = cur[k] + v if k in cur else v
-        rows = {"arm": [], "stat": [], "i": [], "j": [], "v": []}
-        for arm, mats in acc.items():
-            for k, M in mats.items():
-                ii, jj = np.indices(M.shape)
-                n = M.size
-                rows["arm"].append(np.full(n, arm, dtype=np.int64))
-                rows["stat"].append(np.full(n, k, dtype=object))
-                rows["i"].append(ii.ravel().astype(np.int32))
-                rows["j"].append(jj.ravel().astype(np.int32))
-                rows["v"].append(M.ravel())
-        if rows["arm"]:
-            yield pd.DataFrame({k: np.concatenate(v) for k, v in rows.items()})
-
-    e = r.mapInPandas(_acc, "arm bigint, stat string, i int, j int, v double")
-    return e.groupBy("arm", "stat", "i", "j").agg(F.sum("v").alias("v"))
+    r = r.select(F.col("chosen").cast("bigint").alias("arm"), rew.cast("double").alias("r"), F.col("z").cast("array<double>").alias("z"),
+                 F.col("ax").cast("array<double>").alias("ax"))
+    kind = policy.kind
+
+    def part(b):
+        arm, rr, user, art = np.asarray(b.column(0)), np.asarray(b.column(1)), matrix(b.column(2)), matrix(b.column(3))
+        X, Z = x_of(kind, user, art), z_of(kind, user, art)
+        order = np.argsort(arm, kind="stable")
+        at = np.flatnonzero(np.append(True, arm[order][1:] != arm[order][:-1]))
+        for s, e in zip(at, np.append(at[1:], len(arm))):
+            i = order[s:e]
+            stats = [(X[i].T @ X[i]).ravel(), rr[i] @ X[i]] + ([(X[i].T @ Z[i]).ravel()] if Z is not None else [])
+            yield int(arm[i[0]]), np.concatenate(stats)
+        if Z is not None:
+            yield SHARED, np.concatenate([(Z.T @ Z).ravel(), rr @ Z])
+    return sums_by_key(r, part).withColumnRenamed("key", "arm")
+
+
+def linucb_sums(accepted: DataFrame, arms: DataFrame, policy: LinUcbPolicy) -> DataFrame:
+    """The same in long form ``arm, stat, i, j, v`` (arm null for the shared sums)."""
+    st = LinUcbState(policy, arms_dict(arms))
+    own, shared = _shapes(*st.dims())
+
+    def cell(stat, m):
+        return lambda v, p: F.struct(F.lit(stat).alias("stat"), F.floor(p / m).cast("int").alias("i"), (p % m).cast("int").alias("j"), v.alias("v"))
+
+    def cells(shapes):
+        out, at = [], 0
+        for stat, (n, m) in shapes.items():
+            out.append(F.transform(F.slice("sums", at + 1, n * m), cell(stat, m)))
+            at += n * m
+        return F.concat(*out)
+    sums = linucb_arrays(accepted, arms, policy)
+    c = F.when(F.col("arm") == SHARED, cells(shared)).otherwise(cells(own)) if shared else cells(own)
+    return sums.select(F.when(F.col("arm") != SHARED, F.col("arm")).alias("arm"), F.explode(c).alias("c")).select("arm", "c.*")
 
 
 @dataclass
@@ -218,44 +221,42 @@ class LinUcbState:
         return self.A[a], self.b[a], self.B.get(a)
 
 
-def state_from_sums(sums: DataFrame, arm_x: dict, policy: LinUcbPolicy) -> LinUcbState:
-    """Per-arm solve of the aggregated sums (telescoped hybrid form)."""
+def state_from_arrays(sums: dict[int, np.ndarray], arm_x: dict, policy: LinUcbPolicy) -> LinUcbState:
+    """The state of the aggregated sums (telescoped hybrid form)."""
     st = LinUcbState(policy, arm_x)
     dx, dz = st.dims()
-    zz = np.zeros((dz, dz))
-    rz = np.zeros(dz)
-    sums = sums.persist(StorageLevel.MEMORY_AND_DISK)
-    if sums.count() > MAX_ARMS * (dx * dx + dx * dz + dx + dz * dz + dz):
-        sums.unpersist()
-        raise ValueError("statistics exceed the model size bound")
-    rows = sums.collect()
-    sums.unpersist()
-    for r in rows:
-        a = int(r["arm"])
-        A, b, B = st.arm(a)
-        s, i, j, v = r["stat"], r["i"], r["j"], r["v"]
-        if s == "xx":
-            A[i, j] += v
-        elif s == "rx":
-            b[i] += v
-        elif s == "xz":
-            B[i, j] += v
-        elif s == "zz":
-            zz[i, j] += v
-        elif s == "rz":
-            rz[i] += v
+    own, shared = _shapes(dx, dz)
+
+    def cut(v, shapes):
+        out, at = {}, 0
+        for stat, (n, m) in shapes.items():
+            out[stat] = np.asarray(v[at:at + n * m]).reshape(n, m)
+            at += n * m
+        return out
+    for a in sorted(sums):
+        if a != SHARED:
+            c = cut(sums[a], own)
+            st.A[a], st.b[a] = np.eye(dx) + c["xx"], c["rx"][:, 0].copy()
+            if dz:
+                st.B[a] = c["xz"].copy()
     if dz:
-        A0 = np.eye(dz) + zz
-        b0 = rz.copy()
+        c = cut(sums[SHARED], shared) if SHARED in sums else {"zz": np.zeros((dz, dz)), "rz": np.zeros((dz, 1))}
+        st.A0, st.b0 = np.eye(dz) + c["zz"], c["rz"][:, 0].copy()
         for a in st.A:
-            Ainv = np.linalg.inv(st.A[a])
-            BtAi = st.B[a].T @ Ainv
-            A0 -= BtAi @ st.B[a]
-            b0 -= BtAi @ st.b[a]
-        st.A0, st.b0 = A0, b0
+            BtAi = np.linalg.solve(st.A[a], st.B[a]).T
+            st.A0 -= BtAi @ st.B[a]
+            st.b0 -= BtAi @ st.b[a]
     return st
 
 
+def collect_arrays(sums: DataFrame) -> dict[int, np.ndarray]:
+    """The arrays on the driver: one for each arm, at most ``MAX_ARMS`` of them."""
+    rows = sums.limit(MAX_ARMS + 2).collect()
+    if len(rows) > MAX_ARMS + 1:
+        raise ValueError("statistics exceed the model size bound")
+    return {int(r["arm"]): np.array(r["sums"]) for r in rows}
+
+
 def state_long(spark, st: LinUcbState) -> DataFrame:
     """State as ``arm, stat, i, j, v`` (arm null for the shared A0, b0)."""
     rows: list[tuple] = []
@@ -276,7 +277,7 @@ def state_long(spark, st: LinUcbState) -> DataFrame:
 
 
 def train_state(accepted: DataFrame, arms: DataFrame, policy: LinUcbPolicy) -> LinUcbState:
-    return state_from_sums(linucb_sums(accepted, arms, policy), arms_dict(arms), policy)
+    return state_from_arrays(collect_arrays(linucb_arrays(accepted, arms, policy)), arms_dict(arms), policy)
 
 
 # ------------------------------------------------------------------ scoring
@@ -389,6 +390,29 @@ class _Scorer:
         return int(choices[p]), float(sc[p]), p
 
 
+    def scores_many(self, users: np.ndarray, arms: np.ndarray) -> np.ndarray:
+        """UCB of many (user, arm) pairs under a fixed state, an arm at a time."""
+        out = np.full(len(arms), -np.inf)
+        order = np.argsort(arms, kind="stable")
+        at = np.flatnonzero(np.append(True, arms[order][1:] != arms[order][:-1])) if len(arms) else []
+        for s, e in zip(at, np.append(at[1:], len(arms))):
+            i = self.index.get(int(arms[order[s]]))
+            for r in (order[k:min(e, k + 65_536)] for k in range(s, e, 65_536) if i is not None):
+                u = users[r]
+                art = np.broadcast_to(self.art[i], (len(r), self.art.shape[1]))
+                x = x_of(self.kind, u, art)
+                Aix = x @ self.Ainv[i]
+                if not self.hybrid:
+                    out[r] = x @ (self.Ainv[i] @ self.b[i]) + self.alpha * np.sqrt(np.maximum((x * Aix).sum(1), 0.0))
+                    continue
+                z, B = z_of(self.kind, u, art), self.B[i]
+                th = self.Ainv[i] @ (self.b[i] - B @ self.beta)
+                m = (Aix @ B) @ self.A0inv
+                v = ((z @ self.A0inv) * z).sum(1) - 2 * (z * m).sum(1) + (x * Aix).sum(1) + (Aix * (m @ B.T)).sum(1)
+                out[r] = z @ self.beta + x @ th + self.alpha * np.sqrt(np.maximum(v, 0.0))
+        return out
+
+
 PICK_TYPE = T.StructType([T.StructField("arm", T.LongType()), T.StructField("ucb", T.DoubleType()),
                           T.StructField("pos", T.IntegerType())])
 
@@ -396,19 +420,28 @@ PICK_TYPE = T.StructType([T.StructField("arm", T.LongType()), T.StructField("ucb
 def pick_udf(st: LinUcbState):
     """I1-I3 + E1: score every candidate of an event and take the best (first wins ties).
 
-    The event row carries its candidate list, so no explode and no shuffle
-    are needed; the model travels in the closure (model-sized).
+    The event row carries its candidate list, so no explode and no shuffle are
+    needed; the model travels in the closure (model-sized); a batch's candidates
+    are scored together, arm by arm.  Without a candidate that has features the
+    pick is -1.
     """
     sc = _Scorer(st)
 
     @F.pandas_udf(PICK_TYPE)
     def _pick(z: pd.Series, choices: pd.Series) -> pd.DataFrame:
-        out = [sc.pick(np.asarray(u, dtype=np.float64), c) for u, c in zip(z, choices)]
-        if not out:
-            return pd.DataFrame({"arm": pd.Series([], dtype="int64"), "ucb": pd.Series([], dtype=float),
-                                 "pos": pd.Series([], dtype="int32")})
-        a, u, p = zip(*out)
-        return pd.DataFrame({"arm": list(a), "ucb": list(u), "pos": np.array(p, dtype=np.int32)})
+        n = np.array([0 if c is None else len(c) for c in choices], dtype=np.int64)
+        arm, ucb, pos = np.full(len(n), -1), np.full(len(n), -np.inf), np.full(len(n), -1, np.int32)
+        if n.sum():
+            flat = np.concatenate([np.asarray(c, dtype=np.int64) for c in choices if c is not None and len(c)])
+            users = np.repeat(np.stack(z.to_numpy()).astype(np.float64), n, axis=0)
+            s = sc.scores_many(users, flat)
+            event = np.repeat(np.arange(len(n)), n)
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
+            best = np.lexsort((place, -s, event))
+            best = best[np.append(True, event[best][1:] != event[best][:-1])]
+            best = best[np.isfinite(s[best])]
+            arm[event[best]], ucb[event[best]], pos[event[best]] = flat[best], s[best], place[best]
+        return pd.DataFrame({"arm": arm, "ucb": ucb, "pos": pos})
 
     return _pick
 
@@ -419,7 +452,7 @@ def candidate_scores(log: DataFrame, arms: DataFrame, st: LinUcbState) -> DataFr
 
     @F.pandas_udf(T.DoubleType())
     def _u(z: pd.Series, arm: pd.Series) -> pd.Series:
-        return pd.Series([sc.ucb(np.asarray(u, dtype=np.float64), int(a)) for u, a in zip(z, arm)])
+        return pd.Series(sc.scores_many(np.stack(z.to_numpy()).astype(np.float64), arm.to_numpy(dtype=np.int64)) if len(z) else [], dtype=float)
 
     e = log.select("t", "z", F.posexplode("choices").alias("pos", "arm"))
     return e.select("t", "pos", "arm", _u(F.col("z"), F.col("arm")).alias("ucb"))
@@ -634,29 +667,19 @@ def replay_minibatch(log: DataFrame, arms: DataFrame, policy: LinUcbPolicy, slic
     a given accepted set are exact.  One distributed pass per slice."""
     arm_x = arms_dict(arms)
     lo, hi = log.agg(F.min("t"), F.max("t")).first()
-    spark = log.sparkSession
-    st = LinUcbState(policy, arm_x)
-    dx, dz = st.dims()
-    sums_total = None
-    out = []
+    st, total, out = state_from_arrays({}, arm_x, policy), {}, []
     t0 = lo
-    k = 0
     while lo is not None and t0 <= hi:
         sl = log.where((F.col("t") >= t0) & (F.col("t") < t0 + slice_len))
-        if sums_total is not None:
-            st = state_from_sums(sums_total, arm_x, policy)
         picked = sl.withColumn("picked", pick_udf(st)(F.col("z"), F.col("choices"))["arm"])
         acc = replay_accept(picked).select("t", "z", "chosen", "reward").persist(StorageLevel.MEMORY_AND_DISK)
         c = acc.agg(F.count(F.lit(1)).alias("n"), F.sum("reward").alias("r")).first()
-        out.append((k, int(t0), int(c["n"]), int(c["r"] or 0)))
-        s = linucb_sums(acc, arms, policy)
-        merged = s if sums_total is None else (
-            sums_total.unionByName(s).groupBy("arm", "stat", "i", "j").agg(F.sum("v").alias("v")))
-        # the running sums are model-sized; checkpoint them so lineage stays one slice deep
-        sums_total = swap(sums_total, merged, checkpoint=True)
+        out.append((len(out), int(t0), int(c["n"]), int(c["r"] or 0)))
+        for a, v in collect_arrays(linucb_arrays(acc, arms, policy)).items() if c["n"] else ():
+            total[a] = total[a] + v if a in total else v
+        st = state_from_arrays(total, arm_x, policy)
         acc.unpersist()
         t0 += slice_len
-        k += 1
-    df = spark.createDataFrame(out, "slice int, t_start bigint, accepted bigint, reward_sum bigint")
+    df = log.sparkSession.createDataFrame(out, "slice int, t_start bigint, accepted bigint, reward_sum bigint")
     return df.withColumn("ctr", F.when(F.col("accepted") > 0, F.col("reward_sum") / F.col("accepted"))
                          .otherwise(F.lit(0.0)))

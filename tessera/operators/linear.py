@@ -389,11 +389,14 @@ def active_learning_round(pool: DataFrame, labeled: DataFrame, oracle: DataFrame
 
 
 def margin_selection(candidates: DataFrame, labeled: DataFrame, lam: float, steps: int,
-                     max_labeled: int = 100_000) -> DataFrame:
+                     max_labeled: int = 100_000, rule: str = "max-min") -> DataFrame:
     """for each candidate x and label +-1, retrain on labeled + (x, label)
     (a small full-batch Pegasos per group) and measure the margin of the new
-    model; score = min(m+, m-).  The labelled set must be bounded: it is
+    model; score = min(m+, m-), or with rule "ratio" min(m+/m-, m-/m+) (0 unless
+    both margins are positive).  The labelled set must be bounded: it is
     shipped to every group (checked against ``max_labeled``)."""
+    if rule not in ("max-min", "ratio"):
+        raise ValueError(rule)
     n = labeled.count()
     if n > max_labeled:
         raise ValueError("labelled set too large for per-candidate retraining")
@@ -420,4 +423,7 @@ def margin_selection(candidates: DataFrame, labeled: DataFrame, lam: float, step
 
     grid = candidates.select("id", "x", F.explode(F.array(F.lit(1.0), F.lit(-1.0))).alias("lab"))
     res = by_key(grid, "id", "lab").groupBy("id", "lab").applyInPandas(_train, "id bigint, lab double, margin double")
+    if rule == "ratio":
+        lo, hi = F.min("margin"), F.max("margin")
+        return res.groupBy("id").agg(F.when(lo > 0, lo / hi).otherwise(F.lit(0.0)).alias("score"))
     return res.groupBy("id").agg(F.min("margin").alias("score"))

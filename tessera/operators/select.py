@@ -24,16 +24,18 @@ def _residual_after(rem: DataFrame, chosen_elems: DataFrame) -> DataFrame:
     return rem.join(ce, "elem", "left_anti")
 
 
-def greedy_cover(elements: DataFrame, k: int, checkpoint_every: int = 4) -> DataFrame:
+def greedy_cover(elements: DataFrame, k: int, checkpoint_every: int = 4, repeats: bool = False) -> DataFrame:
     """Pick k sets maximising the number of covered elements (F = |union|).
 
-    ``elements``: ``set_id, elem`` (distinct pairs).  Each round counts the
+    ``elements``: ``set_id, elem`` in distinct pairs; with ``repeats`` pairs may occur
+    again, which costs a shuffle to mend.  Each round counts the
     uncovered elements per set (partial aggregation), takes the best set
     (gain desc, id asc) and removes its elements from the residual table
     with an anti join.  Output ``round, set_id, gain``; stops early when no
     set adds anything.
     """
-    rem = elements.select("set_id", "elem").distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    rem = elements.select("set_id", "elem")
+    rem = (rem.distinct() if repeats else rem).persist(StorageLevel.MEMORY_AND_DISK)
     out = []
     for r in range(1, k + 1):
         best = (rem.groupBy("set_id").agg(F.count(F.lit(1)).alias("gain"))
@@ -42,12 +44,12 @@ def greedy_cover(elements: DataFrame, k: int, checkpoint_every: int = 4) -> Data
             break
         sid, gain = best[0]["set_id"], int(best[0]["gain"])
         out.append((r, sid, gain))
-        chosen = rem.where(F.col("set_id") == sid).select("elem").distinct()
+        chosen = rem.where(F.col("set_id") == sid).select("elem")
         rem = swap(rem, _residual_after(rem, chosen), checkpoint=r % checkpoint_every == 0)
     return elements.sparkSession.createDataFrame(out, "round int, set_id bigint, gain bigint")
 
 
-def lazy_greedy_cover(elements: DataFrame, k: int, m0: int = 8, checkpoint_every: int = 4) -> DataFrame:
+def lazy_greedy_cover(elements: DataFrame, k: int, m0: int = 8, checkpoint_every: int = 4, repeats: bool = False) -> DataFrame:
     """The same result as :func:`greedy_cover`, evaluating few sets per round.
 
     Stale gains are upper bounds (gains only shrink).  Each round evaluates
@@ -56,7 +58,8 @@ def lazy_greedy_cover(elements: DataFrame, k: int, m0: int = 8, checkpoint_every
     their true gain as the new bound.
     """
     spark = elements.sparkSession
-    rem = elements.select("set_id", "elem").distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    rem = elements.select("set_id", "elem")
+    rem = (rem.distinct() if repeats else rem).persist(StorageLevel.MEMORY_AND_DISK)
     bounds = rem.groupBy("set_id").agg(F.count(F.lit(1)).cast("double").alias("bound")) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     out = []
@@ -83,7 +86,7 @@ def lazy_greedy_cover(elements: DataFrame, k: int, m0: int = 8, checkpoint_every
         if not top or best_gain == 0:
             break
         out.append((r, best_id, best_gain))
-        chosen = rem.where(F.col("set_id") == best_id).select("elem").distinct()
+        chosen = rem.where(F.col("set_id") == best_id).select("elem")
         rem = swap(rem, _residual_after(rem, chosen), checkpoint=r % checkpoint_every == 0)
         if r % checkpoint_every == 0:
             bounds = swap(bounds, bounds, checkpoint=True)

@@ -115,6 +115,22 @@ def hybrid_linucb_stats(spark, sf):
     return BD.state_long(spark, st)
 
 
+@query("hybrid_linucb_sums", f"""WITH {LOG},
+rr AS (SELECT t, chosen AS arm, CASE WHEN reward = 0 THEN -1 ELSE reward END AS r FROM lg),
+zz AS (SELECT u.t, u.chosen AS arm, u.i * 6 + a.i AS k, u.v * a.v AS v FROM lz u JOIN ax a ON a.arm = u.chosen),
+c AS (
+  SELECT a.chosen AS arm, 'xx' AS stat, a.i AS i, b.i AS j, sum(a.v * b.v) AS v FROM lz a JOIN lz b ON a.t = b.t GROUP BY ALL
+  UNION ALL SELECT a.chosen, 'rx', a.i, 0, sum(r * a.v) FROM lz a JOIN rr USING (t) GROUP BY a.chosen, a.i
+  UNION ALL SELECT a.chosen, 'xz', a.i, z.k, sum(a.v * z.v) FROM lz a JOIN zz z USING (t) GROUP BY a.chosen, a.i, z.k
+  UNION ALL SELECT NULL, 'zz', a.k, b.k, sum(a.v * b.v) FROM zz a JOIN zz b ON a.t = b.t GROUP BY a.k, b.k
+  UNION ALL SELECT NULL, 'rz', a.k, 0, sum(r * a.v) FROM zz a JOIN rr USING (t) GROUP BY a.k)
+SELECT arm, stat, i::INTEGER AS i, j::INTEGER AS j, {r6('v')} AS v FROM c""")
+def hybrid_linucb_sums(spark, sf):
+    """The sums of the hybrid state (per arm x x^T, x z^T, r x; shared z z^T, r z), final layout."""
+    s = BD.linucb_sums(_log(spark, sf), _arms(spark, sf), BD.LinUcbPolicy("hybrid"))
+    return s.select("arm", "stat", "i", "j", _r6(F.col("v")).alias("v"))
+
+
 # ---------------------------------------------------------------- I10 / G9
 @query("ucb1_scores", f"""WITH {LOG}
 SELECT chosen AS arm, count(*) AS n, {r6('avg(reward)')} AS mean,

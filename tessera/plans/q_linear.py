@@ -319,6 +319,47 @@ def active_learning_round(spark, sf):
     return spark.createDataFrame(hist, "round int, n_labeled bigint, accuracy double")
 
 
+def text_vectors(docs):
+    """``id, x``: eight shares and logarithms that describe a text (null texts are left out)."""
+    n = F.greatest(F.length("text"), F.lit(1)).cast("double")
+    count = lambda p: F.length(F.regexp_replace("text", p, "")) / n
+    words = F.size(F.split(F.trim("text"), r"\s+")).cast("double")
+    x = F.array(F.lit(1.0), F.log1p(n) / 10, count(r"[^A-Za-z]"), count(r"[^0-9]"), count(r"[^A-Z]"), count(r"[^.!?,;:]"),
+                count(r"[\p{L}\p{N}\s.!?,;:]") * 5, n / words / 20)
+    return docs.where("text IS NOT NULL AND doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), x.alias("x"))
+
+
+@query("active_learning_labels")
+def active_learning_labels(spark, sf):
+    """F8: quality of documents learned from the labels table in rounds, with a hyperplane
+    index, exploration and a subsample; accuracy on held-out labelled documents."""
+    from tessera.functions.hashing import uniform
+    from tessera.operators import active as A
+    vec = text_vectors(table(spark, sf, "documents"))
+    labels = table(spark, sf, "labels").select(F.col("doc_id").alias("id"), F.when(F.col("quality") == 1, 1.0).otherwise(-1.0).alias("y"))
+    held = uniform(SEED, "split", F.col("id")) < 0.2
+    test = vec.join(labels, "id").where(held).cache()
+    index = A.HyperplaneIndex(vec.join(labels.select("id").distinct(), "id", "left_semi").where(~held), 8, 8, SEED)
+    from tessera.operators.sampling import uniform_sample
+    lab = uniform_sample(index.rows.select("id", "x"), 20, SEED, "id").select("id", "x").join(labels, "id").select("id", "y", "x")
+    w, hist = L.pegasos(lab, LAM, 20), []
+    for r in range(3):
+        lab, w, c = A.active_round(index, lab, labels, w, 20, LAM, 20, SEED, r, prefilter=True, explore=0.2, subsample=0.8)
+        acc = L.svm_accuracy(L.svm_score(test, w)).first()["accuracy"]
+        hist.append((r, c["candidates"], c["asked"], c["labeled"], float(acc) if acc is not None else None))
+    return spark.createDataFrame(hist, "round int, candidates bigint, asked bigint, labeled bigint, accuracy double")
+
+
+@query("margin_selection_ratio")
+def margin_selection_ratio(spark, sf):
+    """ratio-margin choice among all held-out rows inside the current margin."""
+    from tessera.operators.sampling import uniform_sample
+    d = labeled(spark, sf)
+    lab = uniform_sample(d.where(~F.col("test")), 30, SEED, "id").select("id", "y", "x")
+    cand = L.svm_score(d.where("test"), L.pegasos(lab, LAM, 5)).where(F.abs("score") < 1)
+    return L.margin_selection(cand, lab, LAM, 5, rule="ratio").select("id", _r6(F.col("score")).alias("score"))
+
+
 @query("margin_selection")
 def margin_selection(spark, sf):
     """max-min margin choice among all held-out rows inside the current margin."""

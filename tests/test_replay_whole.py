@@ -125,3 +125,20 @@ def test_empty_log_and_odd_events(spark, data):
     odd = odd.unionByName(log.where("t = 60").selectExpr("t", "z", "cast(array() as array<bigint>) choices", "chosen", "reward"))
     r = replay_whole(odd, arms, pols, 20).collect()
     assert {x.segment for x in r} == {0, 1, 2, 3}
+
+
+@pytest.mark.parametrize("kind", ["disjoint", "concat", "hybrid_concat", "hybrid"])
+def test_batches_of_candidates_score_like_single_ones(spark, data, kind):
+    log, arms = frames(spark, data)
+    st = BD.train_state(log.where("t < 1000"), arms, BD.LinUcbPolicy(kind, 0.2))
+    sc = BD._Scorer(st)
+    some = data[0][1000:1200]
+    users = np.repeat([e[1] for e in some], 6, axis=0)
+    flat = np.array([a for e in some for a in [*e[2], 99]])                 # 99 has no features
+    want = np.concatenate([sc.scores(np.array(e[1]), [*e[2], 99]) for e in some])
+    assert np.allclose(sc.scores_many(users, flat), want)
+    picks = {r.t: (r.p.arm, r.p.pos) for r in log.where("t >= 1000 AND t < 1200").withColumn("p", BD.pick_udf(st)("z", "choices")).collect()}
+    assert picks == {e[0]: sc.pick(np.array(e[1]), e[2])[::2] for e in some}
+    odd = log.where("t = 5").selectExpr("z", "cast(array() as array<bigint>) choices").unionByName(
+        log.where("t = 6").selectExpr("z", "array(99L) choices")).unionByName(log.where("t = 7").selectExpr("z", "cast(null as array<bigint>) choices"))
+    assert [r.p.arm for r in odd.withColumn("p", BD.pick_udf(st)("z", "choices")).collect()] == [-1, -1, -1]
