@@ -66,14 +66,16 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a scratch one only if unset."""
+    """The shared checkpoint folder; a scratch one only where none is set and Spark runs in
+    one process.  On a cluster a folder of one machine would lose the data: that raises."""
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
     if cur:
         return cur
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
-        # Only reached when the cluster names no shared folder (local tests).
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         conf = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
