@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tessera.operators import bandit as BD
@@ -9,7 +11,8 @@ from tessera.operators.replay import replay_whole
 from tessera.plans.registry import query, table
 from tessera.plans.sqlparts import r6
 from tessera.plans.sqlparts import uniform as sql_uniform
-from tessera.sources.lines import bandit_lines, parse_bandit_log
+from tessera.session import checkpoint_dir
+from tessera.sources.lines import arm_lines, bandit_lines, parse_arm_lines, parse_bandit_log, read_lines, write_table
 from tessera.sources.testdata import BANDIT_SEED, arms, bandit_log
 
 SEG = 1000
@@ -264,18 +267,30 @@ def cumulative_regret_whole_log(spark, sf):
 
 
 # ---------------------------------------------------------------- R-checked (matrix inverses / sequential)
-def _frozen_linucb(spark, sf, kind):
+def _halves(spark, sf, kind):
+    """(events of the second half, model learned from the first)."""
     lg = _log(spark, sf)
-    a = _arms(spark, sf)
     lo, hi = lg.agg(F.min("t"), F.max("t")).first()
     split = (lo + hi) // 2
-    st = BD.train_state(lg.where(F.col("t") < split), a, BD.LinUcbPolicy(kind))
-    ev = lg.where(F.col("t") >= split)
+    return lg.where(F.col("t") >= split), BD.train_state(lg.where(F.col("t") < split), _arms(spark, sf), BD.LinUcbPolicy(kind))
+
+
+def _frozen_linucb(spark, sf, kind):
+    ev, st = _halves(spark, sf, kind)
     p = ev.withColumn("p", BD.pick_udf(st)(F.col("z"), F.col("choices")))
     return p.select("t", F.col("p.arm").alias("picked"), F.col("p.pos").alias("pos"),
                     _r6(F.col("p.ucb")).alias("ucb"), "chosen", "reward")
 
 
+@query("parse_arm_lines", f"""WITH {LOG}
+SELECT arm, count(*)::INTEGER AS width, {r6('sum(v * (i + 1))')} AS checksum FROM ax GROUP BY arm""")
+def parse_arm_lines_q(spark, sf):
+    """Arm lines (id, 6 features) written as text files, every line read back and parsed."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/arms-{uuid.uuid4().hex}"
+    p = parse_arm_lines(read_lines(spark, write_table(arm_lines(_arms(spark, sf)), path, kind="text")))
+    return p.select("arm", F.size("x").alias("width"), _r6(_csum(F.col("x"))).alias("checksum"))
+
+
 @query("linucb_scores")
 def linucb_scores(spark, sf):
     """Disjoint LinUCB (context = user), frozen on the first half; pick per event."""
@@ -297,8 +312,7 @@ def hybrid_linucb_scores(spark, sf):
 @query("replay_eval_linucb")
 def replay_eval_linucb(spark, sf):
     """I4 with LinUCB: frozen hybrid model replayed on the second half; CTR."""
-    p = _frozen_linucb(spark, sf, "hybrid_concat")
-    return BD.replay_ctr(p.where(F.col("picked") == F.col("chosen")))
+    return BD.replay_frozen(*_halves(spark, sf, "hybrid_concat"))
 
 
 @query("candidate_scores")

@@ -11,6 +11,7 @@ from tessera.operators import vector_lsh as VL
 from tessera.plans.q_cluster import PTS, label_centers, points
 from tessera.plans.registry import query, table
 from tessera.session import materialize
+from tessera.sources import lines
 from tessera.plans.sqlparts import band_ctes, exact_pairs_ctes, minhash_ctes, r6, shingles_cte
 from tessera.plans.sqlparts import gaussian as sql_gaussian
 from tessera.plans.sqlparts import uniform as sql_uniform
@@ -23,7 +24,7 @@ def _r6(c):
 
 
 def _pts(spark, sf):
-    return materialize(points(spark, sf).select("id", "x"))
+    return materialize(lines.points(table(spark, sf, "embeddings"), "vec_id", "embedding"))
 
 
 def _w_cte(name: str, tag: str, n: int, normalise: bool) -> str:
