@@ -12,7 +12,9 @@ so it visits just those cells (of two cells the lower sends its points to the
 higher, so a pair meets once).  Inside a cell, points lie in rings of width ``eps``
 around the pivot; only equal and neighbouring rings can hold pairs.  What is left is
 compared in blocks, with the vectors at hand; crowded rings are cut into tiles, so a
-task sees at most two tiles.  Nothing is lost and nothing is verified twice.
+task sees at most two tiles, strip by strip.  A row is sent once for each tile of its
+bucket, so tiles are as large as a task can hold.  Nothing is lost and nothing is
+verified twice.
 
 Null vectors, and vectors without an id, are near nothing.  All vectors have one length.
 """
@@ -20,18 +22,22 @@ Null vectors, and vectors without an id, are near nothing.  All vectors have one
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.joins import HOT_ROWS
 from tessera.operators.partial import matrix
 from tessera.operators.sampling import uniform_sample
 from tessera.session import materialize
 
 #: rows of a tile
-TILE = 2_048
+TILE = 1 << 15
+#: rows of a tile that are compared with another tile at once, and pairs that are verified at once
+STRIP, LOT = 128, 1 << 16
 #: points from which the pivots are chosen
 SAMPLE = 1_024
 
@@ -120,28 +126,51 @@ def _placed(points: DataFrame, P: np.ndarray, R: np.ndarray, eps: float, queries
     return points.where("x IS NOT NULL AND id IS NOT NULL").select(F.col("id").cast("bigint").alias("id"), F.col("x").cast("array<double>").alias("x")).mapInArrow(run, PLACED)
 
 
+def _with_counts(rows: DataFrame, n: DataFrame) -> DataFrame:
+    """``rows`` of the buckets in ``n``; the vectors are not shuffled where the buckets are few."""
+    n = materialize(n)
+    return rows.join(F.broadcast(n) if n.count() <= HOT_ROWS else n, ["cell", "ring"])
+
+
 def _tiled(placed: DataFrame) -> DataFrame:
     """Rows with their tile pair: buckets of n rows are cut into ceil(n / TILE) tiles, any two of which meet once."""
     n = placed.groupBy("cell", "ring").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(~F.col("lower"), 1)).alias("residents"))
     n = n.where("residents > 0")                                 # a bucket of guests has no pair
     t = F.ceil(F.col("n") / TILE).cast("int")
-    j = placed.join(n, ["cell", "ring"]).withColumn("t", t).withColumn("o", F.pmod(F.xxhash64("id", "lower"), F.col("t")).cast("int"))
+    j = _with_counts(placed, n).withColumn("t", t).withColumn("o", F.pmod(F.xxhash64("id", "lower"), F.col("t")).cast("int"))
     return j.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("t") - 1))).select(
         "cell", "ring", F.least("o", "k").alias("ti"), F.greatest("o", "k").alias("tj"), "o", "lower", "home", "id", "x")
 
 
-def _close(A: np.ndarray, B: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(i, j, distance) of rows of A and B within eps: a matrix product finds candidates,
-    the distance itself decides."""
-    near = (A * A).sum(1)[:, None] + (B * B).sum(1)[None] - 2 * (A @ B.T)
-    scale = (A * A).sum(1).max(initial=0) + (B * B).sum(1).max(initial=0)
-    i, j = np.nonzero(near <= eps * eps + 1e-9 * (1 + scale))
-    out = np.empty(len(i))
-    for s in range(0, len(i), 1 << 16):
-        d = A[i[s:s + (1 << 16)]] - B[j[s:s + (1 << 16)]]
-        out[s:s + (1 << 16)] = np.sqrt((d * d).sum(1))
-    ok = out <= eps
-    return i[ok], j[ok], out[ok]
+Found = Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def near_pairs(A: np.ndarray, B: np.ndarray, screen: Callable, exact: Callable, same: bool = False) -> Found:
+    """(i, j, value) of rows of A and B in lots: ``screen`` finds candidates by a matrix product
+    of a strip of A with B, ``exact`` gives the value of each.  ``same``: B is A, and i < j."""
+    for s in range(0, len(A), STRIP):
+        at = s if same else 0
+        i, j = np.nonzero(screen(A[s:s + STRIP], B[at:]))
+        i, j = i + s, j + at
+        if same:
+            i, j = i[i < j], j[i < j]
+        for k in range(0, len(i), LOT):
+            a, b = i[k:k + LOT], j[k:k + LOT]
+            yield a, b, exact(A[a], B[b])
+
+
+def close_pairs(A: np.ndarray, B: np.ndarray, eps: float, same: bool = False) -> Found:
+    """(i, j, distance) of rows of A and B within eps, in lots."""
+    def largest(X):
+        n = (X * X).sum(1)
+        return n[np.isfinite(n)].max(initial=0)
+    limit = eps * eps + 1e-9 * (1 + largest(A) + largest(B))
+
+    def screen(P, Q):
+        return (P * P).sum(1)[:, None] + (Q * Q).sum(1)[None] - 2 * (P @ Q.T) <= limit
+    for i, j, d in near_pairs(A, B, screen, lambda P, Q: np.sqrt(((P - Q) ** 2).sum(1)), same):
+        ok = d <= eps
+        yield i[ok], j[ok], d[ok]
 
 
 def distance_join(points: DataFrame, eps: float, n_pivots: int = 16, seed: int = 0) -> DataFrame:
@@ -157,21 +186,22 @@ def distance_join(points: DataFrame, eps: float, n_pivots: int = 16, seed: int =
         return points.sparkSession.createDataFrame([], schema)
     tiles = _tiled(materialize(_placed(points, P, _radii(points, P), eps)))
 
-    def compare(t: pa.Table) -> pa.Table:
-        t = t.combine_chunks()
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(list(batches)).combine_chunks()
         ids, o = np.asarray(t.column("id").combine_chunks()), np.asarray(t.column("o").combine_chunks())
         lower, home = np.asarray(t.column("lower").to_numpy(zero_copy_only=False)), np.asarray(t.column("home").to_numpy(zero_copy_only=False))
         X = matrix(t.column("x").combine_chunks())
         ti, tj = t.column("ti")[0].as_py(), t.column("tj")[0].as_py()
-        a, b = np.flatnonzero(o == ti), np.flatnonzero(o == tj)
-        i, j, d = _close(X[a], X[b], eps)
-        i, j = a[i], b[j]
+        roles = [home & ~lower, home & lower, ~home & ~lower, ~home & lower]
         # two residents once, a resident with a guest; of two cells' points one is at home here
-        ok = (home[i] | home[j]) & ~(lower[i] & lower[j]) & (ids[i] != ids[j])
-        if ti == tj:
-            ok &= i < j
-        i, j, d = i[ok], j[ok], d[ok]
-        return pa.table({"id_a": np.minimum(ids[i], ids[j]), "id_b": np.maximum(ids[i], ids[j]), "l2": d})
+        meet = [(0, 0), (0, 1), (0, 2), (0, 3), (1, 2)]
+        for m, n in meet if ti == tj else sorted({*meet, *((n, m) for m, n in meet)}):
+            a, b = np.flatnonzero(roles[m] & (o == ti)), np.flatnonzero(roles[n] & (o == tj))
+            for i, j, d in close_pairs(X[a], X[b], eps, same=ti == tj and m == n):
+                i, j = ids[a[i]], ids[b[j]]
+                ok = i != j
+                i, j = i[ok], j[ok]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j)), pa.array(d[ok])], names=["id_a", "id_b", "l2"])
     return tiles.groupBy("cell", "ring", "ti", "tj").applyInArrow(compare, schema)
 
 
@@ -202,16 +232,17 @@ def range_neighbors(queries: DataFrame, base: DataFrame, radius: float, n_pivots
     q = _placed(queries, P, R, radius, True).withColumn("q", F.lit(True))
     rows = materialize(q.unionByName(_placed(base, P, R, radius, False).withColumn("q", F.lit(False))))
     n = rows.groupBy("cell", "ring").agg(F.count(F.when(F.col("q"), 1)).alias("nq"), F.count(F.when(~F.col("q"), 1)).alias("nb")).where("nq > 0 AND nb > 0")
-    j = rows.join(n, ["cell", "ring"]).withColumn("sq", F.ceil(F.col("nq") / TILE).cast("int")).withColumn("sb", F.ceil(F.col("nb") / TILE).cast("int"))
+    j = _with_counts(rows, n).withColumn("sq", F.ceil(F.col("nq") / TILE).cast("int")).withColumn("sb", F.ceil(F.col("nb") / TILE).cast("int"))
     mine, other = F.when(F.col("q"), F.col("sq")).otherwise(F.col("sb")), F.when(F.col("q"), F.col("sb")).otherwise(F.col("sq"))
     j = j.withColumn("o", F.pmod(F.xxhash64("id"), mine).cast("int")).withColumn("k", F.explode(F.sequence(F.lit(0), other - 1)))
     tiles = j.select("cell", "ring", F.when(F.col("q"), F.col("o")).otherwise(F.col("k")).alias("tq"),
                      F.when(F.col("q"), F.col("k")).otherwise(F.col("o")).alias("tb"), "q", "id", "x")
 
-    def compare(t: pa.Table) -> pa.Table:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(list(batches)).combine_chunks()
         is_q = t.column("q").to_numpy(zero_copy_only=False)
         ids, X = np.asarray(t.column("id").combine_chunks()), matrix(t.column("x").combine_chunks())
         a, b = np.flatnonzero(is_q), np.flatnonzero(~is_q)
-        i, j, d = _close(X[a], X[b], radius)
-        return pa.table({"qid": ids[a[i]], "id": ids[b[j]], "l2": d})
+        for i, j, d in close_pairs(X[a], X[b], radius):
+            yield pa.RecordBatch.from_arrays([pa.array(ids[a[i]]), pa.array(ids[b[j]]), pa.array(d)], names=["qid", "id", "l2"])
     return tiles.groupBy("cell", "ring", "tq", "tb").applyInArrow(compare, schema)
