@@ -5,26 +5,36 @@ Hash functions are drawn from md5-keyed normals/uniforms (model-sized, in the
 closure).  A batch of vectors is projected by one matrix product and the hash values
 of each band are packed into a 64-bit key there, so a plan holds one function however
 many bands there are.  Sign bits are packed as they are; bucket numbers are mixed,
-and two of them under one key only make a candidate more.  Bucket joins are
-skew-tiled (:mod:`tessera.operators.joins`); exact distances are computed only for
-candidate pairs.
+and two of them under one key only make a candidate more.
+
+Candidates of dense vectors outnumber the links by far, so they are never rows: a
+self-join sends each vector with all its keys to the bucket of each band, where the
+candidates are compared by matrix products and only links come out, in the first
+band that holds both ends.  What is shuffled grows with vectors x bands; a hot bucket
+is cut into tiles (:mod:`tessera.operators.joins`).
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.hashing import gaussian_matrix, uniform_vector
-from tessera.operators.joins import DEFAULT_BLOCK, bucket_cross_pairs, bucket_self_pairs
+from tessera.operators.joins import DEFAULT_BLOCK, _block, _hot, _look_up, bucket_cross_pairs
+from tessera.operators.metric_join import close_pairs, near_pairs
+from tessera.operators.partial import matrix
 from tessera.session import materialize
 
+#: vectors of a tile of a bucket
+TILE = 1 << 14
+
 
 def project_udf(W: np.ndarray):
     """Arrow-batched projections W x (one NumPy matmul per batch)."""
@@ -43,27 +53,32 @@ def with_projections(df: DataFrame, W: np.ndarray, x_col: str = "x", out: str =
     return df.withColumn(out, project_udf(W)(F.col(x_col)))
 
 
-def band_rows(df: DataFrame, W: np.ndarray, r: int, hashes: Callable[[np.ndarray], np.ndarray], id_col: str = "id", out: str = "id") -> DataFrame:
-    """``out, band, key``: one row for each vector and band of ``r`` hashes.
-
-    ``hashes`` turns a batch of projections (n x r b) into integers; null vectors
-    have no bands.
-    """
+def keys_udf(W: np.ndarray, r: int, hashes: Callable[[np.ndarray], np.ndarray]):
+    """The key of each band of ``r`` hashes.  ``hashes`` turns a batch of projections
+    (n x r b) into truth values or integers."""
     bits = W.shape[0] // r
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def keys(xs: pd.Series) -> pd.Series:
         if not len(xs):
             return pd.Series([], dtype=object)
-        h = hashes(np.stack(xs.to_numpy()).astype(np.float64) @ W.T).astype(np.int64).reshape(len(xs), bits, r)
-        return pd.Series(list(_packed(h)))
-    return (df.where(F.col("x").isNotNull()).withColumn("_keys", keys(F.col("x")))
+        h = hashes(np.stack(xs.to_numpy()).astype(np.float64) @ W.T)
+        return pd.Series(list(_packed(h.astype(np.int64).reshape(len(xs), bits, r), h.dtype == bool)))
+    return keys
+
+
+def band_rows(df: DataFrame, W: np.ndarray, r: int, hashes: Callable[[np.ndarray], np.ndarray], id_col: str = "id", out: str = "id") -> DataFrame:
+    """``out, band, key``: one row for each vector and band; null vectors have no bands."""
+    return (df.where(F.col("x").isNotNull()).withColumn("_keys", keys_udf(W, r, hashes)(F.col("x")))
             .select(F.col(id_col).alias(out), F.posexplode("_keys").alias("band", "key")))
 
 
-def _packed(h: np.ndarray) -> np.ndarray:
-    """Keys (n x b) of hash values (n x b x r): bits side by side where they fit, else mixed."""
-    if h.size and h.min() >= 0 and h.max() <= 1 and h.shape[2] <= 62:
+def _packed(h: np.ndarray, bits: bool | None = None) -> np.ndarray:
+    """Keys (n x b) of hash values (n x b x r): bits side by side where they fit, else mixed.
+    Batches of one table must agree on ``bits``; by default the values tell."""
+    if bits is None:
+        bits = bool(h.size and h.min() >= 0 and h.max() <= 1)
+    if bits and h.shape[2] <= 62:
         return h @ (1 << np.arange(h.shape[2], dtype=np.int64))
     key = np.full(h.shape[:2], 0x9E3779B97F4A7C15, np.uint64)
     for k in range(h.shape[2]):
@@ -73,6 +88,42 @@ def _packed(h: np.ndarray) -> np.ndarray:
     return (key >> np.uint64(1)).astype(np.int64)
 
 
+def bucket_links(points: DataFrame, W: np.ndarray, r: int, hashes: Callable[[np.ndarray], np.ndarray], linked: Callable,
+                 name: str, block: int) -> DataFrame:
+    """``id_a < id_b, name``: pairs of vectors that share a bucket and that ``linked(A, B, same)``
+    yields as (i, j, value), each once: in the first band that holds both.
+
+    Null vectors and vectors without an id link with nothing; repeated rows give repeated pairs.
+    """
+    p = points.where("id IS NOT NULL AND x IS NOT NULL").select(F.col("id").cast("bigint").alias("id"), F.col("x").cast("array<double>").alias("x"))
+    rows = materialize(p.withColumn("keys", keys_udf(W, r, hashes)(F.col("x")))).select("id", "x", "keys", F.posexplode("keys").alias("band", "key"))
+    at = ["band", "key"]
+    tiles = _look_up(rows, _hot(rows, at, block, "_s"), at, ["_s"]).withColumn("o", _block("id", "_s"))
+    tiles = tiles.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("_s") - 1))).select(
+        *at, F.least("o", "k").alias("ti"), F.greatest("o", "k").alias("tj"), "o", "id", "x", "keys")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(list(batches)).combine_chunks()
+        band, ti, tj = (t.column(c)[0].as_py() for c in ("band", "ti", "tj"))
+        if len(t) < 2:
+            return
+        ids, o = np.asarray(t.column("id").combine_chunks()), np.asarray(t.column("o").combine_chunks())
+        X = matrix(t.column("x").combine_chunks())
+        keys = np.asarray(t.column("keys").combine_chunks().flatten()).reshape(len(ids), -1)[:, :band]
+        a, b = np.flatnonzero(o == ti), np.flatnonzero(o == tj)
+        for i, j, v in linked(X[a], X[b], ti == tj):
+            i, j = a[i], b[j]
+            ok = (ids[i] != ids[j]) & ~(keys[i] == keys[j]).any(1)
+            i, j = ids[i[ok]], ids[j[ok]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j)), pa.array(v[ok])], names=["id_a", "id_b", name])
+    return tiles.groupBy(*at, "ti", "tj").applyInArrow(compare, f"id_a bigint, id_b bigint, {name} double")
+
+
+def _dimension(points: DataFrame) -> int:
+    first = points.where("x IS NOT NULL").select("x").first()
+    return len(first["x"]) if first else 0
+
+
 # ------------------------------------------------------------------ bands from the recall
 def cosine_agreement(cosine: float) -> float:
     """Chance that a sign bit agrees on two vectors of the given cosine."""
@@ -92,14 +143,23 @@ def bands_for_recall(p: float, r: int, recall: float) -> int:
 
 
 # ------------------------------------------------------------------ L4
-def cosine_lsh_pairs(points: DataFrame, r: int, b: int, threshold: float, seed: int,
-                     block: int = DEFAULT_BLOCK) -> DataFrame:
+def cosine_lsh_pairs(points: DataFrame, r: int, b: int, threshold: float, seed: int, block: int = TILE) -> DataFrame:
     """Random-hyperplane LSH: bands of r sign bits (1 when w.x >= 0), candidates, cosine >= threshold."""
-    d = len(points.select("x").first()["x"])
-    rows = band_rows(points, gaussian_matrix(r * b, d, seed, "cos"), r, lambda p: p >= 0)
-    cands = bucket_self_pairs(rows, ["band", "key"], "id", block).select(
-        F.col("a").alias("id_a"), F.col("b").alias("id_b")).distinct()
-    return verify_vectors(cands, points, "cosine").where(F.col("cosine") >= threshold)
+    def unit(X):
+        n = np.sqrt((X * X).sum(1))
+        return X / np.where(n > 0, n, 1.0)[:, None]
+
+    def linked(A, B, same):
+        for i, j, v in near_pairs(A, B, lambda P, Q: unit(P) @ unit(Q).T >= threshold - 1e-9, cosines, same):
+            ok = v >= threshold
+            yield i[ok], j[ok], v[ok]
+    return bucket_links(points, gaussian_matrix(r * b, _dimension(points), seed, "cos"), r, lambda p: p >= 0, linked, "cosine", block)
+
+
+def cosines(A: np.ndarray, B: np.ndarray) -> np.ndarray:
+    """Cosine of each row of A with that of B (0 with a zero vector)."""
+    den = np.sqrt((A * A).sum(1)) * np.sqrt((B * B).sum(1))
+    return np.where(den > 0, (A * B).sum(1) / np.where(den > 0, den, 1.0), 0.0)
 
 
 def pair_metric_udf(metric: str):
@@ -112,23 +172,13 @@ def pair_metric_udf(metric: str):
         A = np.stack(a.to_numpy()).astype(np.float64)
         Bm = np.stack(b.to_numpy()).astype(np.float64)
         if metric == "cosine":
-            den = np.sqrt((A * A).sum(1)) * np.sqrt((Bm * Bm).sum(1))
-            dt = (A * Bm).sum(1)
-            return pd.Series(np.where(den > 0, dt / np.where(den > 0, den, 1.0), 0.0))
+            return pd.Series(cosines(A, Bm))
         D = A - Bm
         return pd.Series(np.sqrt((D * D).sum(1)))
 
     return _m
 
 
-def verify_vectors(pairs: DataFrame, points: DataFrame, metric: str) -> DataFrame:
-    """Attach the exact metric to ``id_a, id_b`` by two joins on id (NumPy per batch)."""
-    pa = points.select(F.col("id").alias("id_a"), F.col("x").alias("xa"))
-    pb = points.select(F.col("id").alias("id_b"), F.col("x").alias("xb"))
-    j = pairs.join(pa, "id_a").join(pb, "id_b")
-    return j.select("id_a", "id_b", pair_metric_udf(metric)(F.col("xa"), F.col("xb")).alias(metric))
-
-
 # ------------------------------------------------------------------ L5 / L6
 def _e2lsh(d: int, r: int, b: int, a: float, seed: int):
     """Directions, and floor((w.x + b)/a) of projections: w standard normal, normalised, b in [0, a)."""
@@ -137,14 +187,10 @@ def _e2lsh(d: int, r: int, b: int, a: float, seed: int):
     return W / np.linalg.norm(W, axis=1, keepdims=True), lambda p: np.floor((p + shift) / a)
 
 
-def euclidean_lsh_pairs(points: DataFrame, r: int, b: int, a: float, radius: float, seed: int,
-                        block: int = DEFAULT_BLOCK) -> DataFrame:
+def euclidean_lsh_pairs(points: DataFrame, r: int, b: int, a: float, radius: float, seed: int, block: int = TILE) -> DataFrame:
     """p-stable (Gaussian) LSH for l2: bands of r bucket indices, verify d <= radius."""
-    W, hashes = _e2lsh(len(points.select("x").first()["x"]), r, b, a, seed)
-    rows = band_rows(points, W, r, hashes)
-    cands = bucket_self_pairs(rows, ["band", "key"], "id", block).select(
-        F.col("a").alias("id_a"), F.col("b").alias("id_b")).distinct()
-    return verify_vectors(cands, points, "l2").where(F.col("l2") <= radius)
+    W, hashes = _e2lsh(_dimension(points), r, b, a, seed)
+    return bucket_links(points, W, r, hashes, lambda A, B, same: close_pairs(A, B, radius, same), "l2", block)
 
 
 def near_neighbors(queries: DataFrame, base: DataFrame, r: int, b: int, a: float, radius: float,
