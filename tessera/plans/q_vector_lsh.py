@@ -191,13 +191,26 @@ SELECT (floor(j * 10) / 10) AS bucket, count(*) AS n_pairs, {r6('avg(hit)')} AS
        {r6(f'avg(1 - pow(1 - pow(j, {R}), {B}))')} AS predicted FROM o GROUP BY 1""")
 def lsh_collision_curve(spark, sf):
     """1-(1-s^r)^b against the observed candidate rate per similarity bucket (exact pairs >= 0.5)."""
-    sets = materialize(lsh.shingle(table(spark, sf, "documents")))
-    ex = lsh.exact_similar_pairs_from_sets(sets, CURVE_T, collapse=False)
+    sets, rows = _distinct(spark, sf)
+    ex = lsh.counted_pairs(lsh.exact_similar_pairs_from_sets(sets, CURVE_T, collapse=False), rows)
     cand = lsh.candidate_pairs(lsh.bands(lsh.minhash(sets, R * B, LSEED), R, B, LSEED)).withColumn("hit", F.lit(1))
-    o = ex.join(cand, ["doc_a", "doc_b"], "left").withColumn("hit", F.coalesce("hit", F.lit(0)))
+    o = ex.join(cand, ["doc_a", "doc_b"], "left")
+    # copies have one signature
+    o = o.withColumn("hit", F.when(F.col("doc_a") == F.col("doc_b"), 1).otherwise(F.coalesce("hit", F.lit(0))))
     o = o.withColumn("bucket", F.floor(F.col("jaccard") * 10) / 10)
-    return o.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_pairs"), _r6(F.avg("hit")).alias("observed"),
-                                   _r6(F.avg(VL.collision_probability(F.col("jaccard"), R, B))).alias("predicted"))
+    return o.groupBy("bucket").agg(F.sum("n").alias("n_pairs"), _weighted(F.col("hit")).alias("observed"),
+                                   _weighted(VL.collision_probability(F.col("jaccard"), R, B)).alias("predicted"))
+
+
+def _distinct(spark, sf):
+    """(sets of the distinct contents, rows of their documents)."""
+    sets, rows = lsh.distinct_sets(materialize(lsh.shingle(table(spark, sf, "documents"), with_key=True)))
+    return materialize(sets), rows
+
+
+def _weighted(c):
+    """Mean over all pairs of rows."""
+    return _r6(F.sum(c * F.col("n")) / F.sum("n"))
 
 
 CASCADE_R, CASCADE_B = 5, 20
@@ -208,10 +221,11 @@ SELECT (floor(j * 10) / 10) AS bucket, count(*) AS n_pairs, {r6(f'avg(1 - pow(1
        {r6(f'avg(pow(1 - pow(1 - j, {CASCADE_B}), {CASCADE_R}))')} AS or_and FROM ex GROUP BY 1""")
 def lsh_cascades(spark, sf):
     """Chance that an AND-OR and an OR-AND cascade of MinHash functions makes a pair a candidate, by similarity."""
-    ex = lsh.exact_similar_pairs_from_sets(materialize(lsh.shingle(table(spark, sf, "documents"))), CURVE_T, collapse=False)
-    p = lambda *stages: _r6(F.avg(VL.cascade_probability(F.col("jaccard"), list(stages))))
+    sets, rows = _distinct(spark, sf)
+    ex = lsh.counted_pairs(lsh.exact_similar_pairs_from_sets(sets, CURVE_T, collapse=False), rows)
+    p = lambda *stages: _weighted(VL.cascade_probability(F.col("jaccard"), list(stages)))
     return ex.groupBy((F.floor(F.col("jaccard") * 10) / 10).alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n_pairs"), p(("and", CASCADE_R), ("or", CASCADE_B)).alias("and_or"),
+        F.sum("n").alias("n_pairs"), p(("and", CASCADE_R), ("or", CASCADE_B)).alias("and_or"),
         p(("or", CASCADE_B), ("and", CASCADE_R)).alias("or_and"))
 
 
