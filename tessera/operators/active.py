@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 from tessera.functions.hashing import gaussian_matrix, uniform
 from tessera.operators import linear as L
 from tessera.operators.sampling import race_key
+from tessera.session import cut_lineage
 
 BITS = "u bigint, v bigint"
+#: labelled rows of a partition
+ROWS = 4_096
 
 
 class HyperplaneIndex:
@@ -51,6 +54,12 @@ class HyperplaneIndex:
         return same_u.bitwiseAND(same_v).bitwiseAND(F.lit((1 << self.tables) - 1).cast("bigint")) != 0
 
 
+def together(rows: DataFrame, n: int) -> DataFrame:
+    """At most ``n`` labelled rows in few partitions: each training step is a job over them, and
+    rows left in the partitions of the joins they come from cost a task for each of these."""
+    return rows.repartition(max(1, math.ceil(n / ROWS)))
+
+
 def active_round(index: HyperplaneIndex, labeled: DataFrame, labels: DataFrame, w: np.ndarray, m: int, lam: float, steps: int,
                  seed: int, number: int = 0, prefilter: bool = False, explore: float = 0.0, subsample: float = 1.0) -> tuple[DataFrame, np.ndarray, dict]:
     """One round: (labelled rows ``id, y, x``, new model, counts).
@@ -76,7 +85,9 @@ def active_round(index: HyperplaneIndex, labeled: DataFrame, labels: DataFrame,
             .orderBy("_k", "id").limit(uniform_m).select("id", "x"))
     asked = sure.unionByName(some).persist(StorageLevel.MEMORY_AND_DISK)
     new = asked.join(labels.select("id", "y").where("y IS NOT NULL").dropDuplicates(["id"]), "id").select("id", "y", "x")
-    out = labeled.select("id", "y", "x").unionByName(new).persist(StorageLevel.MEMORY_AND_DISK)
+    new = together(new, m)
+    # the next round names these rows several times: their plan must not hold this round's
+    out = cut_lineage(labeled.select("id", "y", "x").unionByName(new))
     counts = {"round": number, "candidates": n_cand, "asked": asked.count(), "labeled": out.count()}
     asked.unpersist()
     return out, L.pegasos(out, lam, steps), counts

@@ -329,8 +329,11 @@ def pegasos(train: DataFrame, lam: float, steps: int, features: str = "raw", bat
         path = f"{checkpoint_dir(train.sparkSession).rstrip('/')}/batches-{uuid.uuid4().hex}"
         hash_batches(data, nb, seed).repartition("batch").write.partitionBy("batch").parquet(path)
         data = train.sparkSession.read.schema("id bigint, y double, x array<double>, batch bigint").parquet(path)
+        own = False
     else:
-        data = data.persist(StorageLevel.MEMORY_AND_DISK)
+        # the rows as the caller keeps them are this same table: releasing it here would release theirs
+        own = data.storageLevel == StorageLevel.NONE
+        data = data.persist(StorageLevel.MEMORY_AND_DISK) if own else data
     for t in range(1, steps + 1):
         s, n_t = hinge_sums(data.where(F.col("batch") == (t - 1) % nb) if batch_size else data, w, d, features)
         eta = 1.0 / (lam * t)
@@ -341,7 +344,7 @@ def pegasos(train: DataFrame, lam: float, steps: int, features: str = "raw", bat
             nrm = np.linalg.norm(w)
             if nrm > 0:
                 w = w * min(1.0, (1.0 / math.sqrt(lam)) / nrm)
-    if not batch_size:
+    if own:
         data.unpersist()
     return w
 

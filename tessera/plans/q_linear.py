@@ -18,6 +18,7 @@ from tessera.functions.hashing import gaussian_matrix, uniform, uniform_vector
 from tessera.operators import linear as L
 from tessera.operators.sampling import batch_assign, shuffle_order
 from tessera.plans.registry import query, table
+from tessera.session import cut_lineage
 from tessera.plans.sqlparts import gaussian as sql_gaussian
 from tessera.plans.sqlparts import r6
 from tessera.plans.sqlparts import uniform as sql_uniform
@@ -342,6 +343,7 @@ def active_learning_labels(spark, sf):
     index = A.HyperplaneIndex(vec.join(labels.select("id").distinct(), "id", "left_semi").where(~held), 8, 8, SEED)
     from tessera.operators.sampling import uniform_sample
     lab = uniform_sample(index.rows.select("id", "x"), 20, SEED, "id").select("id", "x").join(labels, "id").select("id", "y", "x")
+    lab = cut_lineage(A.together(lab, 20))
     w, hist = L.pegasos(lab, LAM, 20), []
     for r in range(3):
         lab, w, c = A.active_round(index, lab, labels, w, 20, LAM, 20, SEED, r, prefilter=True, explore=0.2, subsample=0.8)
