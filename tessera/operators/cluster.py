@@ -27,6 +27,8 @@ from tessera.session import cut_lineage, swap
 
 MAX_CENTER_CELLS = 20_000_000  # k * d doubles (160 MB) allowed on the driver / in a task
 
+NEAREST_CELLS = 1 << 18    # differences (2 MB) that a task holds at once; they fit the processor's cache
+
 ASSIGN_TYPE = T.StructType([T.StructField("cid", T.IntegerType()), T.StructField("d2", T.DoubleType())])
 
 
@@ -58,7 +60,7 @@ def _nearest(X: np.ndarray, cids: np.ndarray, C: np.ndarray) -> tuple[np.ndarray
     """(nearest cid, lowest on ties; squared distance) of the rows of X, in blocks."""
     n = len(X)
     cid, d2 = np.zeros(n, dtype=np.int32), np.zeros(n)
-    block = max(1, 4_000_000 // max(1, C.shape[0] * C.shape[1]))
+    block = max(1, NEAREST_CELLS // max(1, C.shape[0] * C.shape[1]))
     for s in range(0, n if len(C) else 0, block):
         diff = X[s:s + block, None, :] - C[None, :, :]
         D = np.einsum("ijk,ijk->ij", diff, diff)

@@ -148,3 +148,17 @@ def test_whitening_is_the_mahalanobis_distance(spark):
     with pytest.raises(np.linalg.LinAlgError):
         whitening(pts.where("id < 3"))
     assert whitening(pts.where("id < 3"), ridge=0.1)[1].shape == (5, 5)
+
+
+def test_nearest_centres_hold_few_differences_at_once():
+    import tracemalloc
+    rng = np.random.default_rng(2)
+    x, c = rng.normal(size=(300, 64)), rng.normal(size=(1500, 64))
+    tracemalloc.start()
+    try:
+        cid, d2 = K._nearest(x, np.arange(len(c), dtype=np.int32), c)
+        assert tracemalloc.get_traced_memory()[1] < 12 << 20
+    finally:
+        tracemalloc.stop()
+    want = np.array([((v - c) ** 2).sum(1) for v in x])
+    assert (cid == want.argmin(1)).all() and np.allclose(d2, want.min(1))
