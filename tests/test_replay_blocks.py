@@ -59,3 +59,29 @@ def test_slices_equal_one_frozen_pass_a_slice(spark, monkeypatch):
     got = BD.replay_minibatch(log, arms, pol, 100).orderBy("slice").collect()
     assert [tuple(r)[:4] for r in got] == want and len(seen) == 1
     assert BD.replay_minibatch(log.where("false"), arms, pol, 100).collect() == []
+
+
+@pytest.mark.parametrize("kind", ["disjoint", "concat"])
+def test_candidates_are_scored_once_a_block(kind, monkeypatch):
+    arm_x, rows = events(1500)
+    one, many = (BD.Player(BD.LinUcbPolicy(kind, 0.2), arm_x, 3) for _ in range(2))
+    for e in zip(rows["t"], rows["z"], rows["choices"], rows["chosen"], rows["reward"]):
+        one.event(*e)
+    calls = []
+    block = BD._Scorer.pick_block
+    monkeypatch.setattr(BD._Scorer, "pick_block", lambda self, *a: calls.append(1) or block(self, *a))
+    many.play(rows.sample(frac=1, random_state=1))
+    assert (one.seen, one.accepted, one.reward) == (many.seen, many.accepted, many.reward) and one.accepted > 100
+    assert all(np.allclose(one.scorer.st.A[a], many.scorer.st.A[a]) for a in one.scorer.st.A)
+    assert len(calls) <= 1500 // BD.PLAYED_EVENTS + 1
+
+
+def test_events_travel_in_lots():
+    import pyarrow as pa
+    from tessera.streaming import jobs as S
+    _, rows = events()
+    out = list(S._packed([pa.RecordBatch.from_pandas(rows), pa.RecordBatch.from_pandas(rows.iloc[:0])]))
+    lots = [x for b in out for x in b.column(0).to_pylist()]
+    assert len(lots) == 1
+    back = pa.ipc.open_stream(lots[0]).read_all().to_pandas()
+    assert back["t"].tolist() == rows["t"].tolist() and [list(c) for c in back["choices"]] == rows["choices"].tolist()
