@@ -10,7 +10,7 @@ from tessera.operators import metric_join
 from tessera.operators import vector_lsh as VL
 from tessera.plans.q_cluster import PTS, label_centers, points
 from tessera.plans.registry import query, table
-from tessera.session import materialize
+from tessera.session import materialize, materialize_sets
 from tessera.sources import lines
 from tessera.plans.sqlparts import band_ctes, exact_pairs_ctes, minhash_ctes, r6, shingles_cte
 from tessera.plans.sqlparts import gaussian as sql_gaussian
@@ -192,7 +192,7 @@ SELECT (floor(j * 10) / 10) AS bucket, count(*) AS n_pairs, {r6('avg(hit)')} AS
 def lsh_collision_curve(spark, sf):
     """1-(1-s^r)^b against the observed candidate rate per similarity bucket (exact pairs >= 0.5)."""
     sets, rows = _distinct(spark, sf)
-    ex = lsh.counted_pairs(lsh.exact_similar_pairs_from_sets(sets, CURVE_T, collapse=False), rows)
+    ex = lsh.counted_pairs(lsh.exact_similar_pairs_from_sets(sets, CURVE_T, collapse=False, kept=True), rows)
     cand = lsh.candidate_pairs(lsh.bands(lsh.minhash(sets, R * B, LSEED), R, B, LSEED)).withColumn("hit", F.lit(1))
     o = ex.join(cand, ["doc_a", "doc_b"], "left")
     # copies have one signature
@@ -204,8 +204,7 @@ def lsh_collision_curve(spark, sf):
 
 def _distinct(spark, sf):
     """(sets of the distinct contents, rows of their documents)."""
-    sets, rows = lsh.distinct_sets(materialize(lsh.shingle(table(spark, sf, "documents"), with_key=True)))
-    return materialize(sets), rows
+    return lsh.distinct_sets(materialize_sets(lsh.shingle(table(spark, sf, "documents"), with_key=True)))
 
 
 def _weighted(c):
@@ -222,7 +221,7 @@ SELECT (floor(j * 10) / 10) AS bucket, count(*) AS n_pairs, {r6(f'avg(1 - pow(1
 def lsh_cascades(spark, sf):
     """Chance that an AND-OR and an OR-AND cascade of MinHash functions makes a pair a candidate, by similarity."""
     sets, rows = _distinct(spark, sf)
-    ex = lsh.counted_pairs(lsh.exact_similar_pairs_from_sets(sets, CURVE_T, collapse=False), rows)
+    ex = lsh.counted_pairs(lsh.exact_similar_pairs_from_sets(sets, CURVE_T, collapse=False, kept=True), rows)
     p = lambda *stages: _weighted(VL.cascade_probability(F.col("jaccard"), list(stages)))
     return ex.groupBy((F.floor(F.col("jaccard") * 10) / 10).alias("bucket")).agg(
         F.sum("n").alias("n_pairs"), p(("and", CASCADE_R), ("or", CASCADE_B)).alias("and_or"),
